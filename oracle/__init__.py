@@ -1,0 +1,5 @@
+"""Checking SQL by query name."""
+
+from oracle import marts
+
+SQL = {**marts.SQL}
