@@ -1,5 +1,5 @@
 """Checking SQL by query name."""
 
-from oracle import marts
+from oracle import marts, reports
 
-SQL = {**marts.SQL}
+SQL = {**marts.SQL, **reports.SQL}

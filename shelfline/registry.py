@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.plans import daily, plan_fact, sales, stock
+from shelfline.operators import ledger
+from shelfline.plans import adhoc, alerts, charts, checks, daily, plan_fact, planning, sales, stock
 from shelfline.star import Star
 
 MARTS: dict[str, Callable[[Star], DataFrame]] = {
@@ -57,4 +59,88 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[cast(f) for f in df.schema])
 
 
-QUERIES: dict[str, Callable[[Star], DataFrame]] = {**MARTS, **VIEWS}
+# --- parameters of the registered queries, repeated in the checking SQL ---
+PERIOD = (dt.date(1998, 1, 1), dt.date(1999, 6, 30))
+PROMO_FROM = dt.date(2000, 1, 1)
+PRODUCT_ID = 40
+WEAK_MARGIN = 0.75
+# --- end of parameters ---
+
+ADHOC: dict[str, Callable[[Star], DataFrame]] = {
+    "last_dates": adhoc.last_dates,
+    "row_counts": adhoc.row_counts,
+    "channel_daily_30d": adhoc.channel_daily_30d,
+    "genre_margin_period": lambda s: adhoc.genre_margin_period(s, *PERIOD),
+    "top_products_abc": adhoc.top_products_abc,
+    "promo_effectiveness": lambda s: adhoc.promo_effectiveness(s, PROMO_FROM),
+    "lost_sales_top": adhoc.lost_sales_top,
+    "stock_history": lambda s: adhoc.stock_history(s, PRODUCT_ID),
+    "zero_stock_now": adhoc.zero_stock_now,
+    "replenishment_frequency": adhoc.replenishment_frequency,
+    "plan_closed_summary": adhoc.plan_closed_summary,
+    "missed_plan_genres": adhoc.missed_plan_genres,
+    "format_margin_yoy": adhoc.format_margin_yoy,
+    "weak_margin_publishers": lambda s: adhoc.weak_margin_publishers(s, WEAK_MARGIN),
+    "subscription_churn": adhoc.subscription_churn,
+    "basket_size": adhoc.basket_size,
+}
+
+CHARTS: dict[str, Callable[[Star], DataFrame]] = {
+    f.__name__: f for f in (
+        charts.kpi_day_delta, charts.kpi_mtd_delta, charts.plan_kpi_total, charts.plan_by_genre,
+        charts.plan_by_format, charts.plan_pct_monthly, charts.plan_heatmap, charts.revenue_by_month,
+        charts.revenue_by_format, charts.revenue_by_genre, charts.return_share_monthly,
+        charts.promo_vs_organic, charts.lost_sales_monthly, charts.margin_scatter,
+        charts.top_publishers, charts.genre_margin_heatmap, charts.alerts_by_level,
+        charts.stockout_histogram, charts.reorder_value, charts.low_stock_widget, charts.reorder_list,
+        charts.abc_summary, charts.abc_margin_box, charts.abc_table_with_history,
+        charts.subscription_counts, charts.subscription_revenue, charts.subscription_card,
+        charts.subscription_promo_share)
+} | {"stock_vs_threshold": lambda s: charts.stock_vs_threshold(s, PRODUCT_ID)}
+
+
+def _routed(star: Star) -> DataFrame:
+    return alerts.alerts_for_recipients(alerts.alerts_ranked(star), alerts.recipients(star))
+
+
+ALERTS: dict[str, Callable[[Star], DataFrame]] = {
+    "alerts_ranked": alerts.alerts_ranked,
+    "alerts_for_recipients": _routed,
+    "alert_gate": lambda s: alerts.alert_gate(alerts.alerts_ranked(s), "urgent"),
+    "alert_subject": lambda s: alerts.alert_subject(alerts.alerts_ranked(s), s.today),
+    "alert_log": lambda s: alerts.alert_log(_routed(s), s.today),
+}
+
+CHECKS: dict[str, Callable[[Star], DataFrame]] = {
+    f.__name__: f for f in (
+        checks.orphan_products, checks.negative_stock, checks.digital_in_inventory,
+        checks.dates_within_calendar, checks.missing_plan_combos, checks.returns_exceed_sales,
+        checks.digital_returns, checks.amount_mismatch, checks.declared_constraints)
+}
+
+
+def _dense_net_sold(star: Star) -> DataFrame:
+    first = star.calendar.agg(F.min("date")).first()[0]
+    daily_rows = ledger.dense_daily_net_sold(star.lines("format"), first, star.today)
+    return daily_rows.groupBy("product_id").agg(F.count("*").alias("days"), F.sum("net_sold").alias("net_sold"))
+
+
+def _allocated(star: Star) -> DataFrame:
+    return star.sales.select(
+        "order_id", "product_id", "date", "sales_qty", "return_qty", "unit_price", "sales_amount",
+        "return_amount", "discount_percent", "lost_sales_qty")
+
+
+STOCK_AND_PLAN: dict[str, Callable[[Star], DataFrame]] = {
+    "build_calendar": lambda s: s.calendar,
+    "plan_grid": planning.plan_grid,
+    "plan_from_history": lambda s: s.plan,
+    "daily_net_sold": lambda s: ledger.daily_net_sold(s.lines("format")),
+    "dense_daily_net_sold": _dense_net_sold,
+    "stock_ledger": lambda s: s["stock_ledger"],
+    "shortage_allocation": _allocated,
+}
+
+QUERIES: dict[str, Callable[[Star], DataFrame]] = {
+    **MARTS, **VIEWS, **ADHOC, **CHARTS, **ALERTS, **CHECKS, **STOCK_AND_PLAN,
+}

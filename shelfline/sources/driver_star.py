@@ -135,7 +135,7 @@ class DriverTables:
     def base(self) -> DataFrame:
         return base_sales(self.lineitem, read(self.spark, self.sf_dir, "orders"))
 
-    def _ledger(self, sales: DataFrame) -> DataFrame:
+    def ledger(self, sales: DataFrame) -> DataFrame:
         physical = self.product.where(F.col("is_physical") == 1)
         if "format" not in sales.columns:
             sales = sales.join(physical.select("product_id", "format"), "product_id")
@@ -149,7 +149,7 @@ class DriverTables:
 
     def short_days(self) -> DataFrame:
         """Stock ledger of the sales as ordered, with the shortage of each day."""
-        return self._ledger(base_sales(self.lineitem, None))
+        return self.ledger(base_sales(self.lineitem, None))
 
     def sales(self) -> DataFrame:
         return ledger.allocate_shortage(self.base(), self.short_days())
@@ -163,4 +163,4 @@ class DriverTables:
         return planning.plan_from_history(planning.plan_grid(star), self.first.year, growth=PLAN_GROWTH)
 
     def inventory(self, sales: DataFrame) -> DataFrame:
-        return ledger.daily_inventory(self._ledger(sales), self.first, self.last)
+        return ledger.daily_inventory(self.ledger(sales), self.first, self.last)

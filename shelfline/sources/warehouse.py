@@ -45,6 +45,7 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
         "dim_product": written("dim_product", lambda: derived.product),
         "fact_sales": written("fact_sales", derived.wide_sales),
         "fact_plan": written("fact_plan", lambda: derived.plan(star)),
+        "stock_ledger": lambda: derived.ledger(star.sales),
         "fact_inventory": written("fact_inventory", lambda: derived.inventory(star.sales)),
     }
     return star
