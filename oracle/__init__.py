@@ -1,5 +1,5 @@
 """Checking SQL by query name."""
 
-from oracle import marts, reports
+from oracle import marts, quality, reports
 
-SQL = {**marts.SQL, **reports.SQL}
+SQL = {**marts.SQL, **reports.SQL, **quality.SQL}

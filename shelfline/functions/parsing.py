@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # --- fixed values: blank characters a trim removes, and what counts as a number or a flag ---
-BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0         " \
-         "       　"
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) \
+    + "\u2028\u2029\u202f\u205f\u3000"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
 TRUE_TEXT, FALSE_TEXT = ["1", "true"], ["0", "false"]
 DATE_FORMAT = "yyyy-M-d"

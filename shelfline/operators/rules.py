@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.functions.parsing import trimmed, typed
+from shelfline.functions.parsing import day, trimmed, typed
 
 POSITION = "_pos"
 DETAILS = "table_name string, code string, level string, what string, n bigint"
@@ -123,12 +123,11 @@ class Checked:
 
 
 def _output(field: T.StructField, columns: list[str]) -> Column:
-    raw, name = f"_raw_{field.name}", field.name
+    name, raw = field.name, f"_raw_{field.name}"
     if raw in columns:
-        value = F.when(F.col(f"_set_{name}"), F.col(name)) if f"_set_{name}" in columns else None
-        parsed = typed(F.col(raw), F.col(name), field.dataType)
-        column = parsed if value is None else F.when(
-            F.col(f"_set_{name}"), F.col(name).cast(field.dataType)).otherwise(parsed)
+        column = typed(F.col(raw), F.col(name), field.dataType)
+    elif isinstance(field.dataType, T.DateType) and name != "date":
+        column = F.coalesce(day(F.col(name)), F.col(name).try_cast("date"))
     else:
         column = F.col(name).cast(field.dataType)
     return column.alias(name)
@@ -201,5 +200,5 @@ def apply_rules(table: str, prepared: DataFrame, schema: T.StructType, steps: Se
             df = df.withColumn(name, kept & step.test)
             counted.append((step.code, "warn" if isinstance(step, Warn) else "fix", step.what, F.count_if(name)))
             if isinstance(step, Fix):
-                df = df.withColumns({**step.values, **{f"_set_{c}": F.lit(True) for c in step.values}})
+                df = df.withColumns(step.values).drop(*[f"_raw_{c}" for c in step.values])
     return Checked(table, flush(df), schema, counted, days_from)

@@ -29,8 +29,8 @@ def _prepared(raw: DataFrame, schema: T.StructType, text_flags: tuple[str, ...]
         if isinstance(field.dataType, T.NumericType) and field.name not in text_flags:
             parsed[f"_raw_{field.name}"] = F.col(field.name)
             parsed[field.name] = number(F.col(field.name))
-        elif isinstance(field.dataType, T.DateType):
-            parsed[field.name] = day(F.col(field.name))
+        elif field.name == "date":
+            parsed["date"] = day(F.col("date"))
     return df.withColumns(parsed)
 
 

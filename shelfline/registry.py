@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.operators import ledger
-from shelfline.plans import adhoc, alerts, charts, checks, daily, plan_fact, planning, sales, stock
+from shelfline.operators.rules import Checked
+from shelfline.plans import adhoc, alerts, charts, checks, daily, plan_fact, planning, sales, stock, validators
+from shelfline.sources import driver_extracts
 from shelfline.star import Star
 
 MARTS: dict[str, Callable[[Star], DataFrame]] = {
@@ -141,6 +143,40 @@ STOCK_AND_PLAN: dict[str, Callable[[Star], DataFrame]] = {
     "shortage_allocation": _allocated,
 }
 
+
+def _product_check(star: Star) -> Checked:
+    return validators.validate_dim_product(star["raw_dim_product"])
+
+
+def _sales_check(star: Star) -> Checked:
+    return validators.validate_fact_sales(
+        star["raw_fact_sales"], _product_check(star).clean, driver_extracts.START, driver_extracts.AS_OF)
+
+
+_CHECKED: dict[str, Callable[[Star], Checked]] = {
+    "dim_date": lambda s: validators.validate_dim_date(s["raw_dim_date"]),
+    "dim_product": _product_check,
+    "fact_plan": lambda s: validators.validate_fact_plan(s["raw_fact_plan"], driver_extracts.PLAN_YEARS),
+    "fact_sales": _sales_check,
+    "fact_inventory": lambda s: validators.validate_fact_inventory(
+        s["raw_fact_inventory"], _product_check(s).clean, driver_extracts.START, driver_extracts.AS_OF),
+}
+
+
+def _all_checked(star: Star) -> list[Checked]:
+    return [check(star) for check in _CHECKED.values()]
+
+
+QUALITY: dict[str, Callable[[Star], DataFrame]] = {
+    **{f"dq_{table}": (lambda s, check=check: check(s).details()) for table, check in _CHECKED.items()},
+    "dq_summary": lambda s: validators.quality_summary(_all_checked(s)),
+    "dq_details": lambda s: validators.quality_details(_all_checked(s)),
+    "dq_total_issues": lambda s: validators.total_issues(_all_checked(s)),
+    "missing_sales_days": lambda s: validators.missing_sales_days(_sales_check(s).clean, driver_extracts.START),
+    "clean_dim_product": lambda s: _product_check(s).clean,
+    "clean_fact_sales": lambda s: _sales_check(s).clean,
+}
+
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {
-    **MARTS, **VIEWS, **ADHOC, **CHARTS, **ALERTS, **CHECKS, **STOCK_AND_PLAN,
+    **MARTS, **VIEWS, **ADHOC, **CHARTS, **ALERTS, **CHECKS, **STOCK_AND_PLAN, **QUALITY,
 }

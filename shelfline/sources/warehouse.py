@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.schemas import FACTS
 from shelfline.session import shared_dir
-from shelfline.sources.driver_star import DriverTables
+from shelfline.sources import driver_extracts
+from shelfline.sources.driver_star import DriverTables, read
 from shelfline.sources.store import read_table, write_fact
 from shelfline.star import Star
 
@@ -48,4 +50,19 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
         "stock_ledger": lambda: derived.ledger(star.sales),
         "fact_inventory": written("fact_inventory", lambda: derived.inventory(star.sales)),
     }
+    def extract(name: str, build) -> callable:
+        """A raw extract, landed once: row positions are then stored values, the same in every pass."""
+        def table() -> DataFrame:
+            build().write.mode("overwrite").parquet(f"{root}/raw_{name}")
+            return spark.read.parquet(f"{root}/raw_{name}")
+        return table
+
+    source = functools.partial(read, spark, sf_dir)
+    star._tables |= {
+        "raw_dim_date": extract("dim_date", lambda: driver_extracts.dim_date(source("orders"))),
+        "raw_dim_product": extract("dim_product", lambda: driver_extracts.dim_product(source("part"))),
+        "raw_fact_plan": extract("fact_plan", lambda: driver_extracts.fact_plan(star.plan)),
+        "raw_fact_sales": extract("fact_sales", lambda: driver_extracts.fact_sales(source("lineitem"), source("orders"))),
+        "raw_fact_inventory": extract("fact_inventory", lambda: driver_extracts.fact_inventory(star["stock_ledger"])),
+    }
     return star
