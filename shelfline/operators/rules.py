@@ -75,8 +75,13 @@ class Checked:
 
     @property
     def clean(self) -> DataFrame:
+        return self.placed.drop(POSITION)
+
+    @property
+    def placed(self) -> DataFrame:
+        """Clean rows with their position in the extract."""
         kept = self.flagged.where(F.col("_reject").isNull())
-        return kept.select(*[_output(f, kept.columns) for f in self.schema])
+        return kept.select(POSITION, *[_output(f, kept.columns) for f in self.schema])
 
     def _counters(self) -> DataFrame:
         """One row: received, kept and a counter per step."""
@@ -146,14 +151,14 @@ def general_rules(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.withColumn("_reject", F.when(nothing, "G-05 empty row"))
 
 
-def later_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Adds `_first`, the position of the first kept row, to rows of keys that occur more than once.
+def mark_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds `_first`: for rows whose key occurs more than once among the kept rows, where it first does.
 
     Only keys and positions are shuffled, combined before they travel: a key shared by a third of the
     rows sends one row per task. Repeated keys are few in practice, and the join back is broadcast
     only if they measure so; otherwise it is a shuffle whose skewed partitions are split.
     """
-    kept = df.where(F.col("_reject").isNull())
+    kept = df.where(F.col("_reject").isNull()) if "_reject" in df.columns else df
     repeated = kept.groupBy(*keys).agg(F.min(POSITION).alias("_first"), F.count("*").alias("_n")).where(F.col("_n") > 1)
     renamed = repeated.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_first")
     same = F.lit(True)
@@ -162,6 +167,15 @@ def later_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(renamed, same, "left").drop(*[f"_key{i}" for i in range(len(keys))])
 
 
+def is_copy() -> Column:
+    return F.col("_first").isNotNull() & (F.col(POSITION) != F.col("_first"))
+
+
+def keep_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first row of each key, by position."""
+    return mark_copies(df, keys).where(~is_copy()).drop("_first")
+
+
 def apply_rules(table: str, prepared: DataFrame, schema: T.StructType, steps: Sequence[Step]) -> Checked:
     """Runs the steps over a frame from `general_rules` whose columns have been parsed."""
     df = prepared
@@ -190,9 +204,8 @@ def apply_rules(table: str, prepared: DataFrame, schema: T.StructType, steps: Se
             label = f"{step.code} {step.what}"
             counted.append((step.code, "reject", step.what, F.count_if(F.col("_reject") == label)))
         if isinstance(step, Unique):
-            df = later_copies(df, step.keys)
-            is_copy = kept & F.col("_first").isNotNull() & (F.col(POSITION) != F.col("_first"))
-            df = df.withColumn("_reject", F.when(is_copy, label).otherwise(F.col("_reject"))).drop("_first")
+            df = mark_copies(df, step.keys)
+            df = df.withColumn("_reject", F.when(kept & is_copy(), label).otherwise(F.col("_reject"))).drop("_first")
         elif isinstance(step, MissingDays):
             days_from = step
         elif isinstance(step, (Warn, Fix)):

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline.load_queries import LOADING
 from shelfline.operators import ledger
 from shelfline.operators.rules import Checked
-from shelfline.plans import adhoc, alerts, charts, checks, daily, plan_fact, planning, sales, stock, validators
+from shelfline.plans import adhoc, alerts, charts, checks, daily, loading, plan_fact, planning, sales, stock, validators
 from shelfline.sources import driver_extracts
 from shelfline.star import Star
 
@@ -144,39 +145,38 @@ STOCK_AND_PLAN: dict[str, Callable[[Star], DataFrame]] = {
 }
 
 
-def _product_check(star: Star) -> Checked:
-    return validators.validate_dim_product(star["raw_dim_product"])
-
-
-def _sales_check(star: Star) -> Checked:
-    return validators.validate_fact_sales(
-        star["raw_fact_sales"], _product_check(star).clean, driver_extracts.START, driver_extracts.AS_OF)
-
-
-_CHECKED: dict[str, Callable[[Star], Checked]] = {
+_VALIDATORS: dict[str, Callable[[Star], Checked]] = {
     "dim_date": lambda s: validators.validate_dim_date(s["raw_dim_date"]),
-    "dim_product": _product_check,
+    "dim_product": lambda s: validators.validate_dim_product(s["raw_dim_product"]),
     "fact_plan": lambda s: validators.validate_fact_plan(s["raw_fact_plan"], driver_extracts.PLAN_YEARS),
-    "fact_sales": _sales_check,
+    "fact_sales": lambda s: validators.validate_fact_sales(
+        s["raw_fact_sales"], _checked(s, "dim_product").clean, driver_extracts.START, driver_extracts.AS_OF),
     "fact_inventory": lambda s: validators.validate_fact_inventory(
-        s["raw_fact_inventory"], _product_check(s).clean, driver_extracts.START, driver_extracts.AS_OF),
+        s["raw_fact_inventory"], _checked(s, "dim_product").clean, driver_extracts.START, driver_extracts.AS_OF),
 }
 
 
+def _checked(star: Star, table: str) -> Checked:
+    """Flagged rows of a raw extract, written once per application."""
+    if table not in star.memo:
+        star.memo[table] = loading.settle(_VALIDATORS[table](star), f"{star.work}/checked_{table}")
+    return star.memo[table]
+
+
 def _all_checked(star: Star) -> list[Checked]:
-    return [check(star) for check in _CHECKED.values()]
+    return [_checked(star, table) for table in _VALIDATORS]
 
 
 QUALITY: dict[str, Callable[[Star], DataFrame]] = {
-    **{f"dq_{table}": (lambda s, check=check: check(s).details()) for table, check in _CHECKED.items()},
+    **{f"dq_{table}": (lambda s, table=table: _checked(s, table).details()) for table in _VALIDATORS},
     "dq_summary": lambda s: validators.quality_summary(_all_checked(s)),
     "dq_details": lambda s: validators.quality_details(_all_checked(s)),
     "dq_total_issues": lambda s: validators.total_issues(_all_checked(s)),
-    "missing_sales_days": lambda s: validators.missing_sales_days(_sales_check(s).clean, driver_extracts.START),
-    "clean_dim_product": lambda s: _product_check(s).clean,
-    "clean_fact_sales": lambda s: _sales_check(s).clean,
+    "missing_sales_days": lambda s: validators.missing_sales_days(_checked(s, "fact_sales").clean, driver_extracts.START),
+    "clean_dim_product": lambda s: _checked(s, "dim_product").clean,
+    "clean_fact_sales": lambda s: _checked(s, "fact_sales").clean,
 }
 
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {
-    **MARTS, **VIEWS, **ADHOC, **CHARTS, **ALERTS, **CHECKS, **STOCK_AND_PLAN, **QUALITY,
+    **MARTS, **VIEWS, **ADHOC, **CHARTS, **ALERTS, **CHECKS, **STOCK_AND_PLAN, **QUALITY, **LOADING,
 }

@@ -14,6 +14,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

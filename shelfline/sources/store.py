@@ -1,4 +1,4 @@
-"""Parquet tables in the shared folder: full loads, appends and marts.
+"""Parquet tables in a folder: full loads, appends, marts.
 
 Facts are written in one folder per month and sorted by day inside a file, so a report on a few days
 lists and reads only those days. A rebalance before the write splits a month that holds far more rows
@@ -7,27 +7,38 @@ than the others and merges small ones, whatever the number of tasks upstream.
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfline.functions.dates import in_days
-from shelfline.schemas import FACTS, KEYS, PARTITION, TABLES
+from shelfline.operators.rules import POSITION, keep_first
+from shelfline.schemas import FACTS, KEYS, LINE_ATTRIBUTES, PARTITION
+from shelfline.star import Star
 
 _MANIFEST = "load_id bigint, table_name string, path string"
 
 
-def with_partition(df: DataFrame) -> DataFrame:
-    return df.withColumn(PARTITION, F.trunc("date", "month"))
-
-
 def write_fact(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    parted = with_partition(df).hint("rebalance", PARTITION)
+    parted = df.withColumn(PARTITION, F.trunc("date", "month")).hint("rebalance", PARTITION)
     parted.sortWithinPartitions(PARTITION, "date").write.mode(mode).partitionBy(PARTITION).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+def widen(sales: DataFrame, product: DataFrame) -> DataFrame:
+    """Sales lines with their product's attributes: joined once per load instead of once per mart."""
+    return sales.join(product.select("product_id", *LINE_ATTRIBUTES), "product_id", "left")
+
+
+@dataclass(frozen=True)
+class Inserted:
+    received: int
+    inserted: int
+
+    @property
+    def skipped(self) -> int:
+        return self.received - self.inserted
 
 
 class Store:
@@ -40,27 +51,36 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _manifest(self) -> DataFrame:
-        return self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest")
-
     def paths(self) -> dict[str, str]:
         """Path of each table in its latest published load."""
-        latest = self._manifest().groupBy("table_name").agg(F.max_by("path", "load_id").alias("path"))
+        manifest = self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest")
+        latest = manifest.groupBy("table_name").agg(F.max_by("path", "load_id").alias("path"))
         return {r.table_name: r.path for r in latest.collect()}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.paths()[name])
+        return self.spark.read.parquet(self.paths()[name])
+
+    def load_dim_product(self) -> DataFrame:
+        return self.table("dim_product")
+
+    def star(self, as_of: dt.date | None = None) -> Star:
+        read = self.spark.read.parquet
+        return Star(self.spark, as_of, **{n: (lambda p=p: read(p)) for n, p in self.paths().items()})
 
     def full_load(self, tables: dict[str, DataFrame], load_id: int) -> dict[str, str]:
+        """Replaces all tables."""
         paths = {}
         for name, df in tables.items():
             paths[name] = f"{self.root}/{name}/load={load_id}"
+            if name == "fact_sales":
+                df = widen(df, tables["dim_product"])
             if name in FACTS:
                 write_fact(df, paths[name])
             else:
                 df.write.mode("overwrite").parquet(paths[name])
         rows = [(load_id, name, path) for name, path in paths.items()]
-        self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").json(f"{self.root}/manifest")
+        manifest = self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
+        manifest.write.mode("append").json(f"{self.root}/manifest")
         return paths
 
     def existing_on_dates(self, batch: DataFrame, name: str) -> int:
@@ -69,31 +89,45 @@ class Store:
         low, high = days.agg(F.min("date"), F.max("date")).first()
         if low is None:
             return 0
-        stored = self._in_range(self.table(name), "date", low, high)
-        return stored.join(days, "date", "left_semi").count()
-
-    @staticmethod
-    def _in_range(stored: DataFrame, column: str, low, high) -> DataFrame:
-        """Stored rows that can match at all: literal bounds prune month folders and row groups."""
-        if column == "date":
-            return in_days(stored, low, high)
-        return stored.where(F.col(column).between(F.lit(low), F.lit(high)))
+        return in_days(self.table(name), low, high).join(days, "date", "left_semi").count()
 
     def new_rows(self, batch: DataFrame, name: str) -> DataFrame:
-        """Rows of the batch whose keys are free, the first of each key where the batch repeats one.
+        """Rows of the batch whose keys are free, the first of a key where the batch repeats one.
 
-        The stored table is never shuffled: it is reduced to the conflicting keys by a semi join with
-        the batch's keys, and the batch is then cleared of those.
+        The stored table is never shuffled: literal bounds prune it to the months and row groups that
+        can hold the batch's keys, a semi join reduces those to the conflicts, and the batch is
+        cleared of them.
         """
         stored = self.table(name)
         for keys in KEYS[name]:
-            lead = keys[-1]
+            lead = "date" if "date" in keys else keys[0]
             low, high = batch.agg(F.min(lead), F.max(lead)).first()
             if low is None:
                 continue
+            near = in_days(stored, low, high) if lead == "date" else stored.where(F.col(lead).between(low, high))
             wanted = batch.select(*keys).distinct()
-            taken = self._in_range(stored, lead, low, high).select(*keys).join(wanted, keys, "left_semi").distinct()
+            taken = near.select(*keys).join(wanted, keys, "left_semi").distinct()
             batch = batch.join(taken, keys, "left_anti")
         for keys in KEYS[name]:
-            batch = batch.dropDuplicates(keys)
+            batch = keep_first(batch, keys)
         return batch
+
+    def insert_rows(self, batch: DataFrame, name: str) -> Inserted:
+        """Appends the rows whose keys are free. Running it again with the same batch adds nothing.
+
+        The new rows are settled on shared storage before the append, so that counting and writing
+        see the same rows and never the table while it grows.
+        """
+        if POSITION not in batch.columns:
+            batch = batch.withColumn(POSITION, F.monotonically_increasing_id()).checkpoint()
+        fresh = self.new_rows(batch, name).drop(POSITION)
+        if name == "fact_sales":
+            fresh = widen(fresh, self.table("dim_product"))
+        fresh = fresh.checkpoint()
+        counted = Inserted(batch.count(), fresh.count())
+        if counted.inserted:
+            if name in FACTS:
+                write_fact(fresh, self.paths()[name], mode="append")
+            else:
+                fresh.write.mode("append").parquet(self.paths()[name])
+        return counted

@@ -11,7 +11,7 @@ from shelfline.schemas import FACTS
 from shelfline.session import shared_dir
 from shelfline.sources import driver_extracts
 from shelfline.sources.driver_star import DriverTables, read
-from shelfline.sources.store import read_table, write_fact
+from shelfline.sources.store import write_fact
 from shelfline.star import Star
 
 _stars: dict[tuple[str, str], Star] = {}
@@ -38,10 +38,11 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
                 write_fact(df, path)
             else:
                 df.write.mode("overwrite").parquet(path)
-            return read_table(spark, path)
+            return spark.read.parquet(path)
         return table
 
     star = Star(spark)
+    star.work = root
     star._tables = {
         "dim_date": derived.calendar,
         "dim_product": written("dim_product", lambda: derived.product),

@@ -20,6 +20,8 @@ class Star:
         self.spark = spark
         self._as_of = as_of
         self._tables = dict(tables)
+        self.work: str | None = None  # folder for written intermediates
+        self.memo: dict = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         table = self._tables[name]
