@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 def running_rank(df: DataFrame, by: str, tie: str, total: str | None = None, within: Sequence[str] = (),
                  rank: str = "rank", running: str = "running", grand: str = "grand",
                  partitions: int | None = None) -> DataFrame:
-    """Adds the RANK of each row in descending order of `by`; `tie` orders equal values.
+    """Adds the RANK of each row in descending order of `by`, never NULL; `tie` orders equal values.
 
     With `total`, also the running sum of that column up to and including the row, and its grand
     total. `within` restarts both per group and is meant for a few large groups; many small ones are
@@ -24,7 +24,7 @@ def running_rank(df: DataFrame, by: str, tie: str, total: str | None = None, wit
     data, which a lost executor cannot change under the join.
     """
     group = list(within)
-    order = [F.col(by).desc_nulls_last(), F.col(tie)]
+    order = [F.col(by).desc(), F.col(tie)]
     keys = [*map(F.col, group), *order]
     split = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     placed = split.withColumn("_part", F.spark_partition_id()).checkpoint()

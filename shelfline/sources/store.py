@@ -8,21 +8,27 @@ than the others and merges small ones, whatever the number of tasks upstream.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.functions.dates import in_days
 from shelfline.operators.rules import POSITION, keep_first
 from shelfline.schemas import FACTS, KEYS, LINE_ATTRIBUTES, PARTITION
 from shelfline.star import Star
 
-_MANIFEST = "load_id bigint, table_name string, path string"
+_MANIFEST = "load_id bigint, table_name string, path string, columns string"
+
+
+def with_partition(df: DataFrame) -> DataFrame:
+    return df.withColumn(PARTITION, F.trunc("date", "month"))
 
 
 def write_fact(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    parted = df.withColumn(PARTITION, F.trunc("date", "month")).hint("rebalance", PARTITION)
+    parted = with_partition(df).hint("rebalance", PARTITION)
     parted.sortWithinPartitions(PARTITION, "date").write.mode(mode).partitionBy(PARTITION).parquet(path)
 
 
@@ -51,37 +57,41 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def paths(self) -> dict[str, str]:
-        """Path of each table in its latest published load."""
+    def _published(self) -> dict[str, Row]:
+        """Path and columns of each table in its latest load; five rows, however large the tables."""
         manifest = self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest")
-        latest = manifest.groupBy("table_name").agg(F.max_by("path", "load_id").alias("path"))
-        return {r.table_name: r.path for r in latest.collect()}
+        entry = F.struct("path", "columns")
+        latest = manifest.groupBy("table_name").agg(F.max_by(entry, "load_id").alias("entry"))
+        return {r.table_name: r.entry for r in latest.collect()}
+
+    def _read(self, entry: Row) -> DataFrame:
+        """With the stored schema, so that no file is opened to infer it and an empty table reads too."""
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(entry.columns))).parquet(entry.path)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.paths()[name])
+        return self._read(self._published()[name])
 
     def load_dim_product(self) -> DataFrame:
         return self.table("dim_product")
 
     def star(self, as_of: dt.date | None = None) -> Star:
-        read = self.spark.read.parquet
-        return Star(self.spark, as_of, **{n: (lambda p=p: read(p)) for n, p in self.paths().items()})
+        return Star(self.spark, as_of, **{n: self._read(e) for n, e in self._published().items()})
 
-    def full_load(self, tables: dict[str, DataFrame], load_id: int) -> dict[str, str]:
+    def full_load(self, tables: dict[str, DataFrame], load_id: int) -> None:
         """Replaces all tables."""
-        paths = {}
+        rows = []
         for name, df in tables.items():
-            paths[name] = f"{self.root}/{name}/load={load_id}"
+            path = f"{self.root}/{name}/load={load_id}"
             if name == "fact_sales":
                 df = widen(df, tables["dim_product"])
             if name in FACTS:
-                write_fact(df, paths[name])
+                write_fact(df, path)
+                df = with_partition(df)
             else:
-                df.write.mode("overwrite").parquet(paths[name])
-        rows = [(load_id, name, path) for name, path in paths.items()]
+                df.write.mode("overwrite").parquet(path)
+            rows.append((load_id, name, path, df.schema.json()))
         manifest = self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
         manifest.write.mode("append").json(f"{self.root}/manifest")
-        return paths
 
     def existing_on_dates(self, batch: DataFrame, name: str) -> int:
         """Rows already stored on the days of the batch."""
@@ -126,8 +136,9 @@ class Store:
         fresh = fresh.checkpoint()
         counted = Inserted(batch.count(), fresh.count())
         if counted.inserted:
+            path = self._published()[name].path
             if name in FACTS:
-                write_fact(fresh, self.paths()[name], mode="append")
+                write_fact(fresh, path, mode="append")
             else:
-                fresh.write.mode("append").parquet(self.paths()[name])
+                fresh.write.mode("append").parquet(path)
         return counted
