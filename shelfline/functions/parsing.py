@@ -9,20 +9,33 @@ from pyspark.sql import types as T
 # --- fixed values: blank characters a trim removes, and what counts as a number or a flag ---
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) \
     + "\u2028\u2029\u202f\u205f\u3000"
-NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
+INFINITE = [sign + word for sign in ("", "+", "-") for word in ("inf", "infinity")]
 TRUE_TEXT, FALSE_TEXT = ["1", "true"], ["0", "false"]
 DATE_FORMAT = "yyyy-M-d"
 ISBN_DIGITS = 13
 # --- end of fixed values ---
 
 
+def _last(text: Column) -> Column:
+    return F.substring(text, -1, 1)
+
+
 def trimmed(text: Column) -> Column:
-    return F.trim(text, F.lit(BLANKS))
+    """Without blanks at either end. Text that begins and ends in a plain visible character, as nearly
+    all does, is passed on without searching the list of blanks."""
+    solid = F.ascii(text).between(33, 126) & F.ascii(_last(text)).between(33, 126)
+    return F.when(solid, text).otherwise(F.trim(text, F.lit(BLANKS)))
 
 
 def number(text: Column) -> Column:
-    """Decimal or exponent notation as a double."""
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    """Decimal or exponent notation as a double.
+
+    The cast alone would also take a type suffix (`1d`) or a hexadecimal; text that ends otherwise
+    than a number does is not even tried.
+    """
+    digits = _last(text).between("0", "9") | (_last(text) == ".")
+    plain = digits & ~text.contains("x") & ~text.contains("X")
+    return F.when(plain | F.lower(text).isin(INFINITE), text.try_cast("double"))
 
 
 def flag(text: Column) -> Column:

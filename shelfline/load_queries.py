@@ -84,7 +84,8 @@ def insert_rows(star: Star) -> DataFrame:
 
 def _checked_history(star: Star, store: Store, product: DataFrame) -> None:
     raw = star["raw_fact_sales"].where(F.col("date") < F.lit(str(CUTOFF)))
-    history = validators.validate_fact_sales(raw, product, driver_extracts.START, driver_extracts.AS_OF)
+    history = validators.validate_fact_sales(
+        raw, product, driver_extracts.START, driver_extracts.AS_OF, stage=loading.staged(f"{store.root}/stage_history"))
     settled = loading.settle(history, f"{store.root}/checked_history")
     store.full_load({"dim_product": product, "fact_sales": settled.clean}, load_id=1)
 
@@ -95,7 +96,8 @@ def _stored(store: Store) -> DataFrame:
 
 
 def _product(star: Star) -> DataFrame:
-    return validators.validate_dim_product(star["raw_dim_product"]).clean.checkpoint()
+    stage = loading.staged(_folder(star, "stage_product"))
+    return validators.validate_dim_product(star["raw_dim_product"], stage).clean.checkpoint()
 
 
 def incremental_load(star: Star) -> DataFrame:

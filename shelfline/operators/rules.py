@@ -8,7 +8,7 @@ columns, so one aggregation yields every counter and one filter the clean rows.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -141,26 +141,39 @@ def _output(field: T.StructField, columns: list[str]) -> Column:
 def general_rules(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Trimmed text columns with blanks as NULL, and per row how many values that changed."""
     given = [f.name for f in schema if f.name in raw.columns]
-    changed = [F.coalesce(trimmed(F.col(c)) != F.col(c), F.lit(False)).cast("int") for c in given]
-    blank = [F.coalesce(trimmed(F.col(c)) == "", F.lit(False)).cast("int") for c in given]
+    # Trimmed once, in a projection of their own; everything after refers to the result.
+    both = raw.select(POSITION, *given, *[trimmed(F.col(c)).alias(f"_t_{c}") for c in given])
+
+    def count(tests: list[Column]) -> Column:
+        return sum([F.coalesce(t, F.lit(False)).cast("int") for t in tests], F.lit(0))
+
     text = [
-        (F.nullif(trimmed(F.col(f.name)), F.lit("")) if f.name in given else F.lit(None).cast("string")).alias(f.name)
+        (F.nullif(F.col(f"_t_{f.name}"), F.lit("")) if f.name in given else F.lit(None).cast("string")).alias(f.name)
         for f in schema]
-    rows = raw.select(POSITION, *text, sum(changed, F.lit(0)).alias("_trimmed"), sum(blank, F.lit(0)).alias("_blanked"))
+    rows = both.select(
+        POSITION, *text, count([F.col(f"_t_{c}") != F.col(c) for c in given]).alias("_trimmed"),
+        count([F.col(f"_t_{c}") == "" for c in given]).alias("_blanked"))
     nothing = F.coalesce(*[F.col(f.name) for f in schema]).isNull()
     return rows.withColumn("_reject", F.when(nothing, "G-05 empty row"))
 
 
-def mark_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def mark_copies(df: DataFrame, keys: Sequence[str], stage: Stage | None = None, name: str = "") -> DataFrame:
     """Adds `_first`: for rows whose key occurs more than once among the kept rows, where it first does.
 
     Only keys and positions are shuffled, combined before they travel: a key shared by a third of the
-    rows sends one row per task. Repeated keys are few in practice, and the join back is broadcast
-    only if they measure so; otherwise it is a shuffle whose skewed partitions are split.
+    rows sends one row per task. With a `stage` the repeated keys are written first. They are few in
+    practice, and the planner then knows their size before it touches the rows: small enough, they are
+    broadcast and the rows are not shuffled at all; otherwise it is a shuffle whose skewed partitions
+    are split.
     """
     kept = df.where(F.col("_reject").isNull()) if "_reject" in df.columns else df
     repeated = kept.groupBy(*keys).agg(F.min(POSITION).alias("_first"), F.count("*").alias("_n")).where(F.col("_n") > 1)
     renamed = repeated.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_first")
+    if stage:
+        renamed = stage(renamed, name)
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
@@ -176,7 +189,8 @@ def keep_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return mark_copies(df, keys).where(~is_copy()).drop("_first")
 
 
-def apply_rules(table: str, prepared: DataFrame, schema: T.StructType, steps: Sequence[Step]) -> Checked:
+def apply_rules(table: str, prepared: DataFrame, schema: T.StructType, steps: Sequence[Step],
+                stage: Stage | None = None) -> Checked:
     """Runs the steps over a frame from `general_rules` whose columns have been parsed."""
     df = prepared
     counted = [
@@ -204,7 +218,7 @@ def apply_rules(table: str, prepared: DataFrame, schema: T.StructType, steps: Se
             label = f"{step.code} {step.what}"
             counted.append((step.code, "reject", step.what, F.count_if(F.col("_reject") == label)))
         if isinstance(step, Unique):
-            df = mark_copies(df, step.keys)
+            df = mark_copies(df, step.keys, stage, f"copies_{i}")
             df = df.withColumn("_reject", F.when(kept & is_copy(), label).otherwise(F.col("_reject"))).drop("_first")
         elif isinstance(step, MissingDays):
             days_from = step

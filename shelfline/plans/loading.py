@@ -7,11 +7,11 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.operators.rules import Checked
+from shelfline.operators.rules import Checked, Stage
 from shelfline.plans import validators
 from shelfline.schemas import FACTS, PLAN_YEARS, PROJECT_START
 from shelfline.session import shared_dir
-from shelfline.sources.files import read_csv
+from shelfline.sources.files import read_csv, written
 from shelfline.sources.store import Inserted, Store
 
 
@@ -25,14 +25,12 @@ class Loaded:
 
 def settle(checked: Checked, path: str) -> Checked:
     """Writes the flagged rows once; clean rows and every counter are then read from there."""
-    checked.flagged.write.mode("overwrite").parquet(path)
-    return replace(checked, flagged=checked.flagged.sparkSession.read.parquet(path))
+    return replace(checked, flagged=written(checked.flagged, path))
 
 
-def land(spark: SparkSession, source: str, path: str) -> DataFrame:
-    """Parses a CSV extract once into Parquet. Row positions become stored values."""
-    read_csv(spark, source).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def staged(folder: str) -> Stage:
+    """Writes the frames a validator reads more than once below `folder`."""
+    return lambda df, name: written(df, f"{folder}/{name}")
 
 
 def historical_load(spark: SparkSession, store: Store, sources: dict[str, str], load_id: int,
@@ -40,21 +38,19 @@ def historical_load(spark: SparkSession, store: Store, sources: dict[str, str],
                     plan_years: tuple[int, int] = PLAN_YEARS, work: str | None = None) -> Loaded:
     """Replaces the whole store from five extracts. Nothing is published until all five are written."""
     work = work or f"{shared_dir(spark)}/load-{load_id}"
-    raw = {name: land(spark, source, f"{work}/raw/{name}") for name, source in sources.items()}
+    done: dict[str, Checked] = {}
 
-    def settled(name: str, checked: Checked) -> Checked:
-        return settle(checked, f"{work}/checked/{name}")
+    def check(name: str, validate, *arguments) -> None:
+        raw = read_csv(spark, sources[name])
+        checked = validate(raw, *arguments, stage=staged(f"{work}/stage/{name}"))
+        done[name] = settle(checked, f"{work}/checked/{name}")
 
-    done = {
-        "dim_date": settled("dim_date", validators.validate_dim_date(raw["dim_date"])),
-        "dim_product": settled("dim_product", validators.validate_dim_product(raw["dim_product"])),
-        "fact_plan": settled("fact_plan", validators.validate_fact_plan(raw["fact_plan"], plan_years)),
-    }
+    check("dim_date", validators.validate_dim_date)
+    check("dim_product", validators.validate_dim_product)
+    check("fact_plan", validators.validate_fact_plan, plan_years)
     product = done["dim_product"].clean
-    done["fact_sales"] = settled(
-        "fact_sales", validators.validate_fact_sales(raw["fact_sales"], product, start, as_of))
-    done["fact_inventory"] = settled(
-        "fact_inventory", validators.validate_fact_inventory(raw["fact_inventory"], product, start, as_of))
+    check("fact_sales", validators.validate_fact_sales, product, start, as_of)
+    check("fact_inventory", validators.validate_fact_inventory, product, start, as_of)
     store.full_load({name: checked.clean for name, checked in done.items()}, load_id)
     checked = list(done.values())
     return Loaded(validators.quality_summary(checked), validators.quality_details(checked), {}, {})
@@ -74,9 +70,11 @@ def daily_update(spark: SparkSession, store: Store, batches: dict[str, DataFrame
         if name not in batches:
             continue
         if name == "fact_sales":
-            checked = validators.validate_fact_sales(batches[name], product, start, as_of, days_from)
+            checked = validators.validate_fact_sales(
+                batches[name], product, start, as_of, days_from, stage=staged(f"{work}/stage/{name}"))
         else:
-            checked = validators.validate_fact_inventory(batches[name], product, start, as_of)
+            checked = validators.validate_fact_inventory(
+                batches[name], product, start, as_of, stage=staged(f"{work}/stage/{name}"))
         done[name] = settle(checked, f"{work}/checked/{name}")
     existing = {name: store.existing_on_dates(c.clean, name) for name, c in done.items()}
     inserted = {name: store.insert_rows(c.placed, name) for name, c in done.items()}

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from shelfline.functions.parsing import day, flag, isbn13_ok, number, number_flag
 from shelfline.operators.rules import (
-    POSITION, Checked, Fix, MissingDays, Reject, Unique, Warn, apply_rules, general_rules,
+    POSITION, Checked, Fix, MissingDays, Reject, Stage, Unique, Warn, apply_rules, general_rules,
 )
 from shelfline.schemas import (
     BOOK_FORMATS, BOOK_GENRES, CHANNELS, DIGITAL_FORMATS, DIM_DATE, DIM_PRODUCT, FACT_INVENTORY,
@@ -19,8 +19,12 @@ from shelfline.schemas import (
 )
 
 
-def _prepared(raw: DataFrame, schema: T.StructType, text_flags: tuple[str, ...] = ()) -> DataFrame:
-    """General rules, then numbers as doubles beside their text and days as dates."""
+def _prepared(raw: DataFrame, schema: T.StructType, stage: Stage | None, text_flags: tuple[str, ...] = ()) -> DataFrame:
+    """General rules, then numbers as doubles beside their text and the day as a date.
+
+    Rules that look for copies read the table more than once. `stage` writes a frame and reads it
+    back, so that text is parsed once and the later passes read only the columns they need.
+    """
     if POSITION not in raw.columns:
         raw = raw.withColumn(POSITION, F.monotonically_increasing_id())
     df = general_rules(raw, schema)
@@ -31,7 +35,8 @@ def _prepared(raw: DataFrame, schema: T.StructType, text_flags: tuple[str, ...]
             parsed[field.name] = number(F.col(field.name))
         elif field.name == "date":
             parsed["date"] = day(F.col("date"))
-    return df.withColumns(parsed)
+    df = df.withColumns(parsed)
+    return stage(df, "parsed") if stage else df
 
 
 # --- tests; each is true or false, never NULL ---
@@ -78,29 +83,29 @@ def _required(names: list[str]) -> list[Reject]:
     return [Reject("X-01", f"{n} missing", _null(n)) for n in names]
 
 
-def validate_dim_date(raw: DataFrame) -> Checked:
+def validate_dim_date(raw: DataFrame, stage: Stage | None = None) -> Checked:
     d = F.col("date")
     parts = {"year": F.year(d), "month": F.month(d), "quarter": F.quarter(d)}
     same = F.lit(True)
     for name, value in parts.items():
         same = same & _yes(F.col(name).cast("int") == value)
     weekend = (F.weekday(d) >= 5).cast("int")
-    return apply_rules("dim_date", _prepared(raw, DIM_DATE), DIM_DATE, [
+    return apply_rules("dim_date", _prepared(raw, DIM_DATE, stage), DIM_DATE, [
         Reject("D-01/D-02", "not a date", _null("date")),
         Unique("D-03", "repeated date", ["date"]),
         Fix("D-04", "date parts recomputed", ~same, parts),
         Fix("D-05", "weekend recomputed", _unless(number_flag(F.col("is_weekend")) == weekend), {"is_weekend": weekend}),
         Reject("D-06", "holiday flag not 0/1", _unless(F.col("is_holiday_ru").isin(0, 1))),
-    ])
+    ], stage)
 
 
-def validate_dim_product(raw: DataFrame) -> Checked:
+def validate_dim_product(raw: DataFrame, stage: Stage | None = None) -> Checked:
     fmt = F.col("format")
     book = fmt != SUBSCRIPTION
     physical = fmt.isin(PHYSICAL_FORMATS)
     is_physical = physical.cast("int")
     digital_stock = fmt.isin(DIGITAL_FORMATS) & F.col("stock_initial").isNotNull()
-    prepared = _prepared(raw, DIM_PRODUCT, text_flags=("is_physical",))
+    prepared = _prepared(raw, DIM_PRODUCT, stage, text_flags=("is_physical",))
     everything_else = [f.name for f in DIM_PRODUCT if f.name != "product_id"]
     return apply_rules("dim_product", prepared, DIM_PRODUCT, [
         Reject("P-01", "id not positive", _not_positive("product_id")),
@@ -122,12 +127,12 @@ def validate_dim_product(raw: DataFrame) -> Checked:
         Fix("P-15", "physical flag recomputed", _unless(flag(F.col("is_physical")) == is_physical),
             {"is_physical": is_physical}),
         Unique("P-16", "copy under another id", everything_else),
-    ])
+    ], stage)
 
 
-def validate_fact_plan(raw: DataFrame, years: tuple[int, int] = PLAN_YEARS) -> Checked:
+def validate_fact_plan(raw: DataFrame, years: tuple[int, int] = PLAN_YEARS, stage: Stage | None = None) -> Checked:
     qty, amount = F.col("plan_qty"), F.col("plan_amount")
-    return apply_rules("fact_plan", _prepared(raw, FACT_PLAN), FACT_PLAN, [
+    return apply_rules("fact_plan", _prepared(raw, FACT_PLAN, stage), FACT_PLAN, [
         Unique("PL-01", "repeated id", ["plan_id"]),
         Reject("PL-02", "unknown genre", _not_in("genre", BOOK_GENRES)),
         Reject("PL-03", "unknown format", _not_in("format", BOOK_FORMATS)),
@@ -139,7 +144,7 @@ def validate_fact_plan(raw: DataFrame, years: tuple[int, int] = PLAN_YEARS) -> C
         Warn("PL-08", "quantity and amount disagree", (qty == 0) != (amount == 0)),
         Unique("PL-10", "repeated genre, format and month", ["genre", "format", "year", "month"]),
         *_required(["plan_id"]),
-    ])
+    ], stage)
 
 
 def _with_format(prepared: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -149,13 +154,14 @@ def _with_format(prepared: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 
 def validate_fact_sales(raw: DataFrame, dim_product: DataFrame, start: dt.date = PROJECT_START,
-                        as_of: dt.date | None = None, days_from: dt.date | None = None) -> Checked:
+                        as_of: dt.date | None = None, days_from: dt.date | None = None,
+                        stage: Stage | None = None) -> Checked:
     """`as_of` is the last acceptable day (today); `days_from` where the search for missing days begins."""
     qty, price, returned = F.col("sales_qty"), F.col("unit_price"), F.col("return_qty")
     discount, promo = F.col("discount_percent"), F.col("is_promo")
     digital = F.col("_format").isin(DIGITAL_FORMATS)
     return_amount = F.col("return_amount")
-    prepared = _with_format(_prepared(raw, FACT_SALES), dim_product)
+    prepared = _with_format(_prepared(raw, FACT_SALES, stage), dim_product)
     return apply_rules("fact_sales", prepared, FACT_SALES, [
         Unique("S-01", "repeated id", ["sales_id"]),
         Warn("S-02", "no order", _null("order_id")),
@@ -179,15 +185,15 @@ def validate_fact_sales(raw: DataFrame, dim_product: DataFrame, start: dt.date =
         Warn("S-19", "lost sales negative", _yes(F.col("lost_sales_qty") < 0)),
         *_required(["sales_id", "sales_amount"]),
         *_defaults(["return_qty", "return_amount", "is_promo", "lost_sales_qty"]),
-    ])
+    ], stage)
 
 
 def validate_fact_inventory(raw: DataFrame, dim_product: DataFrame, start: dt.date = PROJECT_START,
-                            as_of: dt.date | None = None) -> Checked:
+                            as_of: dt.date | None = None, stage: Stage | None = None) -> Checked:
     closing = F.col("closing_stock")
     balance = F.col("opening_stock") - F.col("sold_qty") + F.col("replenishment_qty")
     low = (closing < LOW_STOCK).cast("int")
-    prepared = _with_format(_prepared(raw, FACT_INVENTORY), dim_product)
+    prepared = _with_format(_prepared(raw, FACT_INVENTORY, stage), dim_product)
     return apply_rules("fact_inventory", prepared, FACT_INVENTORY, [
         Reject("I-01", "unknown product", _null("_known_id")),
         Reject("I-02", "not a physical product", _not_in("_format", PHYSICAL_FORMATS)),
@@ -201,7 +207,7 @@ def validate_fact_inventory(raw: DataFrame, dim_product: DataFrame, start: dt.da
         Warn("I-10", "stock does not balance", _far(closing, balance, 1e-5, 1.0)),
         Fix("I-11", "low-stock flag recomputed", _unless(number_flag(F.col("is_low_stock")) == low), {"is_low_stock": low}),
         *_required(["inventory_id"]),
-    ])
+    ], stage)
 
 
 def missing_sales_days(sales: DataFrame, start: dt.date) -> DataFrame:

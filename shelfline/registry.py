@@ -145,21 +145,22 @@ STOCK_AND_PLAN: dict[str, Callable[[Star], DataFrame]] = {
 }
 
 
-_VALIDATORS: dict[str, Callable[[Star], Checked]] = {
-    "dim_date": lambda s: validators.validate_dim_date(s["raw_dim_date"]),
-    "dim_product": lambda s: validators.validate_dim_product(s["raw_dim_product"]),
-    "fact_plan": lambda s: validators.validate_fact_plan(s["raw_fact_plan"], driver_extracts.PLAN_YEARS),
-    "fact_sales": lambda s: validators.validate_fact_sales(
-        s["raw_fact_sales"], _checked(s, "dim_product").clean, driver_extracts.START, driver_extracts.AS_OF),
-    "fact_inventory": lambda s: validators.validate_fact_inventory(
-        s["raw_fact_inventory"], _checked(s, "dim_product").clean, driver_extracts.START, driver_extracts.AS_OF),
+_VALIDATORS: dict[str, Callable[..., Checked]] = {
+    "dim_date": lambda s, **k: validators.validate_dim_date(s["raw_dim_date"], **k),
+    "dim_product": lambda s, **k: validators.validate_dim_product(s["raw_dim_product"], **k),
+    "fact_plan": lambda s, **k: validators.validate_fact_plan(s["raw_fact_plan"], driver_extracts.PLAN_YEARS, **k),
+    "fact_sales": lambda s, **k: validators.validate_fact_sales(
+        s["raw_fact_sales"], _checked(s, "dim_product").clean, driver_extracts.START, driver_extracts.AS_OF, **k),
+    "fact_inventory": lambda s, **k: validators.validate_fact_inventory(
+        s["raw_fact_inventory"], _checked(s, "dim_product").clean, driver_extracts.START, driver_extracts.AS_OF, **k),
 }
 
 
 def _checked(star: Star, table: str) -> Checked:
     """Flagged rows of a raw extract, written once per application."""
     if table not in star.memo:
-        star.memo[table] = loading.settle(_VALIDATORS[table](star), f"{star.work}/checked_{table}")
+        stage = loading.staged(f"{star.work}/stage_{table}")
+        star.memo[table] = loading.settle(_VALIDATORS[table](star, stage=stage), f"{star.work}/checked_{table}")
     return star.memo[table]
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelfline.operators.rules import POSITION
 from shelfline.schemas import BOOK_GENRES, COST_PERCENT, PHYSICAL_FORMATS, SUBSCRIPTION
 from shelfline.sources.driver_star import FORMAT_OF_TYPE, _lookup, _pick
+from shelfline.sources.files import spread
 
 # --- parameters of the registered checks, repeated in the checking SQL ---
 START = dt.date(1996, 1, 1)
@@ -28,7 +29,7 @@ def _text(df: DataFrame, **columns: Column) -> DataFrame:
 
 def _placed(df: DataFrame) -> DataFrame:
     """File order, taken at the scan."""
-    return df.withColumn(POSITION, F.monotonically_increasing_id())
+    return spread(df.withColumn(POSITION, F.monotonically_increasing_id()))
 
 
 def _cents(value: Column) -> Column:

@@ -17,6 +17,7 @@ from shelfline.schemas import (
     BOOK_GENRES, COST_PERCENT, DIM_PRODUCT, FACT_SALES, LANGUAGES, LINE_ATTRIBUTES,
     PHYSICAL_FORMATS, SUBSCRIPTION,
 )
+from shelfline.sources.files import spread
 from shelfline.star import Star
 
 # --- fixed values of the mapping, repeated in the checking SQL ---
@@ -128,7 +129,7 @@ class DriverTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.product = products(read(spark, sf_dir, "part"))
-        self.lineitem = read(spark, sf_dir, "lineitem")
+        self.lineitem = spread(read(spark, sf_dir, "lineitem"))
         self.first, self.last = self.lineitem.agg(
             F.to_date(F.min("l_shipdate")), F.to_date(F.max("l_shipdate"))).first()
 

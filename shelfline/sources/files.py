@@ -99,6 +99,22 @@ def cast_types(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[cast(c) for c in df.columns])
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Written as Parquet and read back: computed once, and safe from a lost executor after that."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small input comes in fewer splits than there are cores; deal its rows out to all of them.
+
+    A large one already has more splits and stays as it is. Give it a plain scan, whose splits are
+    known without running anything.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 

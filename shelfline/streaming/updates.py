@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfline.operators.rules import POSITION
 from shelfline.plans.loading import daily_update
 from shelfline.schemas import NULL_TOKENS, PROJECT_START, TABLES
 from shelfline.sources.store import Store
@@ -31,9 +30,7 @@ def stream_updates(spark: SparkSession, store: Store, table: str, folder: str, w
 
     def append(batch: DataFrame, batch_id: int) -> None:
         raw = batch.select(*[F.when(~F.col(n).isin(NULL_TOKENS), F.col(n)).alias(n) for n in names])
-        landed = f"{work}/{table}/batch={batch_id}"
-        raw.withColumn(POSITION, F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{landed}/raw")
-        daily_update(spark, store, {table: spark.read.parquet(f"{landed}/raw")}, landed, start, as_of, days_from)
+        daily_update(spark, store, {table: raw}, f"{work}/{table}/batch={batch_id}", start, as_of, days_from)
 
     return (files.writeStream.foreachBatch(append).option("checkpointLocation", f"{work}/{table}/progress")
             .trigger(availableNow=True).start())
