@@ -5,7 +5,7 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.schemas import PARTITION
@@ -42,19 +42,28 @@ def in_days(df: DataFrame, first: dt.date | None, last: dt.date | None) -> DataF
 def last_date(df: DataFrame) -> dt.date | None:
     """Latest date of a fact. The newest month comes from the folder names alone; only that month's
     date column is read after that."""
+    return _edge(df, F.max)
+
+
+def first_date(df: DataFrame) -> dt.date | None:
+    return _edge(df, F.min)
+
+
+def _edge(df: DataFrame, which) -> dt.date | None:
     if PARTITION in df.columns:
-        newest = df.agg(F.max(PARTITION)).first()[0]
-        if newest is None:
+        month = df.agg(which(PARTITION)).first()[0]
+        if month is None:
             return None
-        df = df.where(F.col(PARTITION) == F.lit(newest))
-    return df.agg(F.max("date")).first()[0]
-
-
-def calendar_parts(day: str = "date") -> list:
-    d = F.col(day)
-    return [
-        F.year(d).alias("year"),
-        F.month(d).alias("month"),
-        F.quarter(d).alias("quarter"),
-        F.trunc(d, "month").alias("month_start"),
-    ]
+        df = df.where(F.col(PARTITION) == F.lit(month))
+    return df.agg(which("date")).first()[0]
+
+
+def by_month(df: DataFrame) -> DataFrame:
+    """Adds month_start, the one key a monthly group needs."""
+    return df.withColumn("month_start", F.trunc("date", "month"))
+
+
+def month_parts() -> list[Column]:
+    """Year, month and quarter of month_start, worked out once per group."""
+    m = F.col("month_start")
+    return [F.year(m).alias("year"), F.month(m).alias("month"), F.quarter(m).alias("quarter")]

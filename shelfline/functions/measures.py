@@ -7,7 +7,9 @@ primitive longs and the sums exact; the decimal is rebuilt once per group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -78,3 +80,21 @@ def margin(profit: str = "gross_profit", revenue: str = "net_revenue") -> Column
 
 def average_order(revenue: str = "net_revenue", orders: str = "orders") -> Column:
     return ratio_or_zero(F.col(revenue), exact(F.col(orders)), 2)
+
+
+def totals_and_orders(lines: DataFrame, keys: Sequence[str], totals: Sequence[Column], orders: str = "orders") -> DataFrame:
+    """Additive totals and distinct orders per group, over a long history.
+
+    In one aggregation the distinct count makes every total travel once per group and order, which is
+    about once per line. Apart, the totals combine to one row per group and task before the shuffle,
+    and only the keys and order numbers travel in bulk. The groups are then put together by key.
+    """
+    summed = lines.groupBy(*keys).agg(*totals)
+    pairs = lines.where(F.col("order_id").isNotNull()).select(*keys, "order_id").distinct()
+    counted = pairs.groupBy(*keys).agg(F.count("*").alias(orders)).select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], orders)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    joined = summed.join(counted, same, "left").drop(*[f"_key{i}" for i in range(len(keys))])
+    return joined.withColumn(orders, F.coalesce(orders, F.lit(0).cast("bigint")))

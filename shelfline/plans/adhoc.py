@@ -57,7 +57,7 @@ def genre_margin_period(star: Star, first: dt.date, last: dt.date) -> DataFrame:
 
 
 def top_products_abc(star: Star, n: int = 20) -> DataFrame:
-    return mart_abc(star).select(
+    return star.mart(mart_abc).select(
         "revenue_rank", "product_id", "title", "format", "genre", "total_net_revenue", "product_margin", "abc_class",
     ).orderBy("revenue_rank", "product_id").limit(n)
 
@@ -107,7 +107,7 @@ def replenishment_frequency(star: Star) -> DataFrame:
 
 def plan_closed_summary(star: Star) -> DataFrame:
     """Plan and fact of each closed month."""
-    closed = mart_plan_fact_history(star).where(F.col("month_status") == "closed")
+    closed = star.mart(mart_plan_fact_history).where(F.col("month_status") == "closed")
     sums = closed.groupBy("year", "month").agg(
         money(F.sum(cents("plan_amount"))).alias("total_plan"), money(F.sum(cents("fact_amount"))).alias("total_fact"))
     return sums.withColumn(
@@ -116,7 +116,7 @@ def plan_closed_summary(star: Star) -> DataFrame:
 
 def missed_plan_genres(star: Star, below: float = 80, at_least: int = 2) -> DataFrame:
     """Genres whose closed plan rows stayed under `below` per cent at least `at_least` times."""
-    missed = mart_plan_fact_history(star).where(
+    missed = star.mart(mart_plan_fact_history).where(
         (F.col("month_status") == "closed") & (F.col("pct_of_plan") < below))
     return missed.groupBy("genre").agg(F.count("*").alias("missed_months")).where(
         F.col("missed_months") >= at_least).orderBy(F.desc("missed_months"), "genre")
@@ -124,7 +124,7 @@ def missed_plan_genres(star: Star, below: float = 80, at_least: int = 2) -> Data
 
 def format_margin_yoy(star: Star) -> DataFrame:
     """Margin of each format by year, subscriptions left out."""
-    trends = mart_sales_trends(star).where(F.col("format") != SUBSCRIPTION)
+    trends = star.mart(mart_sales_trends).where(F.col("format") != SUBSCRIPTION)
     sums = trends.groupBy("format", "year").agg(
         money(F.sum(cents("gross_profit"))).alias("profit"), money(F.sum(cents("net_revenue"))).alias("revenue"))
     return sums.select(
@@ -133,7 +133,7 @@ def format_margin_yoy(star: Star) -> DataFrame:
 
 def weak_margin_publishers(star: Star, below: float = 0.30) -> DataFrame:
     """Publishers with a thin margin and above-average revenue."""
-    mart = mart_margin_by_publisher(star)
+    mart = star.mart(mart_margin_by_publisher)
     average = mart.agg((F.sum("net_revenue") / F.count("*")).alias("average")).scalar()
     return mart.where((F.col("gross_margin") < below) & (F.col("net_revenue") > average)).select(
         "publisher", "format", "gross_margin", "net_revenue", "rank_overall").orderBy("gross_margin", "rank_overall")
@@ -141,7 +141,7 @@ def weak_margin_publishers(star: Star, below: float = 0.30) -> DataFrame:
 
 def subscription_churn(star: Star) -> DataFrame:
     """Cancellations against new subscriptions by month and type."""
-    mart = mart_subscriptions_monthly(star)
+    mart = star.mart(mart_subscriptions_monthly)
     return mart.select(
         "year", "month", "subscription_type", "new_subscriptions", "cancellations",
         ratio(exact(F.col("cancellations") * 100), exact(F.col("new_subscriptions")), 1).alias("churn_pct"),

@@ -27,7 +27,7 @@ def severity(level: Column | None = None) -> Column:
 
 def alerts_ranked(star: Star, max_rows: int = 50) -> DataFrame:
     """The most pressing alerts: by level, then by stock."""
-    return mart_inventory_alerts(star).select(
+    return star.mart(mart_inventory_alerts).select(
         "product_id", "title", "format", "genre", "publisher", "closing_stock", "avg_daily_sales_30d",
         "days_until_stockout", "recommended_order_qty", "alert_level", "stock_date",
     ).orderBy(severity(), "closing_stock", "product_id").limit(max_rows)

@@ -53,7 +53,7 @@ def kpi_mtd_delta(star: Star) -> DataFrame:
 
 
 def _due_sums(star: Star, *keys: str) -> DataFrame:
-    return mart_plan_fact(star).groupBy(*keys).agg(
+    return star.mart(mart_plan_fact).groupBy(*keys).agg(
         _sum_money("fact_amount"), _sum_money("plan_amount_to_date"), _sum_money("delta_amount_to_date"))
 
 
@@ -90,14 +90,14 @@ def plan_pct_monthly(star: Star) -> DataFrame:
 
 def plan_heatmap(star: Star) -> DataFrame:
     """Genre x calendar month, share of plan over all years and formats."""
-    sums = mart_plan_fact_history(star).groupBy("genre").pivot("month", list(range(1, 13))).agg(
+    sums = star.mart(mart_plan_fact_history).groupBy("genre").pivot("month", list(range(1, 13))).agg(
         _sum_money("fact_amount").alias("fact"), _sum_money("plan_amount").alias("plan"))
     return sums.select("genre", *[
         ratio(F.col(f"{m}_fact") * 100, F.col(f"{m}_plan"), 1).alias(f"m{m:02d}") for m in range(1, 13)])
 
 
 def _trend_sums(star: Star, keys: list[str], *columns: str) -> DataFrame:
-    return mart_sales_trends(star).groupBy(*keys).agg(*[_sum_money(c) for c in columns])
+    return star.mart(mart_sales_trends).groupBy(*keys).agg(*[_sum_money(c) for c in columns])
 
 
 def revenue_by_month(star: Star) -> DataFrame:
@@ -125,30 +125,30 @@ def promo_vs_organic(star: Star) -> DataFrame:
 
 def lost_sales_monthly(star: Star) -> DataFrame:
     """Quantity lost to shortages of physical formats."""
-    trends = mart_sales_trends(star).where(F.col("format").isin(PHYSICAL_FORMATS))
+    trends = star.mart(mart_sales_trends).where(F.col("format").isin(PHYSICAL_FORMATS))
     return trends.groupBy("month_start").agg(F.sum("lost_sales_qty").alias("lost_sales_qty"))
 
 
 def margin_scatter(star: Star) -> DataFrame:
-    return mart_margin_by_format(star).select("month_start", "format", "net_revenue", "gross_margin", "net_qty")
+    return star.mart(mart_margin_by_format).select("month_start", "format", "net_revenue", "gross_margin", "net_qty")
 
 
 def top_publishers(star: Star, n: int = 20) -> DataFrame:
-    return mart_margin_by_publisher(star).select(
+    return star.mart(mart_margin_by_publisher).select(
         "publisher", "format", "gross_profit", "gross_margin", "rank_overall",
     ).orderBy("rank_overall", "publisher", "format").limit(n)
 
 
 def genre_margin_heatmap(star: Star) -> DataFrame:
     """Genre x calendar month, margin from the summed profit and revenue."""
-    sums = mart_sales_trends(star).groupBy("genre").pivot("month", list(range(1, 13))).agg(
+    sums = star.mart(mart_sales_trends).groupBy("genre").pivot("month", list(range(1, 13))).agg(
         _sum_money("gross_profit").alias("profit"), _sum_money("net_revenue").alias("revenue"))
     return sums.select("genre", *[
         ratio(F.col(f"{m}_profit"), F.col(f"{m}_revenue"), 4).alias(f"m{m:02d}") for m in range(1, 13)])
 
 
 def alerts_by_level(star: Star) -> DataFrame:
-    return mart_inventory_alerts(star).groupBy("alert_level").agg(F.count("*").alias("products"))
+    return star.mart(mart_inventory_alerts).groupBy("alert_level").agg(F.count("*").alias("products"))
 
 
 def stockout_histogram(star: Star) -> DataFrame:
@@ -156,25 +156,25 @@ def stockout_histogram(star: Star) -> DataFrame:
     days = F.col("days_until_stockout")
     bucket = (F.when(days.isNull(), "unknown").when(days <= 0, "0").when(days <= 7, "1-7")
               .when(days <= 30, "8-30").otherwise("30+"))
-    return mart_inventory_alerts(star).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("products"))
+    return star.mart(mart_inventory_alerts).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("products"))
 
 
 def reorder_value(star: Star) -> DataFrame:
     """Value of the recommended orders at the sales price, and at cost beside it."""
     order = F.col("recommended_order_qty") * cents("price_rub")
-    return mart_inventory_alerts(star).agg(
+    return star.mart(mart_inventory_alerts).agg(
         F.sum("recommended_order_qty").alias("reorder_qty"), money(F.sum(order)).alias("value_at_price"),
         money(F.sum(cents("recommended_order_cost"))).alias("value_at_cost"))
 
 
 def low_stock_widget(star: Star) -> DataFrame:
-    return mart_inventory_alerts(star).select(
+    return star.mart(mart_inventory_alerts).select(
         "product_id", "title", "format", "closing_stock", "days_until_stockout", "recommended_order_qty", "alert_level")
 
 
 def reorder_list(star: Star) -> DataFrame:
     """Products to order, emptiest first, with the publisher to contact."""
-    return mart_inventory_alerts(star).orderBy(
+    return star.mart(mart_inventory_alerts).orderBy(
         "closing_stock", F.desc_nulls_last("avg_daily_sales_30d"), "product_id")
 
 
@@ -185,7 +185,7 @@ def stock_vs_threshold(star: Star, product_id: int) -> DataFrame:
 
 def abc_summary(star: Star) -> DataFrame:
     """Products, revenue, share of revenue and lost quantity per class."""
-    sums = mart_abc(star).groupBy("abc_class").agg(
+    sums = star.mart(mart_abc).groupBy("abc_class").agg(
         F.count("*").alias("products"), _sum_money("total_net_revenue"),
         F.sum("total_lost_qty").alias("lost_qty"), F.max("grand_total_revenue").alias("grand"))
     return sums.select(
@@ -200,7 +200,7 @@ def abc_margin_box(star: Star) -> DataFrame:
     state does not grow with the catalogue.
     """
     points = F.percentile("product_margin", [0.0, 0.25, 0.5, 0.75, 1.0]).alias("p")
-    box = mart_abc(star).groupBy("abc_class").agg(points)
+    box = star.mart(mart_abc).groupBy("abc_class").agg(points)
     names = ["min_margin", "q1_margin", "median_margin", "q3_margin", "max_margin"]
     return box.select("abc_class", *[F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(names)])
 
@@ -211,24 +211,24 @@ def abc_table_with_history(star: Star) -> DataFrame:
         *measures("net_revenue"))
     series = monthly.groupBy("product_id").agg(F.array_sort(F.collect_list(
         F.concat("month", F.lit("="), F.col("net_revenue").cast("string")))).alias("series"))
-    return mart_abc(star).join(series, "product_id").select(
+    return star.mart(mart_abc).join(series, "product_id").select(
         "product_id", "title", "format", "genre", "abc_class", "total_net_revenue", "product_margin",
         "revenue_rank", F.array_join("series", ";").alias("revenue_series"))
 
 
 def subscription_counts(star: Star) -> DataFrame:
-    return mart_subscriptions_monthly(star).select("month_start", "subscription_type", "net_qty", "cancellations")
+    return star.mart(mart_subscriptions_monthly).select("month_start", "subscription_type", "net_qty", "cancellations")
 
 
 def subscription_revenue(star: Star) -> DataFrame:
-    return mart_subscriptions_monthly(star).select("month_start", "subscription_type", "net_revenue")
+    return star.mart(mart_subscriptions_monthly).select("month_start", "subscription_type", "net_revenue")
 
 
 def subscription_card(star: Star) -> DataFrame:
-    return mart_subscriptions(star).select(
+    return star.mart(mart_subscriptions).select(
         "subscription_type", "unit_price", "net_subscriptions", "total_revenue", "cancellation_rate_pct",
         "avg_ltv", "gross_margin")
 
 
 def subscription_promo_share(star: Star) -> DataFrame:
-    return mart_subscriptions_monthly(star).select("month_start", "subscription_type", "promo_pct")
+    return star.mart(mart_subscriptions_monthly).select("month_start", "subscription_type", "promo_pct")

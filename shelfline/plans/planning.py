@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfline.functions.dates import first_date
 from shelfline.functions.measures import measures
 from shelfline.schemas import (BOOK_FORMATS, BOOK_GENRES, COST_PERCENT, DIM_DATE, FACT_PLAN, HOLIDAYS)
 from shelfline.star import Star
@@ -55,7 +56,7 @@ def plan_grid(star: Star, first: dt.date | None = None) -> DataFrame:
 
     Starts in January of the first sales year, ends in the month of the report day.
     """
-    first = first or dt.date(star.sales.agg(F.min("date")).first()[0].year, 1, 1)
+    first = first or first_date(star.sales).replace(month=1, day=1)
     keys = ["year", "month", "genre", "format"]
     return (
         month_grid(star.spark, first, star.today)

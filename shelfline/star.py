@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.functions.dates import last_date
+from shelfline.sources.files import written
 
 Table = DataFrame | Callable[[], DataFrame]
 
@@ -32,6 +33,16 @@ class Star:
     def at(self, as_of: dt.date) -> Star:
         return Star(self.spark, as_of, **self._tables)
 
+    def mart(self, build: Callable[[Star], DataFrame]) -> DataFrame:
+        """A mart as its readers see it: written once and read, where this Star has a work folder;
+        otherwise computed in place."""
+        if self.work is None:
+            return build(self)
+        name = build.__name__
+        if name not in self.memo:
+            self.memo[name] = written(build(self), f"{self.work}/marts/{name}")
+        return self.memo[name]
+
     @property
     def calendar(self) -> DataFrame:
         return self["dim_date"]
