@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.schemas import FACT_INVENTORY, LOW_STOCK, PHYSICAL_FORMATS
+from shelfline.schemas import FACT_INVENTORY, LOW_STOCK, PARTITION, PHYSICAL_FORMATS
 
 
 def daily_net_sold(lines: DataFrame) -> DataFrame:
@@ -98,9 +98,19 @@ def stock_ledger(moves: DataFrame) -> DataFrame:
 
 
 def daily_inventory(ledger: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """One inventory row per product and calendar day; a quiet day carries the last closing stock."""
+    """One inventory row per product and calendar day; a quiet day carries the last closing stock.
+
+    The table is stored by month, and the dense rows outnumber the movements by far. So the gaps are
+    cut at month ends, these pieces are brought together by month, and only then become days: what is
+    shuffled grows with products and months, not with days.
+    """
     calendar_days = (last - first).days + 1
-    filled = _fill_days(ledger.withColumn("next_date", _next_date(last)))
+    until = F.date_sub("next_date", 1)
+    months = F.sequence(F.trunc("date", "month"), F.trunc(until, "month"), F.expr("interval 1 month"))
+    pieces = ledger.withColumn("next_date", _next_date(last)).withColumn(PARTITION, F.explode(months))
+    placed = pieces.select("*", F.greatest("date", PARTITION).alias("piece_first"),
+                           F.least(until, F.last_day(PARTITION)).alias("piece_last")).hint("rebalance", PARTITION)
+    filled = placed.withColumn("day", F.explode(F.sequence("piece_first", "piece_last")))
     moved = F.col("day") == F.col("date")
     kinds = {f.name: f.dataType for f in FACT_INVENTORY}
     rows = filled.select(
@@ -112,8 +122,9 @@ def daily_inventory(ledger: DataFrame, first: dt.date, last: dt.date) -> DataFra
         F.when(moved, F.col("replenishment_qty")).otherwise(0).alias("replenishment_qty"),
         "closing_stock",
         (F.col("closing_stock") < LOW_STOCK).cast("int").alias("is_low_stock"),
+        PARTITION,
     )
-    return rows.select(*[F.col(n).cast(k).alias(n) for n, k in kinds.items()])
+    return rows.select(*[F.col(n).cast(k).alias(n) for n, k in kinds.items()], PARTITION)
 
 
 def allocate_shortage(sales: DataFrame, ledger: DataFrame) -> DataFrame:

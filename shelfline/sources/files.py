@@ -43,9 +43,9 @@ def _reader(spark: SparkSession, charset: str, multiline: bool):
             .option("quote", '"').option("escape", '"'))
 
 
-def _raw(spark: SparkSession, path: str, multiline: bool) -> tuple[DataFrame, list[str]]:
-    by_charset = charsets(spark, path) or {"UTF-8": [path]}
-    if FALLBACK_CHARSET in by_charset:
+def _raw(spark: SparkSession, path: str, multiline: bool, charset: str | None = None) -> tuple[DataFrame, list[str]]:
+    by_charset = {charset: [path]} if charset else charsets(spark, path) or {"UTF-8": [path]}
+    if set(by_charset) - {"UTF-8"}:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # lets the reader decode it at all
     frames, names = [], []
     for charset, files in sorted(by_charset.items(), reverse=True):
@@ -65,14 +65,14 @@ def _is_overlong(names: list[str]) -> Column:
     return (_fields(F.col(_BROKEN)) > len(names)) & (F.hash(names[0]) >= -(2 ** 31))
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multiline: bool = False, charset: str | None = None) -> DataFrame:
     """Every column as text, with its position in the file.
 
     Missing-value tokens are NULL, a short line ends in NULLs, a line with more fields than the header
     is left out (see `overlong_lines`). A quoted line break needs `multiline`, which gives up
-    splitting a file between tasks.
+    splitting a file between tasks. Naming the `charset` saves the pass that finds it out per file.
     """
-    raw, names = _raw(spark, path, multiline)
+    raw, names = _raw(spark, path, multiline, charset)
     placed = raw.withColumn(POSITION, F.monotonically_increasing_id())
     kept = placed.where(~F.coalesce(_is_overlong(names), F.lit(False)))
     return kept.select(POSITION, *[F.when(~F.col(n).isin(NULL_TOKENS), F.col(n)).alias(n) for n in names])

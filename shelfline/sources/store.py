@@ -28,7 +28,8 @@ def with_partition(df: DataFrame) -> DataFrame:
 
 
 def write_fact(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    parted = with_partition(df).hint("rebalance", PARTITION)
+    """Rows that already name their month were brought together by it and are not shuffled again."""
+    parted = df if PARTITION in df.columns else with_partition(df).hint("rebalance", PARTITION)
     parted.sortWithinPartitions(PARTITION, "date").write.mode(mode).partitionBy(PARTITION).parquet(path)
 
 
