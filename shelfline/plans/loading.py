@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.operators.rules import Checked, Stage
 from shelfline.plans import validators
+from shelfline.plans.refresh import refresh_all_marts
 from shelfline.schemas import FACTS, PLAN_YEARS, PROJECT_START
 from shelfline.session import shared_dir
 from shelfline.sources.files import read_csv, written
@@ -21,6 +22,7 @@ class Loaded:
     details: DataFrame
     inserted: dict[str, Inserted]
     existing: dict[str, int]
+    marts: DataFrame | None = None
 
 
 def settle(checked: Checked, path: str) -> Checked:
@@ -35,8 +37,12 @@ def staged(folder: str) -> Stage:
 
 def historical_load(spark: SparkSession, store: Store, sources: dict[str, str], load_id: int,
                     start: dt.date = PROJECT_START, as_of: dt.date | None = None,
-                    plan_years: tuple[int, int] = PLAN_YEARS, work: str | None = None) -> Loaded:
-    """Replaces the whole store from five extracts. Nothing is published until all five are written."""
+                    plan_years: tuple[int, int] = PLAN_YEARS, work: str | None = None,
+                    marts: str | None = None) -> Loaded:
+    """Replaces the whole store from five extracts. Nothing is published until all five are written.
+
+    With a `marts` folder, all marts are then built from the new tables.
+    """
     work = work or f"{shared_dir(spark)}/load-{load_id}"
     done: dict[str, Checked] = {}
 
@@ -53,15 +59,20 @@ def historical_load(spark: SparkSession, store: Store, sources: dict[str, str],
     check("fact_inventory", validators.validate_fact_inventory, product, start, as_of)
     store.full_load({name: checked.clean for name, checked in done.items()}, load_id)
     checked = list(done.values())
-    return Loaded(validators.quality_summary(checked), validators.quality_details(checked), {}, {})
+    return Loaded(validators.quality_summary(checked), validators.quality_details(checked), {}, {},
+                  _refreshed(store, marts))
+
+
+def _refreshed(store: Store, folder: str | None) -> DataFrame | None:
+    return refresh_all_marts(store.star(), folder) if folder else None
 
 
 def daily_update(spark: SparkSession, store: Store, batches: dict[str, DataFrame], work: str,
                  start: dt.date = PROJECT_START, as_of: dt.date | None = None,
-                 days_from: dt.date | None = None) -> Loaded:
+                 days_from: dt.date | None = None, marts: str | None = None) -> Loaded:
     """Validates raw batches of the facts and appends what is new. Repeating it changes nothing.
 
-    `days_from` limits the search for days without sales; without it a one-day batch is measured
+    With a `marts` folder, all marts are rebuilt afterwards, whether or not anything was new. `days_from` limits the search for days without sales; without it a one-day batch is measured
     against the whole calendar.
     """
     product = store.load_dim_product()
@@ -79,4 +90,5 @@ def daily_update(spark: SparkSession, store: Store, batches: dict[str, DataFrame
     existing = {name: store.existing_on_dates(c.clean, name) for name, c in done.items()}
     inserted = {name: store.insert_rows(c.placed, name) for name, c in done.items()}
     checked = list(done.values())
-    return Loaded(validators.quality_summary(checked), validators.quality_details(checked), inserted, existing)
+    return Loaded(validators.quality_summary(checked), validators.quality_details(checked), inserted, existing,
+                  _refreshed(store, marts))

@@ -18,18 +18,19 @@ _BROKEN = "_broken_line"
 
 
 def charsets(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files by charset: UTF-8 where every line is valid UTF-8, else the fallback.
+    """Paths by charset: UTF-8 where every line of a file is valid UTF-8, else the fallback.
 
     Lines are tested where they are read, so a large file is examined by many tasks and none holds
-    it whole; only one flag per file reaches the driver.
+    it whole. File names reach the driver only if some file is not UTF-8.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.expr("is_valid_utf8(value)").alias("valid"))
-    flags = lines.groupBy("file").agg(F.bool_and("valid").alias("valid")).collect()
-    found: dict[str, list[str]] = {}
-    for row in flags:
-        found.setdefault("UTF-8" if row.valid else FALLBACK_CHARSET, []).append(row.file)
-    return found
+    per_file = lines.groupBy("file").agg(F.bool_and("valid").alias("valid"))
+    other = [r.file for r in per_file.where(~F.col("valid")).collect()]
+    if not other:
+        return {"UTF-8": [path]}
+    good = [r.file for r in per_file.where("valid").collect()]
+    return {FALLBACK_CHARSET: other} | ({"UTF-8": good} if good else {})
 
 
 def _fields(line: Column) -> Column:
@@ -44,7 +45,7 @@ def _reader(spark: SparkSession, charset: str, multiline: bool):
 
 
 def _raw(spark: SparkSession, path: str, multiline: bool, charset: str | None = None) -> tuple[DataFrame, list[str]]:
-    by_charset = {charset: [path]} if charset else charsets(spark, path) or {"UTF-8": [path]}
+    by_charset = {charset: [path]} if charset else charsets(spark, path)
     if set(by_charset) - {"UTF-8"}:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # lets the reader decode it at all
     frames, names = [], []

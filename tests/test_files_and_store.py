@@ -87,13 +87,14 @@ def sources(tmp_path):
 
 def test_historical_load_then_daily_update_and_stream(spark, tmp_path, sources):
     store = Store(spark, str(tmp_path / "store"))
-    report = loading.historical_load(spark, store, sources, 1, as_of=AS_OF, work=str(tmp_path / "work"))
+    report = loading.historical_load(
+        spark, store, sources, 1, as_of=AS_OF, work=str(tmp_path / "work"), marts=str(tmp_path / "marts"))
     assert {r.table_name: r.rows_loaded for r in report.summary.collect()} == {
         "dim_date": 2, "dim_product": 1, "fact_plan": 1, "fact_sales": 2, "fact_inventory": 1}
 
     star = store.star()
     assert star.today == dt.date(2024, 1, 1) and "genre" in star.sales.columns
-    status = refresh_all_marts(star, str(tmp_path / "marts")).collect()
+    status = report.marts.collect()
     assert all(r.ok for r in status) and len(status) == 7
     assert spark.table("mart_daily_pulse").first().total_orders == 2
     assert spark.read.parquet(str(tmp_path / "marts/mart_inventory_alerts")).first().alert_level == "urgent"
