@@ -20,11 +20,16 @@ def _last(text: Column) -> Column:
     return F.substring(text, -1, 1)
 
 
+def _solid(first: Column) -> Column:
+    """Whether the first character is certainly not blank: plain ASCII, or a letter up to U+167F."""
+    code = F.ascii(first)
+    return code.between(0x21, 0x7E) | code.between(0xA1, 0x167F)
+
+
 def trimmed(text: Column) -> Column:
-    """Without blanks at either end. Text that begins and ends in a plain visible character, as nearly
-    all does, is passed on without searching the list of blanks."""
-    solid = F.ascii(text).between(33, 126) & F.ascii(_last(text)).between(33, 126)
-    return F.when(solid, text).otherwise(F.trim(text, F.lit(BLANKS)))
+    """Without blanks at either end. Text that begins and ends in a visible character, as nearly all
+    does, is passed on without searching the list of blanks."""
+    return F.when(_solid(text) & _solid(_last(text)), text).otherwise(F.trim(text, F.lit(BLANKS)))
 
 
 def number(text: Column) -> Column:
