@@ -13,11 +13,13 @@ from shelfline.schemas import ALERT_LEVELS
 from shelfline.star import Star
 
 RECIPIENT_SCHEMA = "email string, name string, roles array<string>"
+# --- fixed values: example recipients and the levels each is told about ---
 EXAMPLE_RECIPIENTS = [
     ("manager@example.com", "Manager", ["critical", "urgent", "warning"]),
     ("buyer@example.com", "Buyer", ["critical", "urgent"]),
     ("warehouse@example.com", "Warehouse", ["critical"]),
 ]
+# --- end of fixed values ---
 
 
 def severity(level: Column | None = None) -> Column:
