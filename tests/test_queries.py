@@ -8,7 +8,9 @@ import __spark_entry__ as contract
 from checking import connect, difference
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+LLM = contract.llm.QUERIES if contract.llm else {}
+QUERIES = {k: v for k, v in contract.queries().items() if k not in LLM}
+SQL = {k: v for k, v in contract.oracle_sql().items() if k not in LLM}
 
 
 @pytest.fixture(scope="module")
