@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import decontaminate
+from shelfline.llm import decontaminate, jaccard, secrets
 from shelfline.llm.common import table
 from shelfline.llm.sql import SQL  # noqa: F401
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_documents(table(spark, sf_dir, "documents")).drop("cls")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.occurrences(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op10_decontamination,)
+    f.__name__: f for f in (op2_secret_scan, op5_ngram_jaccard, op10_decontamination)
 }

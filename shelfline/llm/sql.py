@@ -19,3 +19,15 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(hw.n, 0)::BIGINT AS n_hit
        coalesce(hi.s, sha256('')) AS items_sha256, coalesce(hw.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)""",
 }
+SQL["op5_ngram_jaccard"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+       lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 75 * (x.n + y.n - o)),
+r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.c) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY ALL"""
