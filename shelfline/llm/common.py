@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +71,27 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         before = now
     roots = edges.select(b.alias("id"), b.alias("component")).distinct()
     return edges.select(a.alias("id"), b.alias("component")).unionByName(roots)
+
+
+#: bits of a sieve: what is sent to every task is this many bits, however many keys there are
+SIEVE_BITS = 1 << 23
+
+
+def sieved(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose `key` (a hash) may be among those of `keys`: a bitmap of bounded size drops most of the
+    others before a shuffle. It passes every row it should, and more the fuller it is."""
+    spark = rows.sparkSession
+    place = F.pmod(F.col(key), F.lit(SIEVE_BITS))
+    words = (keys.select(place.alias("p")).groupBy(F.expr("cast(p div 64 as int)").alias("w"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")))
+    table = np.zeros(SIEVE_BITS // 64, np.uint64)
+    got = words.toArrow()
+    table[got.column("w").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    sent = spark.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.mod(batch.column(key).to_numpy(), SIEVE_BITS)
+            keep = (sent.value[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)
+            yield batch.filter(pa.array(keep.astype(bool)))
+    return rows.mapInArrow(run, rows.schema)

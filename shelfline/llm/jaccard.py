@@ -7,8 +7,8 @@ class that could still link elsewhere counts its tokens in each group's union, g
 low stay closed, and the others are opened and compared set by set.
 
 Only the smallest quarter of a set (in an order that puts common shingles last) can be needed to notice
-a partner at 0.75, so only that part is ever shuffled for all documents, and of it only shingles that
-recur. Shingles and classes are known by 64-bit hashes.
+a partner at 0.75, so only that prefix is shuffled for all documents, and whole sets only for classes with
+a group to open. Shingles and classes are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import words as W
-from shelfline.llm.common import components, landed, partitions
+from shelfline.llm.common import components, landed, partitions, sieved
 from shelfline.llm.recurring import recurring
 
 SHINGLE = 5
@@ -35,6 +35,10 @@ QUERIES = 4096
 #: only affect the order, never a result
 COMMON_SHARE, COMMON_MOST = 0.001, 50_000
 _COUNT_FROM = 4
+#: points at which it is noted how far a prefix has come in the order
+MARKS = 8
+#: near copies share most of their prefix; classes that do not wait for the exact search
+LIKELY = 0.3
 #: added to the hash of a sequence too short for a shingle, by its length
 _SHORT = W.mix(np.arange(1, 64, dtype=np.uint64))
 
@@ -104,23 +108,43 @@ def _common(held: list[np.ndarray], docs: int) -> pa.RecordBatch:
         names=["doc_id", "row_key", "cls", "n", "token"])
 
 
+def _prefix(tokens: np.ndarray, percent: int, known: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The part of a set that must meet a partner's, in order: rare shingles by hash, then common ones."""
+    ranks = np.zeros(len(tokens), np.int32)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+        ranks = np.where(known[at] == tokens, rank[at], 0).astype(np.int32)
+    order = np.lexsort((tokens, ranks))[:len(tokens) - least_overlap(len(tokens), percent) + 1]
+    return tokens[order], ranks[order]
+
+
 def _prefixes(size: int, percent: int, common):
-    """Entries (token, class, rank among the common ones) of the part of each set that must meet a partner's."""
+    """Entries (token, class, rank among the common ones) of all prefixes."""
     def entries(batch: pa.RecordBatch):
-        known, rank = common.value
         for tokens in shingle_sets(batch.column("text"), size):
-            n = len(tokens)
-            if not n:
-                continue
-            ranks = np.zeros(n, np.int32)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-                ranks = np.where(known[at] == tokens, rank[at], 0).astype(np.int32)
-            order = np.lexsort((tokens, ranks))[:n - least_overlap(n, percent) + 1]
-            yield tokens[order], np.full(len(order), set_id(tokens)), ranks[order]
+            if len(tokens):
+                own, ranks = _prefix(tokens, percent, *common.value)
+                yield own, np.full(len(own), set_id(tokens)), ranks
     return entries
 
 
+def _marks(size: int, percent: int, common):
+    """Per document with shingles: where in the order each eighth of its prefix ends."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, marks = [], []
+            for tokens in shingle_sets(batch.column("text"), size):
+                if len(tokens):
+                    own, ranks = _prefix(tokens, percent, *common.value)
+                    at = -(-np.arange(1, MARKS + 1) * len(own) // MARKS) - 1
+                    place = np.where(ranks[at] > 0, (1 << 62) + ranks[at].astype(np.int64), (own[at] >> np.uint64(2)).astype(np.int64))
+                    ids.append(set_id(tokens))
+                    marks.append(place)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(marks, pa.list_(pa.int64()))], names=["cls", "marks"])
+    return run
+
+
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,10 +212,9 @@ def _in_groups(members: DataFrame, per_group: int) -> DataFrame:
             .withColumn("grp", F.xxhash64("gkey", F.pmod(F.xxhash64("cls"), parts))))
 
 
-def _by_leader(members: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    grouped = _in_groups(members, GROUP).select("cls", "grp").join(sets, "cls")
-    n = partitions(members.sparkSession)
-    return landed(grouped.repartition(n, "grp").sortWithinPartitions("grp", "cls")
+def _by_leader(grouped: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    n = partitions(grouped.sparkSession)
+    return landed(grouped.select("cls", "grp").join(sets, "cls").repartition(n, "grp").sortWithinPartitions("grp", "cls")
                   .select("grp", "cls", "tokens").mapInArrow(_with_leaders(percent), "a bigint, b bigint"), name)
 
 
@@ -220,22 +243,23 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE, percent: int = P
     meeting = landed(recurring(docs.select("text"), _prefixes(size, percent, common)).select(
         F.col("key").alias("token"), F.col("a").alias("cls"), F.col("b").alias("rank")).distinct(), "meeting")
 
-    near = landed(meeting.groupBy("cls").agg(F.min(F.struct("rank", "token"))["token"].alias("gkey"))
-                  .join(classes, "cls"), "near")
-    wanted = near.select("row_key").distinct()
-    texts = docs.select("row_key", "text").join(wanted.hint("shuffle_hash"), "row_key", "left_semi").select("text")
-    sets = landed(texts.mapInArrow(_sets(size), "cls bigint, tokens binary").dropDuplicates(["cls"]), "sets")
+    met = meeting.groupBy("cls").agg(F.min(F.struct("rank", "token"))["token"].alias("gkey"), F.count("*").alias("shared"))
+    marks = docs.select("text").mapInArrow(_marks(size, percent, common), "cls bigint, marks array<bigint>")
+    near = landed(met.join(classes, "cls").join(marks.dropDuplicates(["cls"]), "cls"), "near")
 
-    links = _by_leader(near.select("cls", "gkey"), sets, percent, "links-0")
+    likely = near.where(F.col("shared") >= LIKELY * (1 - percent / 100) * F.col("n"))
+    grouped = landed(_in_groups(likely, GROUP).select("cls", "gkey", "row_key", "grp"), "grouped")
+    sets = _sets_of(docs, grouped, size, "sets-0")
+    links = _by_leader(grouped, sets, percent, "links-0")
     comps = _roots(links)
     # what several groups made of one key: their first members meet once more
-    firsts = near.join(comps.where(F.col("cls") == F.col("comp")), "cls", "left_semi").select("cls", "gkey")
-    links = links.unionByName(_by_leader(firsts, sets, percent, "links-1"))
-    known = near.select("cls", "n").join(_roots(links), "cls", "left").select(
-        "cls", "n", F.coalesce("comp", "cls").alias("comp"))
+    firsts = grouped.join(comps.where(F.col("cls") == F.col("comp")), "cls", "left_semi").select("cls", "gkey")
+    links = links.unionByName(_by_leader(_in_groups(firsts, GROUP), sets, percent, "links-1"))
+    known = near.join(_roots(links), "cls", "left").select(
+        "cls", "n", "row_key", "marks", F.coalesce("comp", "cls").alias("comp"))
     known = landed(known, "known")
 
-    more = _across(meeting, known, sets, percent, n_parts)
+    more = _across(docs, meeting, known, size, percent, n_parts)
     comp = _roots(links.unionByName(more))
     placed = classes.select("cls", "first_id").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = placed.groupBy("comp").agg(F.min("first_id").alias("component_id"))
@@ -244,6 +268,14 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE, percent: int = P
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "cls")
 
 
+def _sets_of(docs: DataFrame, classes: DataFrame, size: int, name: str) -> DataFrame:
+    """(cls, tokens) of the given classes, from the text of the row that stands for each."""
+    wanted = classes.select("row_key").distinct()
+    texts = sieved(docs.select("row_key", "text"), wanted, "row_key")
+    texts = texts.join(wanted.hint("shuffle_hash"), "row_key", "left_semi").select("text")
+    return landed(texts.mapInArrow(_sets(size), "cls bigint, tokens binary"), name)
+
+
 def _most_common(measured: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """At most COMMON_MOST shingles, sorted by hash, with ranks by how often they were counted."""
     counted = (measured.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("n"))
@@ -253,41 +285,54 @@ def _most_common(measured: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], np.arange(1, len(tokens) + 1, dtype=np.int32)[order]
 
 
-def _across(meeting: DataFrame, known: DataFrame, sets: DataFrame, percent: int, n_parts: int) -> DataFrame:
+def _across(docs: DataFrame, meeting: DataFrame, known: DataFrame, size: int, percent: int, n_parts: int) -> DataFrame:
     """Links between classes that are not yet connected, at least one for every such pair of components
     that has any."""
-    placed = meeting.select("token", "cls").join(known, "cls")
+    placed = meeting.select("token", "cls").join(known.select("cls", "n", "comp"), "cls")
     foreign = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     placed = landed(placed.join(foreign.select("token"), "token", "left_semi"), "placed")
     # groups of connected classes of like size, so that a group's bound is close to its members'
     band = F.floor(F.log("n") / F.log(F.lit(1.05)))
-    members = placed.select("cls", "n", "comp").distinct().withColumn("gkey", F.xxhash64("comp", band))
+    members = (placed.select("cls").distinct().join(known, "cls").withColumn("gkey", F.xxhash64("comp", band)))
     counts = members.groupBy("gkey").agg(F.count("*").alias("size"))
     members = landed(members.join(counts, "gkey").withColumn(
         "grp", F.xxhash64("gkey", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / GROUP)))).drop("size", "gkey"), "members")
-    groups = members.groupBy("grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.first("comp").alias("g_comp"))
+    # every member's prefix is past a mark where the group's is
+    groups = members.groupBy("grp").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.first("comp").alias("g_comp"),
+        F.min(F.element_at("marks", -1)).alias("g_last"),
+        F.array(*[F.max(F.element_at("marks", i + 1)) for i in range(MARKS)]).alias("g_marks"))
     matrix = (placed.select("token", "cls").join(members.select("cls", "grp"), "cls").select("token", "grp").distinct()
-              .join(groups, "grp"))
+              .join(groups.select("grp", "lo", "hi", "g_comp"), "grp"))
     n, lo, hi = F.col("n"), F.col("lo"), F.col("hi")
     share = percent / 100
     met = (placed.join(matrix, "token")
            .where((F.col("comp") < F.col("g_comp")) & (hi >= share * n - 1) & (n >= share * lo - 1))
-           .groupBy("cls", "n", "grp", "lo", "hi").agg(F.count("*").alias("shared")))
-
-    # a partner of s tokens shares at most `shared`, and what neither side's prefix holds
-    def required(s):
-        return share / (1 + share) * (n + s) - share * F.greatest(n, s) - 1
-
-    # which asks least of the smallest or of the largest member that is not out of reach by its size
-    least = F.least(required(F.greatest(lo, share * n)), required(F.least(hi, n / share)))
-    queries = landed(met.where(F.col("shared") >= least).select("cls", "grp"), "queries")
+           .groupBy("cls", "grp").agg(F.count("*").alias("shared")))
+
+    # A partner of s tokens shares at most `shared` up to any point t that both prefixes reach, and
+    # beyond t no more than what is left of either set; together that must make up the overlap.
+    t = F.least(F.element_at("marks", -1), F.col("g_last"))
+
+    def passed(marks: str):
+        return F.size(F.filter(marks, lambda m: m <= t))
+
+    seen = F.ceil(passed("marks") * (n - F.ceil(share * n) + 1) / MARKS)
+    s_lo, s_hi = F.greatest(lo, share * n), F.least(hi, n / share)
+    half = share / (1 + share)
+    least = F.greatest(half * (n + s_lo) - n + seen,
+                       half * (n + s_hi) - s_hi * (1 - (1 - share) * passed("g_marks") / MARKS)) - 1e-6
+    asked = met.join(groups, "grp").join(known.select("cls", "n", "marks"), "cls")
+    queries = landed(asked.where(F.col("shared") >= least).select("cls", "grp"), "queries")
     salts = queries.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("salts"))
-    asked = (queries.join(salts, "grp").select("cls", "grp", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int").alias("salt"))
-             .withColumn("query", F.lit(True)))
+    rows = (queries.join(salts, "grp").select("cls", "grp", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int").alias("salt"))
+            .withColumn("query", F.lit(True)))
     held = (members.select("cls", "grp").join(salts, "grp")
             .select("cls", "grp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
             .withColumn("query", F.lit(False)))
-    rows = asked.unionByName(held).join(sets, "cls").repartition(n_parts, "grp", "salt")
+    rows = landed(rows.unionByName(held), "opened")
+    sets = _sets_of(docs, rows.select("cls").distinct().join(known.select("cls", "row_key"), "cls"), size, "sets-1")
+    rows = rows.join(sets, "cls").repartition(n_parts, "grp", "salt")
     return landed(rows.sortWithinPartitions("grp", "salt", "query").select("grp", "salt", "query", "cls", "tokens")
                   .mapInArrow(_opened(percent), "a bigint, b bigint"), "links-2")
 

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import decontaminate, jaccard, secrets
+import corpus_pipeline
+from shelfline.llm import decontaminate, jaccard, mixing, quality, secrets, suffixes, toxicity
 from shelfline.llm.common import table
 from shelfline.llm.sql import SQL  # noqa: F401
 
@@ -15,15 +16,32 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_documents(table(spark, sf_dir, "documents")).drop("cls")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeats_removed(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.occurrences(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_scan, op5_ngram_jaccard, op10_decontamination)
-}
+    f.__name__: f for f in (op2_secret_scan, op3_quality, op5_ngram_jaccard, op7_toxicity, op8_mixing,
+                            op9_suffix_dedup, op10_decontamination)
+} | {"pipeline": corpus_pipeline.run}
