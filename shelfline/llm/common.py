@@ -77,21 +77,27 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 SIEVE_BITS = 1 << 23
 
 
-def sieved(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose `key` (a hash) may be among those of `keys`: a bitmap of bounded size drops most of the
-    others before a shuffle. It passes every row it should, and more the fuller it is."""
-    spark = rows.sparkSession
-    place = F.pmod(F.col(key), F.lit(SIEVE_BITS))
-    words = (keys.select(place.alias("p")).groupBy(F.expr("cast(p div 64 as int)").alias("w"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits")))
-    table = np.zeros(SIEVE_BITS // 64, np.uint64)
-    got = words.toArrow()
+def bitmap(keys: DataFrame, key: str, bits: int = SIEVE_BITS) -> np.ndarray:
+    """Bits set at the keys modulo `bits`; as large for any number of keys."""
+    place = F.pmod(F.col(key), F.lit(bits))
+    got = (keys.select(place.alias("p")).groupBy(F.expr("cast(p div 64 as int)").alias("w"))
+           .agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits"))).toArrow()
+    table = np.zeros(bits // 64, np.uint64)
     table[got.column("w").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-    sent = spark.sparkContext.broadcast(table)
+    return table
+
+
+def in_bitmap(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = np.mod(keys.view(np.int64), 64 * len(table))
+    return ((table[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
+def sieved(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose `key` (a hash) may be among those of `keys`: a bitmap drops most of the others before a
+    shuffle. It passes every row it should, and more the fuller it is."""
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap(keys, key))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.mod(batch.column(key).to_numpy(), SIEVE_BITS)
-            keep = (sent.value[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1)
-            yield batch.filter(pa.array(keep.astype(bool)))
+            yield batch.filter(pa.array(in_bitmap(sent.value, batch.column(key).to_numpy())))
     return rows.mapInArrow(run, rows.schema)

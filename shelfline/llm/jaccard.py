@@ -1,10 +1,10 @@
 """Exact Jaccard links over word shingles by a token-group matrix.
 
-Documents with equal shingle sets are one class. Classes that share a rare shingle are partitioned into
-small groups; inside a group they are compared with its leaders, which joins most near copies. What is
-left is searched exactly: the matrix holds the tokens of every group (of classes already connected), a
-class that could still link elsewhere counts its tokens in each group's union, groups whose bound is too
-low stay closed, and the others are opened and compared set by set.
+Documents with equal shingle sets are one class. Classes that share their rarest recurring shingles are
+partitioned around the most typical of them and compared with it, which joins most near copies. What is
+left is searched exactly: classes already connected form groups of at most 64, the matrix holds the tokens
+of every group's union, a class that could still link elsewhere counts its tokens in the unions, groups
+whose bound is too low stay closed, and the others are opened and compared set by set.
 
 Only the smallest quarter of a set (in an order that puts common shingles last) can be needed to notice
 a partner at 0.75, so only that prefix is shuffled for all documents, and whole sets only for classes with
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import words as W
-from shelfline.llm.common import components, landed, partitions, sieved
+from shelfline.llm.common import bitmap, components, in_bitmap, landed, partitions, sieved
 from shelfline.llm.recurring import recurring
 
 SHINGLE = 5
@@ -31,10 +31,12 @@ PERCENT = 75
 GROUP = 64
 #: queries compared with one copy of a group
 QUERIES = 4096
-#: a shingle is common from this share of documents; only that many are told to every task, and they
-#: only affect the order, never a result
-COMMON_SHARE, COMMON_MOST = 0.001, 50_000
-_COUNT_FROM = 4
+#: shingles are counted in stretches of so many; those seen twice in a stretch, this often altogether, are
+#: common. They are told to tasks as a bitmap of bounded size, and the most common also by name. Being
+#: common only puts a shingle later in the order; it never affects a result.
+STRETCH, COMMON_FROM, COMMON_BITS, MOST_COMMON = 2_000_000, 8, 1 << 25, 50_000
+#: shingles a class is partitioned by
+KEYS = 3
 #: points at which it is noted how far a prefix has come in the order
 MARKS = 8
 #: near copies share most of their prefix; classes that do not wait for the exact search
@@ -76,31 +78,32 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def _measure(size: int):
-    """A row per document (token null), and rows (token, n) of shingles that are common in a stretch."""
+    """A row per document (token null), and rows (token, n) of shingles that recur in a stretch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, docs, weight = [], 0, 0
+        held, weight = {}, 0
         for batch in batches:
             ns, ids = [], []
             for tokens in shingle_sets(batch.column("text"), size):
                 ns.append(len(tokens))
                 ids.append(set_id(tokens) if len(tokens) else None)
-                held.append(tokens)
-                docs, weight = docs + 1, weight + len(tokens)
-                if weight >= 2_000_000:
-                    yield _common(held, docs)
-                    held, docs, weight = [], 0, 0
+                if len(tokens) and ids[-1] not in held:  # copies of one set count once
+                    held[ids[-1]] = tokens
+                    weight += len(tokens)
+                if weight >= STRETCH:
+                    yield _common(held)
+                    held, weight = {}, 0
             nothing = pa.nulls(len(ns), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("row_key"), pa.array(ids, pa.int64()), pa.array(ns, pa.int64()),
                  nothing], names=["doc_id", "row_key", "cls", "n", "token"])
         if held:
-            yield _common(held, docs)
+            yield _common(held)
     return run
 
 
-def _common(held: list[np.ndarray], docs: int) -> pa.RecordBatch:
-    tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-    keep = counts >= max(_COUNT_FROM, COMMON_SHARE * docs)
+def _common(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+    tokens, counts = np.unique(np.concatenate(list(held.values())), return_counts=True)
+    keep = counts > 1
     n = int(keep.sum())
     return pa.RecordBatch.from_arrays(
         [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
@@ -108,12 +111,13 @@ def _common(held: list[np.ndarray], docs: int) -> pa.RecordBatch:
         names=["doc_id", "row_key", "cls", "n", "token"])
 
 
-def _prefix(tokens: np.ndarray, percent: int, known: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The part of a set that must meet a partner's, in order: rare shingles by hash, then common ones."""
-    ranks = np.zeros(len(tokens), np.int32)
+def _prefix(tokens: np.ndarray, percent: int, common: np.ndarray, known: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The part of a set that must meet a partner's, in order: by rank (0 rare, 1 common, then the most
+    common by their counts), then by hash."""
+    ranks = in_bitmap(common, tokens).astype(np.int32)
     if len(known):
         at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-        ranks = np.where(known[at] == tokens, rank[at], 0).astype(np.int32)
+        ranks = np.where(known[at] == tokens, rank[at], ranks).astype(np.int32)
     order = np.lexsort((tokens, ranks))[:len(tokens) - least_overlap(len(tokens), percent) + 1]
     return tokens[order], ranks[order]
 
@@ -137,7 +141,9 @@ def _marks(size: int, percent: int, common):
                 if len(tokens):
                     own, ranks = _prefix(tokens, percent, *common.value)
                     at = -(-np.arange(1, MARKS + 1) * len(own) // MARKS) - 1
-                    place = np.where(ranks[at] > 0, (1 << 62) + ranks[at].astype(np.int64), (own[at] >> np.uint64(2)).astype(np.int64))
+                    # one number in the same order: rank 0 and 1 by hash, then ranks
+                    place = np.where(ranks[at] > 1, (1 << 62) + ranks[at].astype(np.int64),
+                                     (own[at] >> np.uint64(3)).astype(np.int64) + (ranks[at].astype(np.int64) << 61))
                     ids.append(set_id(tokens))
                     marks.append(place)
             yield pa.RecordBatch.from_arrays(
@@ -157,26 +163,6 @@ def _sets(size: int):
     return run
 
 
-def _with_leaders(percent: int):
-    """Links (a, b) of members of sorted groups to an earlier leader; one without becomes a leader."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, leaders = None, []
-        for batch in batches:
-            a, b = [], []
-            for g, cls, blob in zip(*(batch.column(c) for c in ("grp", "cls", "tokens"))):
-                tokens, own = np.frombuffer(blob.as_py(), np.uint64), cls.as_py()
-                if g.as_py() != group:
-                    group, leaders = g.as_py(), []
-                other = next((c for c, x in leaders if linked(tokens, x, percent)), None)
-                if other is None:
-                    leaders.append((own, tokens))
-                else:
-                    a.append(own)
-                    b.append(other)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-    return run
-
-
 def _opened(percent: int):
     """Links of queries to one member of the group; groups whose union cannot hold enough stay closed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,21 +189,6 @@ def _opened(percent: int):
     return run
 
 
-def _in_groups(members: DataFrame, per_group: int) -> DataFrame:
-    """Members (cls, gkey) with `grp`: at most about `per_group` of those that share a key, by count, so
-    no key gathers its rows anywhere."""
-    counts = members.groupBy("gkey").agg(F.count("*").alias("size"))
-    parts = F.ceil(F.col("size") / per_group)
-    return (members.join(counts, "gkey").where(F.col("size") > 1)
-            .withColumn("grp", F.xxhash64("gkey", F.pmod(F.xxhash64("cls"), parts))))
-
-
-def _by_leader(grouped: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
-    n = partitions(grouped.sparkSession)
-    return landed(grouped.select("cls", "grp").join(sets, "cls").repartition(n, "grp").sortWithinPartitions("grp", "cls")
-                  .select("grp", "cls", "tokens").mapInArrow(_with_leaders(percent), "a bigint, b bigint"), name)
-
-
 def _roots(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("id").alias("cls"), F.col("component").alias("comp"))
 
@@ -239,22 +210,16 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE, percent: int = P
     classes = rows.where(F.col("cls").isNotNull()).groupBy("cls").agg(
         F.min("doc_id").alias("first_id"), F.min("row_key").alias("row_key"), F.first("n").alias("n"))
 
-    common = spark.sparkContext.broadcast(_most_common(measured))
+    common = spark.sparkContext.broadcast(_common_shingles(measured))
     meeting = landed(recurring(docs.select("text"), _prefixes(size, percent, common)).select(
         F.col("key").alias("token"), F.col("a").alias("cls"), F.col("b").alias("rank")).distinct(), "meeting")
 
-    met = meeting.groupBy("cls").agg(F.min(F.struct("rank", "token"))["token"].alias("gkey"), F.count("*").alias("shared"))
+    met = meeting.groupBy("cls").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct("rank", "token"))), 1, KEYS)["token"].alias("keys"),
+        F.count("*").alias("shared"))
     marks = docs.select("text").mapInArrow(_marks(size, percent, common), "cls bigint, marks array<bigint>")
     near = landed(met.join(classes, "cls").join(marks.dropDuplicates(["cls"]), "cls"), "near")
-
-    likely = near.where(F.col("shared") >= LIKELY * (1 - percent / 100) * F.col("n"))
-    grouped = landed(_in_groups(likely, GROUP).select("cls", "gkey", "row_key", "grp"), "grouped")
-    sets = _sets_of(docs, grouped, size, "sets-0")
-    links = _by_leader(grouped, sets, percent, "links-0")
-    comps = _roots(links)
-    # what several groups made of one key: their first members meet once more
-    firsts = grouped.join(comps.where(F.col("cls") == F.col("comp")), "cls", "left_semi").select("cls", "gkey")
-    links = links.unionByName(_by_leader(_in_groups(firsts, GROUP), sets, percent, "links-1"))
+    links = _to_typical(docs, near, size, percent, n_parts)
     known = near.join(_roots(links), "cls", "left").select(
         "cls", "n", "row_key", "marks", F.coalesce("comp", "cls").alias("comp"))
     known = landed(known, "known")
@@ -268,6 +233,34 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE, percent: int = P
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "cls")
 
 
+def _to_typical(docs: DataFrame, near: DataFrame, size: int, percent: int, n_parts: int) -> DataFrame:
+    """Links of likely near copies to the most typical class with one of their keys: that of which the
+    largest share of the prefix recurs, as an original's does among its edited copies."""
+    likely = near.where(F.col("shared") >= LIKELY * (1 - percent / 100) * F.col("n"))
+    keyed = likely.select("cls", "n", "row_key", (F.col("shared") / F.col("n")).alias("share"), F.explode("keys").alias("key"))
+    typical = keyed.groupBy("key").agg(F.max(F.struct("share", "cls", "n", "row_key")).alias("top"))
+    pairs = keyed.join(typical, "key").where(F.col("cls") != F.col("top.cls")).where(
+        100 * F.least("n", "top.n") >= percent * F.greatest("n", "top.n"))
+    pairs = landed(pairs.select("cls", "row_key", F.col("top.cls").alias("grp"), F.col("top.row_key").alias("g_key")).distinct(), "pairs")
+    members = pairs.select(F.col("grp").alias("cls"), "grp").distinct()
+    rows = pairs.select("row_key").unionByName(pairs.select(F.col("g_key").alias("row_key")))
+    return _links(pairs.select("cls", "grp"), members, _sets_of(docs, rows, size, "sets-0"), percent, n_parts, "links-0")
+
+
+def _links(queries: DataFrame, members: DataFrame, sets: DataFrame, percent: int, n_parts: int, name: str) -> DataFrame:
+    """Compares the classes of `queries` (cls, grp) with the `members` (cls, grp) of their groups. A group
+    with many queries is dealt out several times, so no task holds more than a share of them."""
+    salts = queries.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("salts"))
+    asked = (queries.join(salts, "grp").select("cls", "grp", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int").alias("salt"))
+             .withColumn("query", F.lit(True)))
+    held = (members.join(salts, "grp")
+            .select("cls", "grp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+            .withColumn("query", F.lit(False)))
+    rows = asked.unionByName(held).join(sets, "cls").repartition(n_parts, "grp", "salt")
+    return landed(rows.sortWithinPartitions("grp", "salt", "query").select("grp", "salt", "query", "cls", "tokens")
+                  .mapInArrow(_opened(percent), "a bigint, b bigint"), name)
+
+
 def _sets_of(docs: DataFrame, classes: DataFrame, size: int, name: str) -> DataFrame:
     """(cls, tokens) of the given classes, from the text of the row that stands for each."""
     wanted = classes.select("row_key").distinct()
@@ -276,13 +269,14 @@ def _sets_of(docs: DataFrame, classes: DataFrame, size: int, name: str) -> DataF
     return landed(texts.mapInArrow(_sets(size), "cls bigint, tokens binary"), name)
 
 
-def _most_common(measured: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """At most COMMON_MOST shingles, sorted by hash, with ranks by how often they were counted."""
-    counted = (measured.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("n"))
-               .orderBy(F.desc("n"), "token").limit(COMMON_MOST).collect())
-    tokens = np.array([r.token for r in counted][::-1], np.int64).view(np.uint64)
+def _common_shingles(measured: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bitmap of common shingles, and the most common of them, sorted by hash, with ranks by count."""
+    counted = landed(measured.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("n"))
+                     .where(F.col("n") >= COMMON_FROM), "common")
+    named = counted.orderBy(F.desc("n"), "token").limit(MOST_COMMON).toArrow().column("token").to_numpy()
+    tokens = named[::-1].copy().view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], np.arange(1, len(tokens) + 1, dtype=np.int32)[order]
+    return bitmap(counted, "token", COMMON_BITS), tokens[order], np.arange(2, len(tokens) + 2, dtype=np.int32)[order]
 
 
 def _across(docs: DataFrame, meeting: DataFrame, known: DataFrame, size: int, percent: int, n_parts: int) -> DataFrame:
@@ -324,17 +318,9 @@ def _across(docs: DataFrame, meeting: DataFrame, known: DataFrame, size: int, pe
                        half * (n + s_hi) - s_hi * (1 - (1 - share) * passed("g_marks") / MARKS)) - 1e-6
     asked = met.join(groups, "grp").join(known.select("cls", "n", "marks"), "cls")
     queries = landed(asked.where(F.col("shared") >= least).select("cls", "grp"), "queries")
-    salts = queries.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("salts"))
-    rows = (queries.join(salts, "grp").select("cls", "grp", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int").alias("salt"))
-            .withColumn("query", F.lit(True)))
-    held = (members.select("cls", "grp").join(salts, "grp")
-            .select("cls", "grp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-            .withColumn("query", F.lit(False)))
-    rows = landed(rows.unionByName(held), "opened")
-    sets = _sets_of(docs, rows.select("cls").distinct().join(known.select("cls", "row_key"), "cls"), size, "sets-1")
-    rows = rows.join(sets, "cls").repartition(n_parts, "grp", "salt")
-    return landed(rows.sortWithinPartitions("grp", "salt", "query").select("grp", "salt", "query", "cls", "tokens")
-                  .mapInArrow(_opened(percent), "a bigint, b bigint"), "links-2")
+    held = landed(members.select("cls", "grp").join(queries.select("grp").distinct(), "grp", "left_semi"), "held")
+    wanted = queries.select("cls").unionByName(held.select("cls")).distinct().join(known.select("cls", "row_key"), "cls")
+    return _links(queries, held, _sets_of(docs, wanted, size, "sets-1"), percent, n_parts, "links-2")
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfline.llm import decontaminate, jaccard, mixing, quality, secrets, suffixes, toxicity
+from shelfline.llm import decontaminate, jaccard, mixing, pseudo, quality, secrets, suffixes, toxicity, vectors, warc
 from shelfline.llm.common import table
 from shelfline.llm.sql import SQL  # noqa: F401
 
 
+def op1_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo.scores(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -20,10 +24,18 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_documents(table(spark, sf_dir, "documents")).drop("cls")
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +54,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_scan, op3_quality, op5_ngram_jaccard, op7_toxicity, op8_mixing,
-                            op9_suffix_dedup, op10_decontamination)
+    f.__name__: f for f in (
+        op1_pseudo_likelihood, op2_secret_scan, op3_quality, op4_embedding_neardup, op5_ngram_jaccard,
+        op6_warc_derivatives, op7_toxicity, op8_mixing, op9_suffix_dedup, op10_decontamination)
 } | {"pipeline": corpus_pipeline.run}

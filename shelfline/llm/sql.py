@@ -31,3 +31,12 @@ e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE
 r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.c) AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY ALL"""
+SQL["op4_embedding_neardup"] = r"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+g AS (SELECT vec_id, x FROM v WHERE x IS NOT NULL AND len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+      AND len(list_filter(x, lambda y: y <> 0)) > 0),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.9),
+r AS (SELECT vec_id, vec_id AS c FROM v UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.vec_id),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT r.vec_id, coalesce(max(n.n), 0)::BIGINT AS n_links, min(r.c) AS component_id, min(r.c) = r.vec_id AS kept
+FROM r LEFT JOIN n ON n.a = r.vec_id GROUP BY r.vec_id"""

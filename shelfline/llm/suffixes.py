@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import words as W
-from shelfline.llm.common import landed, partitions
+from shelfline.llm.common import landed, partitions, sieved
 from shelfline.llm.recurring import recurring
 
 LENGTH, GRAM = 100, 32
@@ -281,7 +281,9 @@ def repeats_removed(documents: DataFrame, length: int = LENGTH, gram: int = GRAM
     runs = (settled.where(F.col("window").isNull()).select("row_id", "start", "stop")
             .unionByName(late.select("row_id", "start", "stop")).distinct()
             .groupBy("row_id").agg(F.collect_list(F.struct("start", "stop")).alias("runs")))
-    cut = suspects.select("row_id", "text").join(runs, "row_id").mapInArrow(
+    runs = landed(runs, "runs")
+    # most suspects turn out to hold no repeat; their text need not be shuffled again
+    cut = sieved(suspects.select("row_id", "text"), runs, "row_id").join(runs, "row_id").mapInArrow(
         _kept(length), "row_id bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
 
     whole = (~F.col("is_first")) & (F.col("n_bytes") >= length)
