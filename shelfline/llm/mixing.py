@@ -3,8 +3,8 @@
 A naive Bayes model learned from labelled rows gives every document a probability for each domain. A
 document of t tokens then counts as t times that probability towards a domain, and nonnegative rates are
 fitted so that the expected token totals of the domains meet their targets: projected gradient descent on
-least squares in the metric of the corpus. Every step is one aggregation to as many numbers as there are
-domains; the rates themselves stay an expression over the documents.
+least squares. Steps are summed and the sum is cut off at zero, so the rates stay one short expression over
+the documents however many steps there are, and a step is one aggregation to a few numbers.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from shelfline.llm.common import landed
 
 #: labelled rows the classifier is fitted on at most, and the words it uses
 SAMPLE, WORDS = 4_000, 64
-STEPS, CLOSE = 60, 1e-9
+STEPS, CLOSE = 40, 1e-9
 #: wanted share of each domain (quality, toxicity) of the mixture's tokens
 TARGETS: Mapping[str, float] = {"q1t0": 0.92, "q1t1": 0.02, "q0t0": 0.05, "q0t1": 0.01}
 #: tokens of the mixture by tokens of the corpus
@@ -117,32 +117,48 @@ def memberships(docs: DataFrame, model: Classifier, *keep: str) -> DataFrame:
 def fitted_rates(members: DataFrame, targets: list[float], steps: int = STEPS) -> tuple[Column, list[float]]:
     """The rate of each row as an expression over p_0, p_1, ..., and the residual by domain.
 
-    `targets` are token totals. Starting from equal rates, each step moves every rate against the
-    gradient and cuts it off at zero. With the residual measured by the inverse of the domains' Gram
-    matrix a step of one is safe, and without cuts the first step already meets the targets. Targets out
-    of reach leave a residual.
+    `targets` are token totals. From equal rates the sum of all steps is subtracted, and what falls below
+    zero is cut off. A step is the gradient of the squared residual, measured by the inverse Gram matrix
+    of the documents whose rate is not cut off; a step that does not lessen the residual is halved. Among
+    all rates that meet the targets these are the closest to equal ones. Targets out of reach leave a
+    residual.
     """
     k = len(targets)
     p = [F.col(f"p_{i}") for i in range(k)]
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    got = members.agg(F.sum("tokens").alias("all"), *[F.sum(F.col("tokens") * p[i] * p[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
     goal = np.array(targets, float)
-    scale, total = max(goal.sum(), 1.0), float(got["all"] or 0)
-    gram = np.zeros((k, k))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = (got[f"g{i}_{j}"] or 0.0) / scale
-    inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
-    rate = F.lit(float(goal.sum() / total) if total else 0.0)
-    residual = [0.0] * k
-    for _ in range(steps if total else 0):
-        sums = members.agg(*[F.sum(rate * F.col("tokens") * x) for x in p]).first()
-        e = np.array(sums, float) / scale - goal / scale
-        residual = [float(x) * scale for x in e]
-        if np.abs(e).max() < CLOSE:
+    scale = max(goal.sum(), 1.0)
+    total = float(members.agg(F.sum("tokens")).first()[0] or 0)
+    start = float(goal.sum() / total) if total else 0.0
+
+    def rate(steps_taken: np.ndarray) -> Column:
+        return F.greatest(F.lit(0.0), F.lit(start) - sum((F.lit(float(m)) * x for m, x in zip(steps_taken, p)), F.lit(0.0)))
+
+    def measured(steps_taken: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = members.select("tokens", *p, rate(steps_taken).alias("rate"))
+        weight = F.when(F.col("rate") > 0, F.col("tokens")).otherwise(0)
+        got = at.agg(*[F.sum(F.col("rate") * F.col("tokens") * x) for x in p],
+                     *[F.sum(weight * p[i] * p[j]) for i, j in pairs]).first()
+        gram = np.zeros((k, k))
+        for (i, j), value in zip(pairs, got[k:]):
+            gram[i, j] = gram[j, i] = (value or 0.0) / scale
+        return (np.array(got[:k], float) - goal) / scale, gram
+
+    taken = np.zeros(k)
+    if not total:
+        return rate(taken), [0.0] * k
+    residual, gram = measured(taken)
+    move = np.linalg.pinv(gram, rcond=1e-12, hermitian=True) @ residual
+    for _ in range(steps):
+        if np.abs(residual).max() < CLOSE:
             break
-        move = inverse @ e
-        rate = F.greatest(F.lit(0.0), rate - sum((F.lit(float(m)) * x for m, x in zip(move, p)), F.lit(0.0)))
-    return rate, residual
+        new, new_gram = measured(taken + move)
+        if np.abs(new).sum() < np.abs(residual).sum():
+            taken, residual = taken + move, new
+            move = np.linalg.pinv(new_gram, rcond=1e-12, hermitian=True) @ residual
+        else:
+            move = move / 2
+    return rate(taken), [float(x) * scale for x in residual]
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, size: float = SIZE) -> DataFrame:

@@ -32,7 +32,9 @@ CLASSES = SINGLE + BY_FREQUENCY + BY_LENGTH
 _LENGTHS = np.array([4, 6, 8, 10, 13, 17, 25])
 REACH, HIDDEN = 2, 16
 #: share of positions masked in a round, rounds, positions per step, and step size
-MASKED, ROUNDS, BATCH, RATE = 0.15, 2, 4096, 0.5
+MASKED, ROUNDS, BATCH, RATE = 0.15, 2, 512, 0.5
+#: positions scored at a time
+SCORED = 16_384
 _EDGE = CLASSES  # the context class beyond either end of a document
 
 
@@ -203,8 +205,8 @@ def score_texts(net: Network, words: Vocabulary, data: np.ndarray, offsets: np.n
     """Words and summed log probability of each text of a slice."""
     classes, inside, bounds = words.encode(data, offsets)
     total = np.zeros(len(classes) + 1)
-    for i in range(0, len(classes), 4 * BATCH):
-        at = np.arange(i, min(i + 4 * BATCH, len(classes)))
+    for i in range(0, len(classes), SCORED):
+        at = np.arange(i, min(i + SCORED, len(classes)))
         total[at + 1] = net.log_probability(contexts(classes, bounds, at), classes[at]) + inside[at]
     return np.diff(bounds), np.diff(np.cumsum(total)[bounds])
 
