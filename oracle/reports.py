@@ -13,9 +13,9 @@ PRODUCT_ID = 40
 SUM_NET = money(NET, "net_revenue")
 SEVERITY = "CASE level WHEN 'critical' THEN 1 WHEN 'urgent' THEN 2 ELSE 3 END"
 RANKED_ALERTS = f"SELECT * FROM alerts ORDER BY {SEVERITY}, closing, product_id LIMIT 50"
-ROLES = """(VALUES ('manager@example.com', 'Manager', ['critical','urgent','warning']),
-  ('buyer@example.com', 'Buyer', ['critical','urgent']), ('warehouse@example.com', 'Warehouse', ['critical'])) r(email, name, roles)"""
-ROUTED = f"(SELECT a.*, email, name FROM ({RANKED_ALERTS}) a JOIN {ROLES} ON list_contains(roles, level))"
+ROLES = """(VALUES ('floor@shop.example', 'Shop floor', ['warning']),
+  ('orders@shop.example', 'Ordering', ['critical','urgent','warning']), ('duty@shop.example', 'On duty', ['critical'])) r(email, name, roles)"""
+ROUTED = f"(SELECT a.*, email, name FROM alerts a JOIN {ROLES} ON list_contains(roles, level))"
 EMAIL_COLUMNS = ("product_id", "title", "format", "genre", "publisher", "closing_stock", "avg_daily_sales_30d",
                  "days_until_stockout", "recommended_order_qty", "alert_level", "stock_date")
 LEVELS = ", ".join(f"count(*) FILTER (WHERE level = '{n}') AS {n}" for n in ("critical", "urgent", "warning"))
@@ -255,14 +255,18 @@ FROM lines WHERE format = 'Subscription' GROUP BY title, price_c, cost_c"""),
     # alerts
     "alerts_ranked": query(["alerts"], f"SELECT {alert_columns(*EMAIL_COLUMNS)} FROM ({RANKED_ALERTS})"),
     "alerts_for_recipients": query(["alerts"], f"SELECT {alert_columns(*EMAIL_COLUMNS)}, email, name FROM {ROUTED}"),
-    "alert_gate": query(["alerts"], f"SELECT coalesce(bool_or(level IN ('critical', 'urgent')), false) AS send FROM ({RANKED_ALERTS})"),
+    "alert_gate": query(["alerts"], f"SELECT coalesce(bool_or(level IN ('critical', 'urgent')), false) AS send FROM alerts"),
     "alert_subject": query(["alerts"], f"""
 SELECT '[Stock] low stock: ' || concat_ws(', ', CASE WHEN critical > 0 THEN critical || ' critical' END,
   CASE WHEN urgent > 0 THEN urgent || ' urgent' END, CASE WHEN warning > 0 THEN warning || ' warning' END)
-  || strftime((SELECT last_day FROM span), ' - %d.%m.%Y') AS subject FROM (SELECT {LEVELS} FROM ({RANKED_ALERTS}))"""),
+  || strftime((SELECT last_day FROM span), ' - %d.%m.%Y') AS subject FROM (SELECT {LEVELS} FROM alerts)"""),
     "alert_log": query(["alerts"], f"""
 SELECT CAST((SELECT last_day FROM span) AS VARCHAR) AS report_date, email AS recipient, count(*) AS rows_sent, {LEVELS},
        true AS success, CAST(NULL AS VARCHAR) AS error FROM {ROUTED} GROUP BY email"""),
+    "alert_run": query(["alerts"], f"""
+SELECT CAST((SELECT last_day FROM span) AS VARCHAR) AS report_date, email AS recipient, count(*) AS rows_sent, {LEVELS},
+       true AS success, CAST(NULL AS VARCHAR) AS error
+FROM {ROUTED} WHERE (SELECT bool_or(level IN ('critical', 'urgent')) FROM alerts) GROUP BY email"""),
     # checks
     "orphan_products": query(["sales", "product"], "SELECT DISTINCT product_id FROM sales WHERE product_id NOT IN (SELECT product_id FROM product)"),
     "negative_stock": query(["inventory"], "SELECT count(*) AS violations FROM inventory WHERE closing < 0"),

@@ -43,6 +43,13 @@ def number(text: Column) -> Column:
     return F.when(plain | F.lower(text).isin(INFINITE), text.try_cast("double"))
 
 
+def whole_number(text: Column) -> Column:
+    """A 64-bit integer, read from its digits where it is written plainly; `1e3` and `7.0` count too, a
+    fraction does not."""
+    value = number(text)
+    return F.coalesce(text.try_cast("bigint"), F.when(value % 1 == 0, value.try_cast("bigint")))
+
+
 def flag(text: Column) -> Column:
     """1/0/true/false in any case as 1 or 0."""
     low = F.lower(trimmed(text))

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from shelfline.functions.parsing import day, trimmed, typed
 
 POSITION = "_pos"
+#: set by the reader on lines with more fields than the header
+OVERLONG = "_overlong"
 DETAILS = "table_name string, code string, level string, what string, n bigint"
 
 
@@ -142,19 +144,21 @@ def general_rules(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Trimmed text columns with blanks as NULL, and per row how many values that changed."""
     given = [f.name for f in schema if f.name in raw.columns]
     # Trimmed once, in a projection of their own; everything after refers to the result.
-    both = raw.select(POSITION, *given, *[trimmed(F.col(c)).alias(f"_t_{c}") for c in given])
+    overlong = F.col(OVERLONG) if OVERLONG in raw.columns else F.lit(False)
+    both = raw.select(POSITION, overlong.alias(OVERLONG), *given, *[trimmed(F.col(c)).alias(f"_t_{c}") for c in given])
 
     def count(tests: list[Column]) -> Column:
-        return sum([F.coalesce(t, F.lit(False)).cast("int") for t in tests], F.lit(0))
+        found = sum([F.coalesce(t, F.lit(False)).cast("int") for t in tests], F.lit(0))
+        return F.when(F.col(OVERLONG), 0).otherwise(found)
 
     text = [
         (F.nullif(F.col(f"_t_{f.name}"), F.lit("")) if f.name in given else F.lit(None).cast("string")).alias(f.name)
         for f in schema]
     rows = both.select(
         POSITION, *text, count([F.col(f"_t_{c}") != F.col(c) for c in given]).alias("_trimmed"),
-        count([F.col(f"_t_{c}") == "" for c in given]).alias("_blanked"))
+        count([F.col(f"_t_{c}") == "" for c in given]).alias("_blanked"), OVERLONG)
     nothing = F.coalesce(*[F.col(f.name) for f in schema]).isNull()
-    return rows.withColumn("_reject", F.when(nothing, "G-05 empty row"))
+    return rows.withColumn("_reject", F.when(F.col(OVERLONG), "G-01 over-long line").when(nothing, "G-05 empty row")).drop(OVERLONG)
 
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -196,6 +200,7 @@ def apply_rules(table: str, prepared: DataFrame, schema: T.StructType, steps: Se
     counted = [
         ("G-04", "fix", "trimmed values", F.sum("_trimmed")),
         ("G-03", "fix", "blank values", F.sum("_blanked")),
+        ("G-01", "reject", "over-long line", F.count_if(F.col("_reject") == "G-01 over-long line")),
         ("G-05", "reject", "empty row", F.count_if(F.col("_reject") == "G-05 empty row")),
     ]
     kept = F.col("_reject").isNull()

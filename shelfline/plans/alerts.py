@@ -5,21 +5,18 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.plans.stock import mart_inventory_alerts
 from shelfline.schemas import ALERT_LEVELS
+from shelfline.sources.files import append_log
 from shelfline.star import Star
 
 RECIPIENT_SCHEMA = "email string, name string, roles array<string>"
-# --- fixed values: example recipients and the levels each is told about ---
-EXAMPLE_RECIPIENTS = [
-    ("manager@example.com", "Manager", ["critical", "urgent", "warning"]),
-    ("buyer@example.com", "Buyer", ["critical", "urgent"]),
-    ("warehouse@example.com", "Warehouse", ["critical"]),
-]
-# --- end of fixed values ---
+LOG_SCHEMA = ("report_date string, recipient string, rows_sent bigint, critical bigint, urgent bigint, warning bigint, "
+              "success boolean, error string")
 
 
 def severity(level: Column | None = None) -> Column:
@@ -27,15 +24,19 @@ def severity(level: Column | None = None) -> Column:
     return F.when(level == "critical", 1).when(level == "urgent", 2).otherwise(3)
 
 
-def alerts_ranked(star: Star, max_rows: int = 50) -> DataFrame:
-    """The most pressing alerts: by level, then by stock."""
+def all_alerts(star: Star) -> DataFrame:
+    """Every alert, with the columns that are sent."""
     return star.mart(mart_inventory_alerts).select(
         "product_id", "title", "format", "genre", "publisher", "closing_stock", "avg_daily_sales_30d",
-        "days_until_stockout", "recommended_order_qty", "alert_level", "stock_date",
-    ).orderBy(severity(), "closing_stock", "product_id").limit(max_rows)
+        "days_until_stockout", "recommended_order_qty", "alert_level", "stock_date")
+
+
+def alerts_ranked(star: Star, max_rows: int = 50) -> DataFrame:
+    """The most pressing alerts: by level, then by stock. A report; routing starts from all alerts."""
+    return all_alerts(star).orderBy(severity(), "closing_stock", "product_id").limit(max_rows)
 
 
-def recipients(star: Star, rows: Sequence[tuple] = EXAMPLE_RECIPIENTS) -> DataFrame:
+def recipients(star: Star, rows: Sequence[tuple]) -> DataFrame:
     """Recipients with their roles; without roles one gets every level."""
     df = star.spark.createDataFrame(list(rows), RECIPIENT_SCHEMA)
     every = F.array(*map(F.lit, ALERT_LEVELS))
@@ -76,3 +77,21 @@ def alert_log(routed: DataFrame, report_date: dt.date, sent_at: dt.datetime | No
     return counts.select(
         *stamp, F.lit(report_date).cast("string").alias("report_date"), "recipient", "rows_sent",
         *ALERT_LEVELS, F.lit(success).alias("success"), F.lit(error).cast("string").alias("error"))
+
+
+def alert_run(alerts: DataFrame, people: DataFrame, report_date: dt.date, path: str, min_level: str = "warning") -> DataFrame:
+    """One run: if any alert is severe enough, each recipient's share is logged to `path`, where earlier
+    runs stay. Recipients without a matching alert get no record. Returns the log as it stands after."""
+    if alert_gate(alerts, min_level).first().send:
+        append_log(alert_log(alerts_for_recipients(alerts, people), report_date), path)
+    elif not log_exists(alerts.sparkSession, path):
+        return alerts.sparkSession.createDataFrame([], LOG_SCHEMA)
+    return alerts.sparkSession.read.schema(LOG_SCHEMA).json(path)
+
+
+def log_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema(LOG_SCHEMA).json(path)
+    except AnalysisException:
+        return False
+    return True

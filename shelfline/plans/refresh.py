@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.plans import daily, plan_fact, sales, stock
 from shelfline.star import Star
@@ -25,22 +29,43 @@ GROUPS: dict[str, list[Callable[[Star], DataFrame]]] = {
 VIEWS = {"daily_pulse"}
 
 STATUS = "step int, mart_group string, marts int, ok boolean, error string"
+_MANIFEST = "run string, mart string, path string, columns string"
 
 
 def materialise(mart: DataFrame, path: str) -> None:
-    mart.write.mode("overwrite").parquet(path)
+    mart.write.parquet(path)
+
+
+def published_mart(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A mart as the last run that completed its group left it."""
+    runs = spark.read.schema(_MANIFEST).json(f"{folder}/manifest").where(F.col("mart") == name)
+    last = runs.agg(F.max_by(F.struct("path", "columns"), "run").alias("last")).first().last
+    if last is None:
+        raise ValueError(f"no run has published {name}")
+    return spark.read.schema(T.StructType.fromJson(json.loads(last.columns))).parquet(last.path)
 
 
 def refresh_all_marts(star: Star, folder: str, groups: dict = GROUPS) -> DataFrame:
-    """Builds every group; one that fails is reported and the rest go on."""
+    """Builds every group; one that fails is reported and the rest go on.
+
+    The marts of a group are written beside earlier runs and published together by one small manifest
+    write: a group that fails half way leaves what readers see untouched.
+    """
+    run = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
     status = []
     for step, (group, marts) in enumerate(groups.items(), 1):
         try:
+            made = []
             for mart in marts:
+                built = mart(star)
                 if group in VIEWS:
-                    mart(star).createOrReplaceTempView(mart.__name__)
+                    built.createOrReplaceTempView(mart.__name__)
                 else:
-                    materialise(mart(star), f"{folder}/{mart.__name__}")
+                    path = f"{folder}/{mart.__name__}/run={run}"
+                    materialise(built, path)
+                    made.append((run, mart.__name__, path, built.schema.json()))
+            if made:
+                star.spark.createDataFrame(made, _MANIFEST).coalesce(1).write.mode("append").json(f"{folder}/manifest")
             status.append((step, group, len(marts), True, None))
         except Exception as failure:  # any failure of one group must not stop the others
             status.append((step, group, len(marts), False, str(failure).splitlines()[0]))

@@ -21,8 +21,10 @@ def latest_stock(star: Star) -> DataFrame:
 
 def avg_daily_sales_30d(star: Star) -> DataFrame:
     """Net quantity per day over the 30 days up to the last inventory day."""
-    first = star.stock_day - dt.timedelta(days=SALES_WINDOW_DAYS - 1)
-    sold = in_days(star.sales, first, star.stock_day).groupBy("product_id").agg(*measures("net_qty"))
+    last = star.stock_day
+    first = last and last - dt.timedelta(days=SALES_WINDOW_DAYS - 1)
+    window = in_days(star.sales, first, last) if last else star.sales.where(F.lit(False))
+    sold = window.groupBy("product_id").agg(*measures("net_qty"))
     return sold.select(
         "product_id",
         F.round(exact(F.col("net_qty")) / SALES_WINDOW_DAYS, 1).cast("decimal(12,1)").alias("avg_daily_sales_30d"))

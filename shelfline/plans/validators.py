@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.functions.parsing import day, flag, isbn13_ok, number, number_flag
+from shelfline.functions.parsing import day, flag, isbn13_ok, number, number_flag, whole_number
 from shelfline.operators.rules import (
     POSITION, Checked, Fix, MissingDays, Reject, Stage, Unique, Warn, apply_rules, general_rules,
 )
@@ -20,7 +20,8 @@ from shelfline.schemas import (
 
 
 def _prepared(raw: DataFrame, schema: T.StructType, stage: Stage | None, text_flags: tuple[str, ...] = ()) -> DataFrame:
-    """General rules, then numbers as doubles beside their text and the day as a date.
+    """General rules, then ids as 64-bit integers and other numbers as doubles beside their text, and the
+    day as a date. Ids never pass through a double, in which those above 2^53 would run together.
 
     Rules that look for copies read the table more than once. `stage` writes a frame and reads it
     back, so that text is parsed once and the later passes read only the columns they need.
@@ -32,7 +33,8 @@ def _prepared(raw: DataFrame, schema: T.StructType, stage: Stage | None, text_fl
     for field in schema:
         if isinstance(field.dataType, T.NumericType) and field.name not in text_flags:
             parsed[f"_raw_{field.name}"] = F.col(field.name)
-            parsed[field.name] = number(F.col(field.name))
+            value = whole_number if field.name.endswith("_id") else number
+            parsed[field.name] = value(F.col(field.name))
         elif field.name == "date":
             parsed["date"] = day(F.col("date"))
     df = df.withColumns(parsed)
@@ -149,7 +151,7 @@ def validate_fact_plan(raw: DataFrame, years: tuple[int, int] = PLAN_YEARS, stag
 
 def _with_format(prepared: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Adds `_format`, NULL for an unknown product. Broadcast only if the dimension measures small."""
-    known = dim_product.select(F.col("product_id").cast("double").alias("_known_id"), F.col("format").alias("_format"))
+    known = dim_product.select(F.col("product_id").cast("bigint").alias("_known_id"), F.col("format").alias("_format"))
     return prepared.join(known, F.col("product_id") == F.col("_known_id"), "left")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -102,16 +103,35 @@ CHARTS: dict[str, Callable[[Star], DataFrame]] = {
 } | {"stock_vs_threshold": lambda s: charts.stock_vs_threshold(s, PRODUCT_ID)}
 
 
+# --- example recipients, repeated in the checking SQL ---
+RECIPIENTS = [
+    ("floor@shop.example", "Shop floor", ["warning"]),
+    ("orders@shop.example", "Ordering", ["critical", "urgent", "warning"]),
+    ("duty@shop.example", "On duty", ["critical"]),
+]
+# --- end of example recipients ---
+
+
+def _people(star: Star) -> DataFrame:
+    return alerts.recipients(star, RECIPIENTS)
+
+
 def _routed(star: Star) -> DataFrame:
-    return alerts.alerts_for_recipients(alerts.alerts_ranked(star), alerts.recipients(star))
+    return alerts.alerts_for_recipients(alerts.all_alerts(star), _people(star))
+
+
+def _alert_run(star: Star) -> DataFrame:
+    path = f"{star.work}/alert-log-{uuid.uuid4().hex[:8]}"
+    return alerts.alert_run(alerts.all_alerts(star), _people(star), star.today, path, "urgent")
 
 
 ALERTS: dict[str, Callable[[Star], DataFrame]] = {
     "alerts_ranked": alerts.alerts_ranked,
     "alerts_for_recipients": _routed,
-    "alert_gate": lambda s: alerts.alert_gate(alerts.alerts_ranked(s), "urgent"),
-    "alert_subject": lambda s: alerts.alert_subject(alerts.alerts_ranked(s), s.today),
+    "alert_gate": lambda s: alerts.alert_gate(alerts.all_alerts(s), "urgent"),
+    "alert_subject": lambda s: alerts.alert_subject(alerts.all_alerts(s), s.today),
     "alert_log": lambda s: alerts.alert_log(_routed(s), s.today),
+    "alert_run": _alert_run,
 }
 
 CHECKS: dict[str, Callable[[Star], DataFrame]] = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -17,6 +18,7 @@ SETTINGS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -32,10 +34,13 @@ def build_session(master: str = "local[8]", app: str = "shelfline", **extra: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: spark.checkpoint.dir, or the one set on the context.
 
-    Only a session that names none (a test on one machine) gets a fresh local folder.
+    A session that names none gets a fresh local folder if it runs in this one process; on a cluster,
+    where each machine would write to its own disk, that is an error.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if named is None and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="shelfline-"))
     return named or os.path.dirname(context.getCheckpointDir())

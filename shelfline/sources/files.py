@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions.parsing import day, number, typed
-from shelfline.operators.rules import POSITION
+from shelfline.operators.rules import OVERLONG, POSITION
 from shelfline.schemas import NULL_TOKENS, TABLES
 
 FALLBACK_CHARSET = "windows-1251"
 _BROKEN = "_broken_line"
 
 
-def charsets(spark: SparkSession, path: str) -> dict[str, list[str]]:
+def charsets(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
     """Paths by charset: UTF-8 where every line of a file is valid UTF-8, else the fallback.
 
     Lines are tested where they are read, so a large file is examined by many tasks and none holds
@@ -28,7 +28,7 @@ def charsets(spark: SparkSession, path: str) -> dict[str, list[str]]:
     per_file = lines.groupBy("file").agg(F.bool_and("valid").alias("valid"))
     other = [r.file for r in per_file.where(~F.col("valid")).collect()]
     if not other:
-        return {"UTF-8": [path]}
+        return {"UTF-8": [path] if isinstance(path, str) else path}
     good = [r.file for r in per_file.where("valid").collect()]
     return {FALLBACK_CHARSET: other} | ({"UTF-8": good} if good else {})
 
@@ -44,8 +44,8 @@ def _reader(spark: SparkSession, charset: str, multiline: bool):
             .option("quote", '"').option("escape", '"'))
 
 
-def _raw(spark: SparkSession, path: str, multiline: bool, charset: str | None = None) -> tuple[DataFrame, list[str]]:
-    by_charset = {charset: [path]} if charset else charsets(spark, path)
+def _raw(spark: SparkSession, path: str | list[str], multiline: bool, charset: str | None = None) -> tuple[DataFrame, list[str]]:
+    by_charset = {charset: [path] if isinstance(path, str) else path} if charset else charsets(spark, path)
     if set(by_charset) - {"UTF-8"}:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # lets the reader decode it at all
     frames, names = [], []
@@ -53,10 +53,17 @@ def _raw(spark: SparkSession, path: str, multiline: bool, charset: str | None =
         names = _reader(spark, charset, multiline).csv(files).columns
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BROKEN]])
         frames.append(_reader(spark, charset, multiline).schema(schema).option("columnPruning", False)
-                      .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BROKEN).csv(files))
+                      .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BROKEN).csv(files)
+                      .select("*", _place().alias(POSITION)))
     return reduce(DataFrame.unionByName, frames), names
 
 
+def _place() -> Column:
+    """Where a row stands: by file name, then by where its split begins, then by order within the split."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
 def _is_overlong(names: list[str]) -> Column:
     """True for a line with more fields than the header.
 
@@ -66,17 +73,18 @@ def _is_overlong(names: list[str]) -> Column:
     return (_fields(F.col(_BROKEN)) > len(names)) & (F.hash(names[0]) >= -(2 ** 31))
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = False, charset: str | None = None) -> DataFrame:
-    """Every column as text, with its position in the file.
+def read_csv(spark: SparkSession, path: str | list[str], multiline: bool = False, charset: str | None = None,
+             flag_overlong: bool = False) -> DataFrame:
+    """Every column as text, with its position in the files.
 
     Missing-value tokens are NULL, a short line ends in NULLs, a line with more fields than the header
-    is left out (see `overlong_lines`). A quoted line break needs `multiline`, which gives up
+    is left out (see `overlong_lines`), or kept and marked for the quality report. A quoted line break needs `multiline`, which gives up
     splitting a file between tasks. Naming the `charset` saves the pass that finds it out per file.
     """
     raw, names = _raw(spark, path, multiline, charset)
-    placed = raw.withColumn(POSITION, F.monotonically_increasing_id())
-    kept = placed.where(~F.coalesce(_is_overlong(names), F.lit(False)))
-    return kept.select(POSITION, *[F.when(~F.col(n).isin(NULL_TOKENS), F.col(n)).alias(n) for n in names])
+    overlong = F.coalesce(_is_overlong(names), F.lit(False))
+    columns = [POSITION, *[F.when(~F.col(n).isin(NULL_TOKENS), F.col(n)).alias(n) for n in names]]
+    return raw.select(*columns, overlong.alias(OVERLONG)) if flag_overlong else raw.where(~overlong).select(*columns)
 
 
 def overlong_lines(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -106,16 +114,6 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A small input comes in fewer splits than there are cores; deal its rows out to all of them.
-
-    A large one already has more splits and stays as it is. Give it a plain scan, whose splits are
-    known without running anything.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 

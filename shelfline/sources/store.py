@@ -11,6 +11,7 @@ import datetime as dt
 import json
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,8 +79,20 @@ class Store:
     def star(self, as_of: dt.date | None = None) -> Star:
         return Star(self.spark, as_of, **{n: self._read(e) for n, e in self._published().items()})
 
+    def latest_load(self) -> int | None:
+        """The id of the published load; None for an empty store."""
+        try:
+            manifest = self.spark.read.schema(_MANIFEST).json(f"{self.root}/manifest")
+        except AnalysisException:  # nothing has been loaded yet
+            return None
+        return manifest.agg(F.max("load_id")).first()[0]
+
     def full_load(self, tables: dict[str, DataFrame], load_id: int) -> None:
-        """Replaces all tables."""
+        """Replaces all tables. The id must be above the published one: a lower load would never be
+        seen, and the same one would be written over while it is read."""
+        published = self.latest_load()
+        if published is not None and load_id <= published:
+            raise ValueError(f"load {load_id} is not above the published load {published}")
         rows = []
         for name, df in tables.items():
             path = f"{self.root}/{name}/load={load_id}"
@@ -105,9 +118,9 @@ class Store:
     def new_rows(self, batch: DataFrame, name: str) -> DataFrame:
         """Rows of the batch whose keys are free, the first of a key where the batch repeats one.
 
-        The stored table is never shuffled: literal bounds prune it to the months and row groups that
-        can hold the batch's keys, a semi join reduces those to the conflicts, and the batch is
-        cleared of them.
+        Literal bounds prune the stored table to the months and row groups that can hold the batch's
+        keys, a semi join reduces those to the conflicts, and the batch is cleared of them. The stored
+        keys within the bounds are shuffled only if the batch's keys are too many to broadcast.
         """
         stored = self.table(name)
         for keys in KEYS[name]:

@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.functions.dates import last_date
+from shelfline.functions.dates import in_days, last_date
 from shelfline.sources.files import written
 
 Table = DataFrame | Callable[[], DataFrame]
@@ -31,7 +31,11 @@ class Star:
         return table
 
     def at(self, as_of: dt.date) -> Star:
-        return Star(self.spark, as_of, **self._tables)
+        """The same tables as they stood on a day. Both share what has been derived so far, and derive
+        each further table once."""
+        other = Star(self.spark, as_of)
+        other._tables = self._tables
+        return other
 
     def mart(self, build: Callable[[Star], DataFrame]) -> DataFrame:
         """A mart as its readers see it: written once and read, where this Star has a work folder;
@@ -57,21 +61,22 @@ class Star:
 
     @property
     def sales(self) -> DataFrame:
-        return self["fact_sales"]
+        """Sales up to the report day asked for; every mart reads them here."""
+        return in_days(self["fact_sales"], None, self._as_of)
 
     @property
     def inventory(self) -> DataFrame:
-        return self["fact_inventory"]
+        return in_days(self["fact_inventory"], None, self._as_of)
 
     @cached_property
-    def today(self) -> dt.date:
+    def today(self) -> dt.date | None:
         """Report day: the one asked for, else the latest sale. One scalar, read once per Star, so
         that every mart filters by a literal."""
         return self._as_of or last_date(self.sales)
 
     @property
-    def yesterday(self) -> dt.date:
-        return self.today - dt.timedelta(days=1)
+    def yesterday(self) -> dt.date | None:
+        return self.today and self.today - dt.timedelta(days=1)
 
     @cached_property
     def stock_day(self) -> dt.date | None:

@@ -5,14 +5,15 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.plans.loading import daily_update
-from shelfline.schemas import NULL_TOKENS, PROJECT_START, TABLES
+from shelfline.schemas import PROJECT_START
+from shelfline.sources.files import read_csv
 from shelfline.sources.store import Store
 
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def stream_updates(spark: SparkSession, store: Store, table: str, folder: str, work: str,
                    start: dt.date = PROJECT_START, as_of: dt.date | None = None,
@@ -22,14 +23,16 @@ def stream_updates(spark: SparkSession, store: Store, table: str, folder: str, w
     State lives in the target table: a batch that is replayed after a failure finds its keys taken
     and adds nothing, so the append is effectively once.
     """
-    names = [f.name for f in TABLES[table]]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    files = (spark.readStream.schema(schema).option("header", True).option("escape", '"')
+    files = (spark.readStream.format("binaryFile").schema(_FILES)
              .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-             .option("maxFilesPerTrigger", files_per_batch).csv(folder))
+             .option("maxFilesPerTrigger", files_per_batch).load(folder).select("path"))
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        raw = batch.select(*[F.when(~F.col(n).isin(NULL_TOKENS), F.col(n)).alias(n) for n in names])
+        # at most `files_per_batch` names; the files are then read like any extract, by header and charset
+        paths = sorted(r.path for r in batch.collect())
+        if not paths:
+            return
+        raw = read_csv(spark, paths, flag_overlong=True)
         daily_update(spark, store, {table: raw}, f"{work}/{table}/batch={batch_id}", start, as_of, days_from)
 
     return (files.writeStream.foreachBatch(append).option("checkpointLocation", f"{work}/{table}/progress")

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfline.plans import alerts, loading
-from shelfline.plans.refresh import refresh_all_marts
+from shelfline.operators.rules import keep_first
+from shelfline.plans import validators
+from shelfline.plans.refresh import published_mart, refresh_all_marts
 from shelfline.schemas import DIM_PRODUCT, FACT_SALES
 from shelfline.sources import files
 from shelfline.sources.store import Store
@@ -172,3 +174,57 @@ def test_alert_routing(spark, tmp_path):
     assert [alerts.alert_gate(warn, level).first().send for level in ("warning", "urgent", "nonsense")] == [True, False, False]
     assert alerts.alert_gate(found, "nonsense").first().send
     assert not alerts.alert_gate(found.limit(0)).first().send
+
+
+def test_loads_only_move_forward(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    product = spark.createDataFrame([(1, "t")], "product_id bigint, title string")
+    store.full_load({"dim_product": product}, load_id=3)
+    for old in (2, 3):
+        with pytest.raises(ValueError):
+            store.full_load({"dim_product": product.limit(0)}, load_id=old)
+    assert store.table("dim_product").count() == 1 and store.latest_load() == 3
+
+
+def test_first_row_follows_file_names(spark, tmp_path):
+    (tmp_path / "day1.csv").write_text("id,name\n7,early\n")
+    (tmp_path / "day2.csv").write_text("id,name\n" + "".join(f"{i},late\n" for i in range(4900)))
+    (tmp_path / "day3.csv").write_bytes("id,name\n7,поздно\n".encode("cp1251"))
+    kept = keep_first(files.read_csv(spark, str(tmp_path)), ["id"])
+    assert [r.name for r in kept.where("id = '7'").collect()] == ["early"] and kept.count() == 4900
+
+
+def test_overlong_lines_are_counted(spark, tmp_path):
+    path = tmp_path / "plan.csv"
+    path.write_text("plan_id,genre,format,year,month,plan_qty,plan_amount,plan_margin_target\n"
+                    "1,Fiction,eBook,2024,1,1,1,0.5\n2,Fiction,eBook,2024,2,1,1,0.5,extra\n")
+    checked = validators.validate_fact_plan(files.read_csv(spark, str(path), flag_overlong=True))
+    summary = checked.summary().first()
+    assert (summary.rows_received, summary.rows_rejected, summary.rows_loaded) == (2, 1, 1)
+    assert [(r.code, r.n) for r in checked.details().collect()] == [("G-01", 1)]
+
+
+def test_failed_group_keeps_its_marts(spark, tmp_path):
+    def first(star):
+        return star.spark.range(values["rows"])
+
+    def second(star):
+        if values["fail"]:
+            raise RuntimeError("no")
+        return star.spark.range(3)
+
+    values = {"rows": 2, "fail": False}
+    for values["rows"], values["fail"] in ((2, False), (5, True)):
+        refresh_all_marts(Star(spark), str(tmp_path), {"g": [first, second]})
+    assert published_mart(spark, str(tmp_path), "first").count() == 2
+    assert published_mart(spark, str(tmp_path), "second").count() == 3
+
+
+def test_alert_run_appends_and_reads_back(spark, tmp_path):
+    found = spark.createDataFrame([(1, "critical"), (2, "warning"), (3, "warning")], "product_id bigint, alert_level string")
+    people = alerts.recipients(Star(spark), [("a@x", "A", ["warning"]), ("b@x", "B", ["urgent"])])
+    for expected in (1, 2):
+        log = alerts.alert_run(found, people, AS_OF, str(tmp_path / "log"), "urgent")
+        assert [(r.recipient, r.rows_sent) for r in log.collect()] == [("a@x", 2)] * expected
+    quiet = found.where("alert_level = 'warning'")
+    assert alerts.alert_run(quiet, people, AS_OF, str(tmp_path / "none"), "urgent").count() == 0

@@ -166,3 +166,16 @@ def test_totals(spark, product):
                v.validate_fact_inventory(raw(spark, FACT_INVENTORY, [STOCK | dict(closing_stock="9")]), product, as_of=AS_OF)]
     assert v.total_issues(checked).first().issues == 2
     assert {r.table_name for r in v.quality_details(checked).collect()} == {"dim_date", "fact_inventory"}
+
+
+def test_ids_above_double_precision_stay_apart(spark):
+    big = 2 ** 53
+    product = spark.createDataFrame([(big, "eBook"), (big + 2, "eBook")], "product_id bigint, format string")
+    rows = [dict(sales_id=str(big + i), order_id=str(big + i), product_id=str(big + p), date="2024-01-05", sales_qty="1", return_qty="0",
+                 unit_price="2", sales_amount="2", return_amount="0", discount_percent="0", is_promo="0", promo_code=None,
+                 channel="Web", lost_sales_qty="0") for i, p in ((0, 0), (1, 0), (2, 1))]
+    names = list(rows[0])
+    raw = spark.createDataFrame([tuple(r[n] for n in names) for r in rows], ", ".join(f"{n} string" for n in names))
+    checked = v.validate_fact_sales(raw, product, dt.date(2024, 1, 1), dt.date(2024, 12, 31), dt.date(2024, 1, 5))
+    assert sorted(r.sales_id for r in checked.clean.collect()) == [big, big + 1]
+    assert {r.code: r.n for r in checked.details().collect()} == {"S-04": 1}
