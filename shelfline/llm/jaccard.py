@@ -193,6 +193,13 @@ def _roots(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("id").alias("cls"), F.col("component").alias("comp"))
 
 
+def _between(links: DataFrame, known: DataFrame) -> DataFrame:
+    """Links of classes as links of their components, each once."""
+    at_a = known.select(F.col("cls").alias("a"), F.col("comp").alias("comp_a"))
+    at_b = known.select(F.col("cls").alias("b"), F.col("comp").alias("comp_b"))
+    return links.join(at_a, "a").join(at_b, "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct()
+
+
 def linked_documents(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per row of documents: doc_id, n_shingles, cls (hash of the shingle set, null if empty) and
     component_id, the smallest doc_id reachable over links of at least `percent`, itself included.
@@ -225,7 +232,9 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE, percent: int = P
     known = landed(known, "known")
 
     more = _across(docs, meeting, known, size, percent, n_parts)
-    comp = _roots(links.unionByName(more))
+    # the later links only join components already found, which stand for their classes
+    merged = _roots(_between(more, known)).select(F.col("cls").alias("comp"), F.col("comp").alias("whole"))
+    comp = known.select("cls", "comp").join(merged, "comp", "left").select("cls", F.coalesce("whole", "comp").alias("comp"))
     placed = classes.select("cls", "first_id").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = placed.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     by_class = placed.join(least, "comp").select("cls", "component_id")
