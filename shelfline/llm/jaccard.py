@@ -2,9 +2,10 @@
 
 Documents with equal shingle sets are one class. Classes that share their rarest recurring shingles are
 partitioned around the most typical of them and compared with it, which joins most near copies. What is
-left is searched exactly: classes already connected form groups of at most 64, the matrix holds the tokens
-of every group's union, a class that could still link elsewhere counts its tokens in the unions, groups
-whose bound is too low stay closed, and the others are opened and compared set by set.
+left is searched exactly: classes already connected form groups of at most 64 of like size, and the matrix
+holds the tokens of every group's union with the first place they take in a member. Groups that are not
+connected count the tokens they share up to the places that their sizes leave open; pairs with too few stay
+closed, and the others are opened and compared set by set.
 
 Only the smallest quarter of a set (in an order that puts common shingles last) can be needed to notice
 a partner at 0.75, so only that prefix is shuffled for all documents, and whole sets only for classes with
@@ -37,8 +38,10 @@ QUERIES = 4096
 STRETCH, COMMON_FROM, COMMON_BITS, MOST_COMMON = 2_000_000, 8, 1 << 25, 50_000
 #: shingles a class is partitioned by
 KEYS = 3
-#: points at which it is noted how far a prefix has come in the order
-MARKS = 8
+#: sizes in a group differ by less than this factor
+BAND = 1.05
+#: how much of the prefixes is compared between groups: 0 for the least that shows any partner, 1 for all
+REACH = 0.25
 #: near copies share most of their prefix; classes that do not wait for the exact search
 LIKELY = 0.3
 #: added to the hash of a sequence too short for a shingle, by its length
@@ -111,46 +114,26 @@ def _common(held: dict[int, np.ndarray]) -> pa.RecordBatch:
         names=["doc_id", "row_key", "cls", "n", "token"])
 
 
-def _prefix(tokens: np.ndarray, percent: int, common: np.ndarray, known: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _prefix(tokens: np.ndarray, percent: int, common: np.ndarray, known: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The part of a set that must meet a partner's, in order: by rank (0 rare, 1 common, then the most
     common by their counts), then by hash."""
     ranks = in_bitmap(common, tokens).astype(np.int32)
     if len(known):
         at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
         ranks = np.where(known[at] == tokens, rank[at], ranks).astype(np.int32)
-    order = np.lexsort((tokens, ranks))[:len(tokens) - least_overlap(len(tokens), percent) + 1]
-    return tokens[order], ranks[order]
+    return tokens[np.lexsort((tokens, ranks))[:len(tokens) - least_overlap(len(tokens), percent) + 1]]
 
 
 def _prefixes(size: int, percent: int, common):
-    """Entries (token, class, rank among the common ones) of all prefixes."""
+    """Entries (token, class, place in the order) of all prefixes."""
     def entries(batch: pa.RecordBatch):
         for tokens in shingle_sets(batch.column("text"), size):
             if len(tokens):
-                own, ranks = _prefix(tokens, percent, *common.value)
-                yield own, np.full(len(own), set_id(tokens)), ranks
+                own = _prefix(tokens, percent, *common.value)
+                yield own, np.full(len(own), set_id(tokens)), np.arange(len(own), dtype=np.int32)
     return entries
 
 
-def _marks(size: int, percent: int, common):
-    """Per document with shingles: where in the order each eighth of its prefix ends."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, marks = [], []
-            for tokens in shingle_sets(batch.column("text"), size):
-                if len(tokens):
-                    own, ranks = _prefix(tokens, percent, *common.value)
-                    at = -(-np.arange(1, MARKS + 1) * len(own) // MARKS) - 1
-                    # one number in the same order: rank 0 and 1 by hash, then ranks
-                    place = np.where(ranks[at] > 1, (1 << 62) + ranks[at].astype(np.int64),
-                                     (own[at] >> np.uint64(3)).astype(np.int64) + (ranks[at].astype(np.int64) << 61))
-                    ids.append(set_id(tokens))
-                    marks.append(place)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(marks, pa.list_(pa.int64()))], names=["cls", "marks"])
-    return run
-
-
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,16 +202,15 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE, percent: int = P
 
     common = spark.sparkContext.broadcast(_common_shingles(measured))
     meeting = landed(recurring(docs.select("text"), _prefixes(size, percent, common)).select(
-        F.col("key").alias("token"), F.col("a").alias("cls"), F.col("b").alias("rank")).distinct(), "meeting")
+        F.col("key").alias("token"), F.col("a").alias("cls"), F.col("b").alias("place")).distinct(), "meeting")
 
     met = meeting.groupBy("cls").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("rank", "token"))), 1, KEYS)["token"].alias("keys"),
+        F.slice(F.array_sort(F.collect_list(F.struct("place", "token"))), 1, KEYS)["token"].alias("keys"),
         F.count("*").alias("shared"))
-    marks = docs.select("text").mapInArrow(_marks(size, percent, common), "cls bigint, marks array<bigint>")
-    near = landed(met.join(classes, "cls").join(marks.dropDuplicates(["cls"]), "cls"), "near")
+    near = landed(met.join(classes, "cls"), "near")
     links = _to_typical(docs, near, size, percent, n_parts)
     known = near.join(_roots(links), "cls", "left").select(
-        "cls", "n", "row_key", "marks", F.coalesce("comp", "cls").alias("comp"))
+        "cls", "n", "row_key", F.coalesce("comp", "cls").alias("comp"))
     known = landed(known, "known")
 
     more = _across(docs, meeting, known, size, percent, n_parts)
@@ -291,42 +273,41 @@ def _common_shingles(measured: DataFrame) -> tuple[np.ndarray, np.ndarray, np.nd
 def _across(docs: DataFrame, meeting: DataFrame, known: DataFrame, size: int, percent: int, n_parts: int) -> DataFrame:
     """Links between classes that are not yet connected, at least one for every such pair of components
     that has any."""
-    placed = meeting.select("token", "cls").join(known.select("cls", "n", "comp"), "cls")
+    placed = meeting.join(known.select("cls", "comp"), "cls")
     foreign = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    placed = landed(placed.join(foreign.select("token"), "token", "left_semi"), "placed")
+    placed = landed(placed.join(foreign.select("token"), "token", "left_semi").select("token", "cls", "place"), "placed")
     # groups of connected classes of like size, so that a group's bound is close to its members'
-    band = F.floor(F.log("n") / F.log(F.lit(1.05)))
-    members = (placed.select("cls").distinct().join(known, "cls").withColumn("gkey", F.xxhash64("comp", band)))
+    members = placed.select("cls").distinct().join(known, "cls").withColumn(
+        "gkey", F.xxhash64("comp", F.floor(F.log("n") / F.log(F.lit(BAND)))))
     counts = members.groupBy("gkey").agg(F.count("*").alias("size"))
     members = landed(members.join(counts, "gkey").withColumn(
         "grp", F.xxhash64("gkey", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / GROUP)))).drop("size", "gkey"), "members")
-    # every member's prefix is past a mark where the group's is
     groups = members.groupBy("grp").agg(
-        F.min("n").alias("lo"), F.max("n").alias("hi"), F.first("comp").alias("g_comp"),
-        F.min(F.element_at("marks", -1)).alias("g_last"),
-        F.array(*[F.max(F.element_at("marks", i + 1)) for i in range(MARKS)]).alias("g_marks"))
-    matrix = (placed.select("token", "cls").join(members.select("cls", "grp"), "cls").select("token", "grp").distinct()
-              .join(groups.select("grp", "lo", "hi", "g_comp"), "grp"))
-    n, lo, hi = F.col("n"), F.col("lo"), F.col("hi")
+        F.min("n").cast("int").alias("lo"), F.max("n").cast("int").alias("hi"), F.first("comp").alias("comp"),
+        F.count("*").cast("int").alias("size"))
+    matrix = landed(placed.join(members.select("cls", "grp"), "cls").groupBy("token", "grp").agg(F.min("place").alias("place"))
+                    .join(groups, "grp"), "matrix")
+
+    # Partners of x and y tokens share at least m = share / (1 + share) * (x + y) of them. For any k, at least
+    # k of those are among the first x - m + k of the one and the first y - m + k of the other; both lie
+    # within the prefixes while k - 1 is at most m - share * max(x, y). The bounds of a group take the place of x and y.
     share = percent / 100
-    met = (placed.join(matrix, "token")
-           .where((F.col("comp") < F.col("g_comp")) & (hi >= share * n - 1) & (n >= share * lo - 1))
-           .groupBy("cls", "grp").agg(F.count("*").alias("shared")))
-
-    # A partner of s tokens shares at most `shared` up to any point t that both prefixes reach, and
-    # beyond t no more than what is left of either set; together that must make up the overlap.
-    t = F.least(F.element_at("marks", -1), F.col("g_last"))
-
-    def passed(marks: str):
-        return F.size(F.filter(marks, lambda m: m <= t))
-
-    seen = F.ceil(passed("marks") * (n - F.ceil(share * n) + 1) / MARKS)
-    s_lo, s_hi = F.greatest(lo, share * n), F.least(hi, n / share)
-    half = share / (1 + share)
-    least = F.greatest(half * (n + s_lo) - n + seen,
-                       half * (n + s_hi) - s_hi * (1 - (1 - share) * passed("g_marks") / MARKS)) - 1e-6
-    asked = met.join(groups, "grp").join(known.select("cls", "n", "marks"), "cls")
-    queries = landed(asked.where(F.col("shared") >= least).select("cls", "grp"), "queries")
+    left, right = (matrix.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("grp", "place", "lo", "hi", "comp", "size")))
+                   for side in "ab")
+    lo_a, hi_a, lo_b, hi_b = (F.col(c) for c in ("lo_a", "hi_a", "lo_b", "hi_b"))
+    overlap = (lo_a + lo_b) * (share / (1 + share))
+    more = F.floor(F.greatest(F.lit(0.0), overlap - share * F.greatest(hi_a, hi_b) - 1e-6) * REACH)
+    met = (left.join(right, "token")
+           .where((F.col("comp_a") < F.col("comp_b")) & (hi_b >= share * lo_a - 1e-6) & (hi_a >= share * lo_b - 1e-6)
+                  & (F.col("place_a") <= (hi_a - share * lo_b) / (1 + share) + more + 1e-6)
+                  & (F.col("place_b") <= (hi_b - share * lo_a) / (1 + share) + more + 1e-6))
+           .groupBy("grp_a", "grp_b").agg(F.count("*").alias("shared"), F.first(more).alias("more"),
+                                          F.first(F.col("size_a") <= F.col("size_b")).alias("a_asks"))
+           .where(F.col("shared") > F.col("more")))
+    # the smaller group asks the larger one
+    asking = met.select(F.when(F.col("a_asks"), F.col("grp_a")).otherwise(F.col("grp_b")).alias("asks"),
+                        F.when(F.col("a_asks"), F.col("grp_b")).otherwise(F.col("grp_a")).alias("grp"))
+    queries = landed(asking.join(members.select("cls", F.col("grp").alias("asks")), "asks").select("cls", "grp"), "queries")
     held = landed(members.select("cls", "grp").join(queries.select("grp").distinct(), "grp", "left_semi"), "held")
     wanted = queries.select("cls").unionByName(held.select("cls")).distinct().join(known.select("cls", "row_key"), "cls")
     return _links(queries, held, _sets_of(docs, wanted, size, "sets-1"), percent, n_parts, "links-2")
