@@ -4,7 +4,8 @@ A small network reads the classes of the two words on either side of a position
 the word there; given its class, a word has its corpus frequency. The product of both is a distribution
 over all words, and the sum of its logarithms over every position of a document is the document's score.
 
-Word counts cover the whole corpus. The network is trained in numpy where the documents are: each task
+Word counts cover the whole corpus and are kept whole as a written table. The most frequent words are told
+to every task; a document's other words get their frequency by a join on the word. The network is trained in numpy where the documents are: each task
 starts from the same weights, masks a fixed share of the positions of all its documents in turn, and hands
 back its weights; they are averaged by the number of positions, and the next round starts from the mean.
 """
@@ -17,16 +18,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import words as W
 from shelfline.llm.common import landed
 
-#: most frequent words with a frequency of their own; the others share that of their class
+#: most frequent words, told to every task; the frequencies of the others are joined
 VOCABULARY = 8192
 #: classes: one for each of the most frequent words, some that hold the other known words by frequency,
-#: and some that hold unknown words by length
+#: and some that hold all other words by length
 SINGLE, BY_FREQUENCY, BY_LENGTH = 32, 24, 8
 CLASSES = SINGLE + BY_FREQUENCY + BY_LENGTH
 _LENGTHS = np.array([4, 6, 8, 10, 13, 17, 25])
@@ -47,20 +49,26 @@ class Vocabulary:
     words: np.ndarray  # hashes, sorted
     classes: np.ndarray  # of the known words
     log_known: np.ndarray  # log probability of a known word within its class
-    log_unknown: np.ndarray  # of any one unknown word within its class, by class
+    log_unknown: np.ndarray  # of a word within its class that the corpus does not hold, by class
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Class and log probability within it of every word, and the number of words before each text."""
+        """Class and log probability within it of every word, and the number of words before each text. To that
+        of a word beyond the known ones the logarithm of its count is still to be added (`rare`)."""
+        classes, inside, bounds, _, _ = self.parsed(data, offsets)
+        return classes, inside, bounds
+
+    def parsed(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """As `encode`, with the hash of every word and whether it is known."""
         lower = W.LOWER[data]
         starts, ends, bounds = W.words(lower, offsets, W.WORDY)
         hashes = W.span_hash(W.prefix_sums(lower), starts, ends)
         unknown = length_class(ends - starts)
         if not len(self.words):
-            return unknown, self.log_unknown[unknown], bounds
+            return unknown, self.log_unknown[unknown], bounds, hashes, np.zeros(len(hashes), bool)
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         known = self.words[at] == hashes
         return (np.where(known, self.classes[at], unknown),
-                np.where(known, self.log_known[at], self.log_unknown[unknown]), bounds)
+                np.where(known, self.log_known[at], self.log_unknown[unknown]), bounds, hashes, known)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -89,8 +97,9 @@ def _counted(held: list) -> pa.RecordBatch:
                                       names=["word", "length", "n"])
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> Vocabulary:
-    counts = landed(count_words(docs), "word-counts")
+def vocabulary(docs: DataFrame, size: int = VOCABULARY, counts: DataFrame | None = None) -> Vocabulary:
+    """The `size` most frequent words; `counts` are the written counts of all words, if there are any yet."""
+    counts = landed(count_words(docs), "word-counts") if counts is None else counts
     top = counts.orderBy(F.desc("n"), "word").limit(size).toArrow()
     words, n = top.column("word").to_numpy().view(np.uint64), top.column("n").to_numpy().astype(float)
     classes = np.arange(len(words))
@@ -100,17 +109,17 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> Vocabulary:
         classes[SINGLE:] = SINGLE + np.minimum((mass - n[SINGLE:]) / mass[-1] * BY_FREQUENCY, BY_FREQUENCY - 1).astype(int)
     total = np.bincount(classes, n, CLASSES)
     log_known = np.log(n / total[classes]) if len(words) else n
-    # words without a frequency of their own: as many kinds as the corpus has beyond the vocabulary, and one more
+    # tokens beyond the vocabulary by class, and one more for the words that the corpus does not hold
     bucket = F.lit(SINGLE + BY_FREQUENCY)
     for limit in _LENGTHS.tolist():
         bucket = bucket + F.when(F.col("length") >= limit, 1).otherwise(0)
-    kinds = np.zeros(CLASSES)
-    for r in counts.groupBy(bucket.alias("c")).agg(F.count("*").alias("k")).collect():
-        kinds[r.c] = r.k
+    rest = np.zeros(CLASSES)
+    for r in counts.groupBy(bucket.alias("c")).agg(F.sum("n").alias("n")).collect():
+        rest[r.c] = r.n
     if len(words):
-        kinds -= np.bincount(length_class(top.column("length").to_numpy()), minlength=CLASSES)
+        rest -= np.bincount(length_class(top.column("length").to_numpy()), n, CLASSES)
     order = np.argsort(words)
-    return Vocabulary(words[order], classes[order], log_known[order], -np.log(kinds + 1))
+    return Vocabulary(words[order], classes[order], log_known[order], -np.log(rest + 1))
 
 
 class Network:
@@ -202,13 +211,28 @@ def trained(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network
 
 
 def score_texts(net: Network, words: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words and summed log probability of each text of a slice."""
-    classes, inside, bounds = words.encode(data, offsets)
+    """Words and summed log probability of each text of a slice, without the counts of words beyond the known ones."""
+    n, total, _ = _scored(net, words, data, offsets)
+    return n, total
+
+
+def _scored(net: Network, words: Vocabulary, data: np.ndarray, offsets: np.ndarray):
+    """As `score_texts`, with the words beyond the known ones: text, word and how often it occurs there."""
+    classes, inside, bounds, hashes, known = words.parsed(data, offsets)
     total = np.zeros(len(classes) + 1)
     for i in range(0, len(classes), SCORED):
         at = np.arange(i, min(i + SCORED, len(classes)))
         total[at + 1] = net.log_probability(contexts(classes, bounds, at), classes[at]) + inside[at]
-    return np.diff(bounds), np.diff(np.cumsum(total)[bounds])
+    at = np.flatnonzero(~known)
+    text, word = np.searchsorted(bounds, at, "right") - 1, hashes[at]
+    order = np.lexsort((word, text))
+    text, word = text[order], word[order]
+    first = np.flatnonzero(np.r_[np.ones(min(len(at), 1), bool), (text[1:] != text[:-1]) | (word[1:] != word[:-1])])
+    return np.diff(bounds), np.diff(np.cumsum(total)[bounds]), (text[first], word[first], np.diff(np.r_[first, len(at)]))
+
+
+_ARROW = pa.schema([(c, pa.float64() if c == "score" else pa.int64()) for c in ("uid", "doc_id", "n_words", "score", "word", "times")])
+_SCORES = "uid bigint, doc_id bigint, n_words bigint, score double, word bigint, times bigint"
 
 
 def scores(documents: DataFrame, size: int = VOCABULARY, rounds: int = ROUNDS) -> DataFrame:
@@ -219,17 +243,32 @@ def scores(documents: DataFrame, size: int = VOCABULARY, rounds: int = ROUNDS) -
     end, so scores of two runs agree to about six digits.
     """
     docs = documents.select(F.col("doc_id").cast("bigint"), "text")
-    words = vocabulary(docs, size)
+    counts = landed(count_words(docs), "word-counts")
+    words = vocabulary(docs, size, counts)
     net = trained(docs, words, rounds)
     sent = documents.sparkSession.sparkContext.broadcast((net.weights, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per document (word null), and its words beyond the known ones, once each."""
         weights, known = sent.value
         own = Network(weights)
+        uid = TaskContext.get().partitionId() << 33
         for batch in batches:
             for first, last, data, offsets in W.slices(batch.column("text")):
-                n, total = score_texts(own, known, data, offsets)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first),
-                                                  pa.array(n.astype(np.int64)), pa.array(total)], names=["doc_id", "n_words", "score"])
-    return docs.mapInArrow(run, "doc_id bigint, n_words bigint, score double").withColumn(
-        "mean_score", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")))
+                n, total, (text, word, times) = _scored(own, known, data, offsets)
+                nothing, none = pa.nulls(len(n), pa.int64()), pa.nulls(len(word), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(uid + np.arange(len(n))), batch.column("doc_id").slice(first, last - first), pa.array(n.astype(np.int64)),
+                     pa.array(total), nothing, nothing], schema=_ARROW)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(uid + text), none, none, pa.nulls(len(word), pa.float64()), pa.array(word.view(np.int64)),
+                     pa.array(times.astype(np.int64))], schema=_ARROW)
+                uid += len(n)
+    scored = landed(docs.mapInArrow(run, _SCORES), "scored")
+    # the logarithm of 1 adds nothing, so words that occur once need no partner
+    rest = (scored.where(F.col("word").isNotNull()).select("uid", "word", "times")
+            .join(counts.where("n > 1").select("word", "n"), "word")
+            .groupBy("uid").agg(F.sum(F.col("times") * F.log("n")).alias("rest")))
+    score = F.col("score") + F.coalesce("rest", F.lit(0.0))
+    return scored.where(F.col("word").isNull()).join(rest, "uid", "left").select(
+        "doc_id", "n_words", score.alias("score"), F.when(F.col("n_words") > 0, score / F.col("n_words")).alias("mean_score"))

@@ -375,3 +375,19 @@ def test_pseudo_likelihood(spark):
     assert list(n) == [80, 0, 1] and np.allclose(got, expected, atol=1e-3)
     known = np.bincount(words.classes, np.exp(words.log_known), pseudo.CLASSES)
     assert np.allclose(known[known > 0], 1)
+
+
+def test_every_counted_word_has_its_frequency(spark):
+    often, once = "often1 word22", "never3 twice4"
+    common = [f"c{i}" for i in range(10)]
+    texts = [" ".join(common * 20)] * 3 + [often] * 40 + [once, once.replace("never3", "other5"), "", None]
+    docs = documents(spark, texts)
+    rows = {r.doc_id: r for r in pseudo.scores(docs, size=10, rounds=1).collect()}
+    assert len(rows) == len(texts)
+    # both pairs are of one length class and in the same place: counts 40 and 40 against 1 and 2
+    assert rows[3].score - rows[43].score == pytest.approx(np.log(40 * 40 / (1 * 2)), abs=1e-3)
+    assert rows[43].score == pytest.approx(rows[44].score, abs=1e-3)
+    # all words of a class and one unseen share its probability
+    words = pseudo.vocabulary(docs.select("doc_id", "text"), size=10)
+    _, unseen, _ = words.encode(np.frombuffer(b"absent", np.uint8), np.array([0, 6]))
+    assert np.exp(unseen[0]) * (40 + 40 + 1 + 1 + 2 + 1) == pytest.approx(1)
