@@ -1,17 +1,21 @@
 """Language-model scores by masked pseudo-likelihood.
 
-A small network reads the classes of the two words on either side of a position and predicts the class of
-the word there; given its class, a word has its corpus frequency. The product of both is a distribution
+A small network reads the two words on either side of a position, each with its class, and predicts the
+word there by a hierarchical softmax: first its class, then the way down a Huffman tree of the class, whose
+branches start from the corpus frequencies. The leaves are the words of the vocabulary and, for all others,
+buckets by length and hash; within a bucket a word has its corpus frequency. The product is a distribution
 over all words, and the sum of its logarithms over every position of a document is the document's score.
 
 Word counts cover the whole corpus and are kept whole as a written table. The most frequent words are told
 to every task; a document's other words get their frequency by a join on the word. The network is trained in numpy where the documents are: each task
 starts from the same weights, masks a fixed share of the positions of all its documents in turn, and hands
-back its weights; they are averaged by the number of positions, and the next round starts from the mean.
+back its weights; they are averaged by the number of positions (those of a word or branch by how often the
+task met it), and the next round starts from the mean.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,10 +35,14 @@ VOCABULARY = 8192
 #: and some that hold all other words by length
 SINGLE, BY_FREQUENCY, BY_LENGTH = 32, 24, 8
 CLASSES = SINGLE + BY_FREQUENCY + BY_LENGTH
+#: buckets of the words beyond the vocabulary, by class
+BUCKETS = 256
 _LENGTHS = np.array([4, 6, 8, 10, 13, 17, 25])
 REACH, HIDDEN = 2, 16
 #: share of positions masked in a round, rounds, positions per step, and step size
 MASKED, ROUNDS, BATCH, RATE = 0.15, 2, 512, 0.5
+#: step size of the vectors of words and branches, divided by the root of their squared steps so far
+SPARSE_RATE, _FIRST = 0.1, 0.01
 #: positions scored at a time
 SCORED = 16_384
 _EDGE = CLASSES  # the context class beyond either end of a document
@@ -44,12 +52,53 @@ def length_class(lengths: np.ndarray) -> np.ndarray:
     return SINGLE + BY_FREQUENCY + np.searchsorted(_LENGTHS, lengths, "right")
 
 
+@dataclass
+class Tree:
+    """Binary trees over the entries of each class; a branch leads to one side with a log odds of `bias`
+    where nothing is known of the context."""
+    starts: np.ndarray  # of each entry's way in the two following, and the end
+    nodes: np.ndarray
+    signs: np.ndarray
+    bias: np.ndarray  # by node
+
+    def ways(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes and signs of the ways to the entries, one after the other, and where each starts."""
+        lengths = self.starts[entry + 1] - self.starts[entry]
+        begin = np.cumsum(lengths) - lengths
+        at = np.arange(int(lengths.sum())) + np.repeat(self.starts[entry] - begin, lengths)
+        return self.nodes[at], self.signs[at], np.repeat(np.arange(len(entry)), lengths)
+
+
+def huffman(classes: np.ndarray, mass: np.ndarray) -> Tree:
+    """Frequent entries have short ways; ties are broken by place."""
+    up, side, bias = np.full(2 * len(classes), -1), np.zeros(2 * len(classes), np.float32), []
+    for c in np.unique(classes).tolist():
+        heap = [(m, i) for i, m in zip(np.flatnonzero(classes == c).tolist(), mass[classes == c].tolist())]
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            node = len(classes) + len(bias)
+            up[[i, j]], side[[i, j]] = node, (1, -1)
+            bias.append(math.log(a / b))
+            heapq.heappush(heap, (a + b, node))
+    starts, nodes, signs = [0], [], []
+    for i in range(len(classes)):
+        while up[i] >= 0:
+            nodes.append(up[i] - len(classes))
+            signs.append(side[i])
+            i = up[i]
+        starts.append(len(nodes))
+    return Tree(np.array(starts), np.array(nodes, np.int64), np.array(signs, np.float32), np.array(bias, np.float32))
+
+
 @dataclass
 class Vocabulary:
     words: np.ndarray  # hashes, sorted
     classes: np.ndarray  # of the known words
     log_known: np.ndarray  # log probability of a known word within its class
     log_unknown: np.ndarray  # of a word within its class that the corpus does not hold, by class
+    tree: Tree  # over the known words, then the buckets
+    log_leaf: np.ndarray  # log probability at a leaf of the tree, but for the count of a word in a bucket
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Class and log probability within it of every word, and the number of words before each text. To that
@@ -57,18 +106,23 @@ class Vocabulary:
         classes, inside, bounds, _, _ = self.parsed(data, offsets)
         return classes, inside, bounds
 
+    @property
+    def entries(self) -> int:
+        return len(self.log_leaf)
+
     def parsed(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """As `encode`, with the hash of every word and whether it is known."""
+        """As `encode`, with the hash of every word and its entry; those from `len(self.words)` on are buckets."""
         lower = W.LOWER[data]
         starts, ends, bounds = W.words(lower, offsets, W.WORDY)
         hashes = W.span_hash(W.prefix_sums(lower), starts, ends)
         unknown = length_class(ends - starts)
+        bucket = len(self.words) + (unknown - SINGLE - BY_FREQUENCY) * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
         if not len(self.words):
-            return unknown, self.log_unknown[unknown], bounds, hashes, np.zeros(len(hashes), bool)
+            return unknown, self.log_unknown[unknown], bounds, hashes, bucket
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         known = self.words[at] == hashes
         return (np.where(known, self.classes[at], unknown),
-                np.where(known, self.log_known[at], self.log_unknown[unknown]), bounds, hashes, known)
+                np.where(known, self.log_known[at], self.log_unknown[unknown]), bounds, hashes, np.where(known, at, bucket))
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -113,100 +167,156 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY, counts: DataFrame | None
     bucket = F.lit(SINGLE + BY_FREQUENCY)
     for limit in _LENGTHS.tolist():
         bucket = bucket + F.when(F.col("length") >= limit, 1).otherwise(0)
-    rest = np.zeros(CLASSES)
-    for r in counts.groupBy(bucket.alias("c")).agg(F.sum("n").alias("n")).collect():
-        rest[r.c] = r.n
+    rest = np.zeros((CLASSES, BUCKETS))
+    place = F.pmod(F.col("word"), F.lit(BUCKETS)).cast("int")
+    for r in counts.groupBy(bucket.alias("c"), place.alias("b")).agg(F.sum("n").alias("n")).collect():
+        rest[r.c, r.b] = r.n
     if len(words):
-        rest -= np.bincount(length_class(top.column("length").to_numpy()), n, CLASSES)
+        np.subtract.at(rest, (length_class(top.column("length").to_numpy()), (words % np.uint64(BUCKETS)).astype(np.int64)), n)
     order = np.argsort(words)
-    return Vocabulary(words[order], classes[order], log_known[order], -np.log(rest + 1))
+    beyond = rest[SINGLE + BY_FREQUENCY:].ravel() + 1 / BUCKETS
+    tree = huffman(np.concatenate([classes[order], np.repeat(np.arange(SINGLE + BY_FREQUENCY, CLASSES), BUCKETS)]),
+                   np.concatenate([n[order], beyond]))
+    return Vocabulary(words[order], classes[order], log_known[order], -np.log(rest.sum(axis=1) + 1),
+                      tree, np.concatenate([np.zeros(len(words)), -np.log(beyond)]))
+
+
+def _sigmoid_log(x: np.ndarray) -> np.ndarray:
+    return -np.logaddexp(np.float32(0), -x)
 
 
 class Network:
-    """Sum of embeddings by position, tanh, and a softmax over classes."""
+    """Sum of embeddings by position, tanh, a softmax over classes, and a logistic unit at every branch.
+
+    Without entries it predicts classes only, and a word has its frequency within its class.
+    """
 
-    def __init__(self, weights: np.ndarray | None = None):
+    def __init__(self, weights: np.ndarray | None = None, entries: int = 0, nodes: int = 0):
         sides = 2 * REACH
-        shapes = [(sides, CLASSES + 1, HIDDEN), (HIDDEN, CLASSES), (CLASSES,)]
+        shapes = [(sides, CLASSES + 1, HIDDEN), (HIDDEN, CLASSES), (CLASSES,),
+                  (sides, entries + 1 if entries else 0, HIDDEN), (nodes, HIDDEN)]
         sizes = [math.prod(s) for s in shapes]
         if weights is None:
             rng = np.random.default_rng(7)
-            weights = np.concatenate([rng.normal(0, 0.3, sizes[0]), rng.normal(0, 0.1, sizes[1]), np.zeros(sizes[2])])
+            weights = np.concatenate([rng.normal(0, 0.3, sizes[0]), rng.normal(0, 0.1, sizes[1]), np.zeros(sum(sizes[2:]))])
+        self.entries = entries
         self.weights = weights.astype(np.float32)
         cuts = np.cumsum(sizes)[:-1]
-        self.embed, self.out, self.bias = (x.reshape(s) for x, s in zip(np.split(self.weights, cuts), shapes))
-
-    def hidden(self, context: np.ndarray) -> np.ndarray:
+        self.embed, self.out, self.bias, self.words, self.nodes = (
+            x.reshape(s) for x, s in zip(np.split(self.weights, cuts), shapes))
+        # squared steps, and how often each vector was met
+        self.squares = [np.full(x.shape[:-1], _FIRST, np.float32) for x in (self.words, self.nodes)]
+        self.met = [np.zeros(x.shape[:-1], np.int64) for x in (self.words, self.nodes)]
+
+    def hidden(self, context: np.ndarray, around: np.ndarray | None = None) -> np.ndarray:
+        """From the classes on both sides, and the entries."""
         total = self.embed[0][context[:, 0]]
         for i in range(1, context.shape[1]):
             total = total + self.embed[i][context[:, i]]
+        if around is not None:
+            for i in range(around.shape[1]):
+                total = total + self.words[i][around[:, i]]
         return np.tanh(total)
 
-    def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        z = self.hidden(context) @ self.out + self.bias
+    def log_probability(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+        z = h @ self.out + self.bias
         z -= z.max(axis=1, keepdims=True)
         return z[np.arange(len(target)), target] - np.log(np.exp(z).sum(axis=1))
 
-    def step(self, context: np.ndarray, target: np.ndarray, rate: float = RATE) -> None:
+    def log_within(self, h: np.ndarray, entry: np.ndarray, tree: Tree) -> np.ndarray:
+        """Log probability of entries within their classes."""
+        node, sign, owner = tree.ways(entry)
+        z = np.einsum("ij,ij->i", self.nodes[node], h[owner]) + tree.bias[node]
+        return np.bincount(owner, _sigmoid_log(sign * z), len(entry))
+
+    def step(self, context: np.ndarray, target: np.ndarray, around: np.ndarray, entry: np.ndarray, tree: Tree, rate: float = RATE) -> None:
         n = len(target)
-        h = self.hidden(context)
+        h = self.hidden(context, around)
         z = h @ self.out + self.bias
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(n), target] -= 1
         p /= n
-        back = (p @ self.out.T) * (1 - h * h)
+        back = p @ self.out.T
+        node, sign, owner = tree.ways(entry)
+        if len(node):
+            at, ours = self.nodes[node], h[owner]
+            slope = -sign * np.exp(_sigmoid_log(-sign * (np.einsum("ij,ij->i", at, ours) + tree.bias[node])))
+            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            back[owner[first]] += np.add.reduceat(slope[:, None] * at, first, axis=0) / n
+            self._sparse(self.nodes, self.squares[1], self.met[1], node, slope[:, None] * ours)
+        back *= 1 - h * h
         self.out -= rate * (h.T @ p)
         self.bias -= rate * p.sum(axis=0)
         for i in range(context.shape[1]):
             order = np.argsort(context[:, i], kind="stable")
             own, first = np.unique(context[order, i], return_index=True)
             self.embed[i][own] -= rate * np.add.reduceat(back[order], first, axis=0)
-
-
-def contexts(classes: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Classes on both sides of the given positions, with a mark for what lies outside the document."""
-    padded = np.concatenate([np.full(REACH, _EDGE), classes, np.full(REACH, _EDGE)])
+            self._sparse(self.words[i], self.squares[0][i], self.met[0][i], around[:, i], back * n)
+
+    @staticmethod
+    def _sparse(vectors: np.ndarray, squares: np.ndarray, met: np.ndarray, at: np.ndarray, slope: np.ndarray) -> None:
+        """A step of the vectors at the given places, each with a step size of its own."""
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        own, total = at[first], np.add.reduceat(slope[order], first, axis=0)
+        squares[own] += np.einsum("ij,ij->i", total, total) / total.shape[1]
+        vectors[own] -= SPARSE_RATE * total / np.sqrt(squares[own])[:, None]
+        met[own] += np.diff(np.r_[first, len(at)])
+
+
+def contexts(classes: np.ndarray, bounds: np.ndarray, at: np.ndarray, edge: int = _EDGE) -> np.ndarray:
+    """Classes (or entries) on both sides of the given positions, with a mark for what lies outside the document."""
+    padded = np.concatenate([np.full(REACH, edge), classes, np.full(REACH, edge)])
     text = np.searchsorted(bounds, at, "right") - 1
     lo, hi = bounds[text], bounds[text + 1]
     columns = []
     for shift in (*range(-REACH, 0), *range(1, REACH + 1)):
         there = at + shift
-        columns.append(np.where((there >= lo) & (there < hi), padded[there + REACH], _EDGE))
+        columns.append(np.where((there >= lo) & (there < hi), padded[there + REACH], edge))
     return np.stack(columns, axis=1)
 
 
+_WEIGHTS = [f"w{k}" for k in range(HIDDEN)]
+
+
 def _trainer(words: Vocabulary, start: np.ndarray, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, seen = Network(start.copy()), 0
+        net, seen = Network(start.copy(), words.entries, len(words.tree.bias)), 0
         for batch in batches:
             for _, _, data, offsets in W.slices(batch.column("text")):
-                classes, _, bounds = words.encode(data, offsets)
+                classes, _, bounds, _, entries = words.parsed(data, offsets)
                 # masked positions follow from the place and what stands there, so a lost task repeats itself
                 drawn = W.mix(np.arange(len(classes), dtype=np.uint64) * W.BASE + classes.astype(np.uint64) + np.uint64(turn << 32))
                 at = np.flatnonzero((drawn >> np.uint64(11)).astype(np.float64) / 2 ** 53 < MASKED)
                 at = at[np.argsort(drawn[at], kind="stable")]
-                context = contexts(classes, bounds, at)
+                context, around = contexts(classes, bounds, at), contexts(entries, bounds, at, words.entries)
                 for i in range(0, len(at), BATCH):
-                    net.step(context[i:i + BATCH], classes[at[i:i + BATCH]])
+                    some = slice(i, i + BATCH)
+                    net.step(context[some], classes[at[some]], around[some], entries[at[some]], words.tree)
                 seen += len(at)
         if seen:
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.arange(len(net.weights), dtype=np.int32)), pa.array(net.weights.astype(np.float64) * seen),
-                pa.array(np.full(len(net.weights), float(seen)))], names=["i", "w", "n"])
+            vectors = net.weights.reshape(-1, HIDDEN)
+            met = np.concatenate([net.met[0].ravel(), net.met[1]])
+            met = np.concatenate([np.full(len(vectors) - len(met), seen), met])
+            rows = np.flatnonzero(met)
+            by_met = vectors[rows].astype(np.float64) * met[rows, None]
+            yield pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int32)), pa.array(met[rows].astype(np.float64)),
+                                              *[pa.array(x) for x in by_met.T.copy()]], names=["i", "n", *_WEIGHTS])
     return run
 
 
 def trained(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
-    net = Network()
+    net = Network(None, words.entries, len(words.tree.bias))
     for turn in range(rounds):
-        # one row per weight comes back, whatever the number of tasks
-        mean = (docs.select("text").mapInArrow(_trainer(words, net.weights, turn), "i int, w double, n double")
-                .groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toArrow())
+        # one row per vector comes back, whatever the number of tasks
+        mean = (docs.select("text").mapInArrow(_trainer(words, net.weights, turn), ", ".join(["i int", "n double", *[f"{w} double" for w in _WEIGHTS]]))
+                .groupBy("i").agg(*[(F.sum(w) / F.sum("n")).alias(w) for w in _WEIGHTS]).toArrow())
         if mean.num_rows:
-            weights = np.zeros(len(net.weights))
-            weights[mean.column("i").to_numpy()] = mean.column("w").to_numpy()
-            net = Network(weights)
+            vectors = net.weights.reshape(-1, HIDDEN).copy()
+            vectors[mean.column("i").to_numpy()] = np.stack([mean.column(w).to_numpy() for w in _WEIGHTS], axis=1)
+            net = Network(vectors.ravel(), words.entries, len(words.tree.bias))
     return net
 
 
@@ -218,12 +328,17 @@ def score_texts(net: Network, words: Vocabulary, data: np.ndarray, offsets: np.n
 
 def _scored(net: Network, words: Vocabulary, data: np.ndarray, offsets: np.ndarray):
     """As `score_texts`, with the words beyond the known ones: text, word and how often it occurs there."""
-    classes, inside, bounds, hashes, known = words.parsed(data, offsets)
+    classes, inside, bounds, hashes, entries = words.parsed(data, offsets)
     total = np.zeros(len(classes) + 1)
     for i in range(0, len(classes), SCORED):
         at = np.arange(i, min(i + SCORED, len(classes)))
-        total[at + 1] = net.log_probability(contexts(classes, bounds, at), classes[at]) + inside[at]
-    at = np.flatnonzero(~known)
+        if net.entries:
+            h = net.hidden(contexts(classes, bounds, at), contexts(entries, bounds, at, words.entries))
+            within = net.log_within(h, entries[at], words.tree) + words.log_leaf[entries[at]]
+        else:
+            h, within = net.hidden(contexts(classes, bounds, at)), inside[at]
+        total[at + 1] = net.log_probability(h, classes[at]) + within
+    at = np.flatnonzero(entries >= len(words.words))
     text, word = np.searchsorted(bounds, at, "right") - 1, hashes[at]
     order = np.lexsort((word, text))
     text, word = text[order], word[order]
@@ -251,7 +366,7 @@ def scores(documents: DataFrame, size: int = VOCABULARY, rounds: int = ROUNDS) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row per document (word null), and its words beyond the known ones, once each."""
         weights, known = sent.value
-        own = Network(weights)
+        own = Network(weights, known.entries, len(known.tree.bias))
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
             for first, last, data, offsets in W.slices(batch.column("text")):

@@ -382,7 +382,7 @@ def test_every_counted_word_has_its_frequency(spark):
     common = [f"c{i}" for i in range(10)]
     texts = [" ".join(common * 20)] * 3 + [often] * 40 + [once, once.replace("never3", "other5"), "", None]
     docs = documents(spark, texts)
-    rows = {r.doc_id: r for r in pseudo.scores(docs, size=10, rounds=1).collect()}
+    rows = {r.doc_id: r for r in pseudo.scores(docs, size=10, rounds=0).collect()}  # training would tell the pairs apart by their neighbours
     assert len(rows) == len(texts)
     # both pairs are of one length class and in the same place: counts 40 and 40 against 1 and 2
     assert rows[3].score - rows[43].score == pytest.approx(np.log(40 * 40 / (1 * 2)), abs=1e-3)
@@ -391,3 +391,41 @@ def test_every_counted_word_has_its_frequency(spark):
     words = pseudo.vocabulary(docs.select("doc_id", "text"), size=10)
     _, unseen, _ = words.encode(np.frombuffer(b"absent", np.uint8), np.array([0, 6]))
     assert np.exp(unseen[0]) * (40 + 40 + 1 + 1 + 2 + 1) == pytest.approx(1)
+
+
+def test_words_of_like_frequency_are_told_apart(spark):
+    """With the registered parameters, on words that are no class of their own."""
+    words = [f"v{i}" for i in range(300)]
+    cycles = [" ".join(words[i % 300:] + words[:i % 300]) for i in range(400)]
+    known = pseudo.vocabulary(documents(spark, cycles).select("doc_id", "text"))
+    raw = " ".join(words).encode()
+    classes, _, _ = known.encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert (classes < pseudo.SINGLE).sum() == pseudo.SINGLE and classes.max() < pseudo.SINGLE + pseudo.BY_FREQUENCY
+    other = {}  # each word by the next of its class, so all counts and all classes stay as they are
+    for c in np.unique(classes):
+        own = [w for w, k in zip(words, classes) if k == c]
+        other |= dict(zip(own, own[1:] + own[:1]))
+    wrong = [" ".join(other[w] for w in t.split()) for t in cycles[:5]]
+    # the words that differ stand beside the same others: only every fourth is exchanged
+    mixed = [" ".join(other[w] if i % 4 == 0 else w for i, w in enumerate(t.split())) for t in cycles[:5]]
+    rows = {r.doc_id: r.mean_score for r in pseudo.scores(documents(spark, [*cycles, *wrong, *mixed])).collect()}
+    assert min(rows[i] for i in range(400)) > max(rows[i] for i in range(400, 410)) + 0.1
+
+
+def test_word_probabilities_add_up(spark):
+    texts = phrases(3, 40, 50, 90)
+    docs = documents(spark, texts).select("doc_id", "text")
+    words = pseudo.vocabulary(docs, size=60)
+    net = pseudo.trained(docs, words, rounds=1)
+    h = np.repeat(np.tanh(np.random.default_rng(1).normal(size=(1, pseudo.HIDDEN))).astype(np.float32), words.entries, axis=0)
+    classes = np.concatenate([words.classes, np.repeat(np.arange(pseudo.CLASSES - pseudo.BY_LENGTH, pseudo.CLASSES), pseudo.BUCKETS)])
+    within = np.exp(net.log_within(h, np.arange(words.entries), words.tree))
+    for c in np.unique(classes):
+        assert within[classes == c].sum() == pytest.approx(1, abs=1e-4)
+    assert np.exp(net.log_probability(h[:pseudo.CLASSES], np.arange(pseudo.CLASSES))).sum() == pytest.approx(1, abs=1e-4)
+    raw = [t.encode() for t in texts]
+    _, _, _, hashes, entries = words.parsed(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    counts = {r.word & (2 ** 64 - 1): r.n for r in pseudo.count_words(docs).collect()}
+    for b in np.unique(entries[entries >= 60]):  # the words of a bucket, but for what is left to unseen ones
+        own = sum(counts[w] for w in set(hashes[entries == b].tolist()))
+        assert own * np.exp(words.log_leaf[b]) == pytest.approx(own / (own + 1 / pseudo.BUCKETS))
