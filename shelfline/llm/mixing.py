@@ -2,15 +2,17 @@
 
 A naive Bayes model learned from labelled rows gives every document a probability for each domain. A
 document of t tokens then counts as t times that probability towards a domain, and nonnegative rates are
-fitted so that the expected token totals of the domains meet their targets: projected gradient descent on
-least squares. Steps are summed and the sum is cut off at zero, so the rates stay one short expression over
-the documents however many steps there are, and a step is one aggregation to a few numbers.
+fitted so that the expected token totals of the domains meet their targets, or miss them by the least sum
+of squares: proximal Newton steps on the dual. Steps are summed and the sum is cut off at zero, so the rates
+stay one short expression over the documents however many steps there are, and a step is one aggregation to
+a few numbers.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+import warnings
+from collections.abc import Callable, Mapping
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -20,7 +22,9 @@ from shelfline.llm.common import landed
 
 #: labelled rows the classifier is fitted on at most, and the words it uses
 SAMPLE, WORDS = 4_000, 64
-STEPS, CLOSE = 40, 1e-9
+#: residuals are shares of all target tokens: below CLOSE a target is met, above MISSED a warning tells so;
+#: the ridge falls to RIDGE, and a fit that needs more aggregations than STEPS is an error
+STEPS, CLOSE, MISSED, RIDGE = 1000, 1e-9, 1e-6, 1e-8
 #: wanted share of each domain (quality, toxicity) of the mixture's tokens
 TARGETS: Mapping[str, float] = {"q1t0": 0.92, "q1t1": 0.02, "q0t0": 0.05, "q0t1": 0.01}
 #: tokens of the mixture by tokens of the corpus
@@ -114,14 +118,57 @@ def memberships(docs: DataFrame, model: Classifier, *keep: str) -> DataFrame:
     return found.select(*keep, "tokens", *[p.alias(f"p_{k}") for k, p in enumerate(model.posteriors(F.col("__found")))])
 
 
+class NotFitted(RuntimeError):
+    """The fit did not come to its tolerance."""
+
+
+def _least(measured: Callable, k: int, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of all steps, and the residual there. `measured` gives, at a sum of steps, the value of the
+    dual, the residual (its falling slope) and the Gram matrix (its curvature).
+
+    The dual is convex. Each round finds its least value with a ridge around the result of the round before,
+    by Newton steps shortened until the value does not rise, and the ridge is a tenth of the last. Where the
+    targets can be met the residual vanishes; else it comes to the least one.
+    """
+    taken, ridge, left = np.zeros(k), 1e-2, steps
+    value, residual, gram = measured(taken)
+    while np.abs(residual).max() >= CLOSE:
+        centre = taken
+        while True:
+            slope = ridge * (taken - centre) - residual
+            # rounding of large sums of steps is allowed for
+            if np.abs(slope).max() <= CLOSE / 10 + 1e-14 * np.abs(taken).max():
+                break
+            move = -np.linalg.solve(gram + ridge * np.eye(k), slope)
+            here, size = value + ridge / 2 * ((taken - centre) ** 2).sum(), 1.0
+            while True:
+                if not left:
+                    raise NotFitted(f"rates are not fitted after {steps} steps; residuals {residual.tolist()} of the total")
+                left -= 1
+                at = taken + size * move
+                new_value, new, new_gram = measured(at)
+                along = float((ridge * (at - centre) - new) @ move)
+                # by convexity the value has fallen if it still falls here
+                if along <= 0 or new_value + ridge / 2 * ((at - centre) ** 2).sum() <= here + 1e-4 * size * float(slope @ move):
+                    break
+                if size < 1e-12:
+                    raise NotFitted(f"no step lessens the residuals {residual.tolist()} of the total")
+                size *= min(max(float(slope @ move) / (float(slope @ move) - along), 0.1), 0.5)
+            taken, value, residual, gram = at, new_value, new, new_gram
+        if ridge <= RIDGE:
+            break
+        ridge /= 10
+    return taken, residual
+
+
 def fitted_rates(members: DataFrame, targets: list[float], steps: int = STEPS) -> tuple[Column, list[float]]:
-    """The rate of each row as an expression over p_0, p_1, ..., and the residual by domain.
+    """The rate of each row as an expression over p_0, p_1, ..., and the residual by domain, in tokens.
 
     `targets` are token totals. From equal rates the sum of all steps is subtracted, and what falls below
-    zero is cut off. A step is the gradient of the squared residual, measured by the inverse Gram matrix
-    of the documents whose rate is not cut off; a step that does not lessen the residual is halved. Among
-    all rates that meet the targets these are the closest to equal ones. Targets out of reach leave a
-    residual.
+    zero is cut off. Among all rates that meet the targets these are the closest to equal ones. For targets
+    out of reach the sum of squared residuals, as shares of all target tokens, is the least there is, but
+    for RIDGE / 2 times the mean squared distance of the best rates from equal ones, by tokens.
+    Raises NotFitted if `steps` aggregations do not suffice.
     """
     k = len(targets)
     p = [F.col(f"p_{i}") for i in range(k)]
@@ -134,33 +181,34 @@ def fitted_rates(members: DataFrame, targets: list[float], steps: int = STEPS) -
     def rate(steps_taken: np.ndarray) -> Column:
         return F.greatest(F.lit(0.0), F.lit(start) - sum((F.lit(float(m)) * x for m, x in zip(steps_taken, p)), F.lit(0.0)))
 
-    def measured(steps_taken: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def measured(steps_taken: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         at = members.select("tokens", *p, rate(steps_taken).alias("rate"))
         weight = F.when(F.col("rate") > 0, F.col("tokens")).otherwise(0)
         got = at.agg(*[F.sum(F.col("rate") * F.col("tokens") * x) for x in p],
-                     *[F.sum(weight * p[i] * p[j]) for i, j in pairs]).first()
+                     *[F.sum(weight * p[i] * p[j]) for i, j in pairs],
+                     F.sum(F.col("rate") * F.col("rate") * F.col("tokens"))).first()
         gram = np.zeros((k, k))
-        for (i, j), value in zip(pairs, got[k:]):
+        for (i, j), value in zip(pairs, got[k:-1]):
             gram[i, j] = gram[j, i] = (value or 0.0) / scale
-        return (np.array(got[:k], float) - goal) / scale, gram
+        value = (got[-1] or 0.0) / 2 / scale + float(steps_taken @ goal) / scale
+        return value, (np.array(got[:k], float) - goal) / scale, gram
 
-    taken = np.zeros(k)
     if not total:
-        return rate(taken), [0.0] * k
-    residual, gram = measured(taken)
-    move = np.linalg.pinv(gram, rcond=1e-12, hermitian=True) @ residual
-    for _ in range(steps):
-        if np.abs(residual).max() < CLOSE:
-            break
-        new, new_gram = measured(taken + move)
-        if np.abs(new).sum() < np.abs(residual).sum():
-            taken, residual = taken + move, new
-            move = np.linalg.pinv(new_gram, rcond=1e-12, hermitian=True) @ residual
-        else:
-            move = move / 2
+        return rate(np.zeros(k)), [0.0] * k
+    taken, residual = _least(measured, k, steps)
     return rate(taken), [float(x) * scale for x in residual]
 
 
+def _rates(members: DataFrame, targets: Mapping[str, float], size: float) -> Column:
+    """The fitted rate; a warning names the domains whose targets are out of reach."""
+    goal = _goal(members, targets, size)
+    rate, residual = fitted_rates(members, goal)
+    missed = [f"{d} by {x:+.6g} of {g:.6g} tokens" for d, x, g in zip(sorted(targets), residual, goal) if abs(x) > MISSED * max(sum(goal), 1.0)]
+    if missed:
+        warnings.warn(f"targets out of reach, missed least: {', '.join(missed)}", stacklevel=3)
+    return rate
+
+
 def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, size: float = SIZE) -> DataFrame:
     """doc_id, source, tokens, a probability p_<domain> per domain and the `rate` of every row of `docs`.
 
@@ -171,8 +219,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TAR
     domains = sorted(targets)
     model = learned(docs, labels, domains)
     rows = landed(memberships(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")), model, "doc_id", "source"), "members")
-    goal = _goal(rows, targets, size)
-    rate, _ = fitted_rates(rows, goal)
+    rate = _rates(rows, targets, size)
     return rows.select("doc_id", "source", "tokens", *[F.col(f"p_{i}").alias(f"p_{d}") for i, d in enumerate(domains)],
                        rate.alias("rate"))
 
@@ -190,5 +237,5 @@ def with_rates(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float]
     # probabilities only, from one pass; the rows themselves are not written again
     members = memberships(docs.select("text", F.struct(*docs.columns).alias("__row")), model, "__row")
     slim = landed(members.drop("__row"), "members")
-    rate, _ = fitted_rates(slim, _goal(slim, targets, size))
+    rate = _rates(slim, targets, size)
     return members.select("__row.*", rate.alias("mix_rate"))

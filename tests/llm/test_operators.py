@@ -429,3 +429,37 @@ def test_word_probabilities_add_up(spark):
     for b in np.unique(entries[entries >= 60]):  # the words of a bucket, but for what is left to unseen ones
         own = sum(counts[w] for w in set(hashes[entries == b].tolist()))
         assert own * np.exp(words.log_leaf[b]) == pytest.approx(own / (own + 1 / pseudo.BUCKETS))
+
+
+def least_squares(a, goal):
+    """The least sum of squared misses over nonnegative rates: as few columns as domains suffice."""
+    best = float((goal ** 2).sum())
+    for n in range(1, len(goal) + 1):
+        for some in itertools.combinations(range(a.shape[1]), n):
+            x = np.linalg.lstsq(a[:, some], goal, rcond=None)[0]
+            if (x >= 0).all():
+                best = min(best, float(((a[:, some] @ x - goal) ** 2).sum()))
+    return best
+
+
+@pytest.mark.parametrize("targets", [(0.15, 0.05, 0.8), (0.002, 0.05, 0.948), (0.9, 0.05, 0.05), (0.02, 0.95, 0.03)])
+def test_rates_of_scarce_and_unreachable_domains(spark, targets):
+    rng = np.random.default_rng(6)
+    share = np.array([0.004, 0.05, 0.946])
+    z = rng.normal(size=(26, 3)) + np.log(share)
+    z[np.arange(26), [0, 1, 1, *[2] * 23]] += 2
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    tokens = rng.integers(5, 500, 26)
+    members = spark.createDataFrame([(int(t), *map(float, x)) for t, x in zip(tokens, p)], "tokens bigint, p_0 double, p_1 double, p_2 double")
+    goal = 0.8 * tokens.sum() * np.array(targets)
+    rate, residual = mixing.fitted_rates(members, goal.tolist())
+    rows = members.select("tokens", "p_0", "p_1", "p_2", rate.alias("rate")).collect()
+    missed = sum(r.rate * r.tokens * np.array([r.p_0, r.p_1, r.p_2]) for r in rows) - goal
+    assert min(r.rate for r in rows) >= 0 and np.allclose(missed, residual, atol=1e-6 * goal.sum())
+    best = least_squares(p.T * tokens / goal.sum(), goal / goal.sum())
+    assert ((missed / goal.sum()) ** 2).sum() == pytest.approx(best, rel=1e-3, abs=1e-9)
+    if best > 1e-6:
+        with pytest.warns(UserWarning, match="out of reach"):
+            mixing._rates(members, dict(zip("abc", targets)), 0.8)
+        with pytest.raises(mixing.NotFitted):
+            mixing.fitted_rates(members, goal.tolist(), steps=2)
