@@ -191,6 +191,12 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE, percent: int = P
     documents of their own; rows without id take part and take their component's smallest id (null if
     it has none). An empty table gives an empty result.
     """
+    return _placed(documents, size, percent).select("doc_id", "n_shingles", "component_id", "cls")
+
+
+def _placed(documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """As `linked_documents`, with row_key (hash of id and text) and kept_key, that of the row that stands for
+    the component: the smallest id, then the smallest key, rows without id last. Null without shingles."""
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("bigint"), F.xxhash64("doc_id", "text").alias("row_key"), "text")
     n_parts = partitions(spark)
@@ -198,7 +204,7 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE, percent: int = P
         _measure(size), "doc_id bigint, row_key bigint, cls bigint, n bigint, token bigint"), "measured")
     rows = measured.where(F.col("token").isNull()).drop("token")
     classes = rows.where(F.col("cls").isNotNull()).groupBy("cls").agg(
-        F.min("doc_id").alias("first_id"), F.min("row_key").alias("row_key"), F.first("n").alias("n"))
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("head"), F.min("row_key").alias("row_key"), F.first("n").alias("n"))
 
     common = spark.sparkContext.broadcast(_common_shingles(measured))
     meeting = landed(recurring(docs.select("text"), _prefixes(size, percent, common)).select(
@@ -217,11 +223,12 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE, percent: int = P
     # the later links only join components already found, which stand for their classes
     merged = _roots(_between(more, known)).select(F.col("cls").alias("comp"), F.col("comp").alias("whole"))
     comp = known.select("cls", "comp").join(merged, "comp", "left").select("cls", F.coalesce("whole", "comp").alias("comp"))
-    placed = classes.select("cls", "first_id").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    least = placed.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    by_class = placed.join(least, "comp").select("cls", "component_id")
+    placed = classes.select("cls", "head").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    least = placed.groupBy("comp").agg(F.min("head").alias("least"))
+    by_class = placed.join(least, "comp").select("cls", F.col("least.doc_id").alias("component_id"), F.col("least.row_key").alias("kept_key"))
     return rows.join(by_class, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "cls")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "cls",
+        "row_key", "kept_key")
 
 
 def _to_typical(docs: DataFrame, near: DataFrame, size: int, percent: int, n_parts: int) -> DataFrame:
@@ -314,9 +321,17 @@ def _across(docs: DataFrame, meeting: DataFrame, known: DataFrame, size: int, pe
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Of every component the rows of its smallest doc_id stay, with all columns; rows without shingles
-    or id stay too. Rows that repeat the surviving id are told apart by text: the smallest hash stays once."""
-    found = linked_documents(docs, size, percent).select("doc_id", "component_id", "n_shingles")
-    gone = found.where((F.col("doc_id") != F.col("component_id")) & (F.col("n_shingles") > 0)).select(
-        F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """Of every component exactly one row stays, with all columns: that of the smallest id, of rows that
+    repeat it the one whose id and text have the smallest hash, and of rows equal in both the one whose
+    columns come first. A row without id stays only if no row of its component has one. Rows without
+    shingles stay, all of them."""
+    found = landed(_placed(docs, size, percent).where(F.col("kept_key").isNotNull()).select("row_key", "kept_key"), "kept")
+    gone = found.where("row_key <> kept_key").select(F.col("row_key").alias("__key")).distinct()
+    again = landed(found.where("row_key = kept_key").groupBy(F.col("row_key").alias("__key")).agg(F.count("*").alias("n"))
+                   .where("n > 1").select("__key"), "again")
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    if again.isEmpty():
+        return keyed.join(gone, "__key", "left_anti").select(docs.columns)
+    single = keyed.join(gone.unionByName(again), "__key", "left_anti").select(docs.columns)
+    copies = sieved(keyed, again, "__key").join(again.hint("shuffle_hash"), "__key", "left_semi")
+    return single.unionByName(copies.groupBy("__key").agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*"))

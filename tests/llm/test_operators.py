@@ -463,3 +463,21 @@ def test_rates_of_scarce_and_unreachable_domains(spark, targets):
             mixing._rates(members, dict(zip("abc", targets)), 0.8)
         with pytest.raises(mixing.NotFitted):
             mixing.fitted_rates(members, goal.tolist(), steps=2)
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b, c, d, e = phrases(11, 5, 60)
+    near = lambda text, i: edited(text, i, 1)
+    rows = [(1, a), (9, near(a, 1)), (9, b),  # 9 stands on a near copy and on a text of its own
+            (2, c), (2, c), (2, near(c, 2)), (None, near(c, 3)), (5, near(c, 4)),  # repeated rows and copies without id
+            (None, d), (None, d), (None, near(d, 5)),  # no id at all
+            (7, e), (7, e), (8, None), (8, None), (None, ""), (4, "")]  # without shingles nothing is a copy
+    docs = spark.createDataFrame([(i, t, "en", f"src{k}", len(t or "")) for k, (i, t) in enumerate(rows)], DOCS)
+    group = [0, 0, 1, 2, 2, 2, 2, 2, 3, 3, 3, 4, 4]
+    got = [(r.doc_id, r.text, r.source) for r in jaccard.one_of_each(docs).collect()]
+    kept = sorted(int(s[3:]) for _, _, s in got)
+    assert all((i, t) == rows[int(s[3:])] for i, t, s in got)
+    assert [group[k] for k in kept if k < 13] == [0, 1, 2, 3, 4] and kept[-4:] == [13, 14, 15, 16]
+    assert kept[:2] == [0, 2] and kept[2] in (3, 5) and kept[4] == 11
+    assert [(r.doc_id, r.text, r.source) for r in jaccard.one_of_each(docs.orderBy(F.desc("source"))).orderBy("source").collect()] == sorted(got, key=lambda r: r[2])
+
