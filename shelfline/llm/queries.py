@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfline.llm import decontaminate, jaccard, mixing, pseudo, quality, secrets, suffixes, toxicity, vectors, warc
+from shelfline.llm import (
+    chat, decontaminate, jaccard, mixing, pseudo, quality, ranked, repair, secrets, suffixes, toxicity, vectors, warc)
 from shelfline.llm.common import table
 from shelfline.llm.sql import SQL  # noqa: F401
 
@@ -53,8 +54,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(chat.formatted(chat.with_probe(table(spark, sf_dir, "conversations"))))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audits(repair.damaged(table(spark, sf_dir, "conversations")), gone="gone")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pseudo_likelihood, op2_secret_scan, op3_quality, op4_embedding_neardup, op5_ngram_jaccard,
-        op6_warc_derivatives, op7_toxicity, op8_mixing, op9_suffix_dedup, op10_decontamination)
+        op6_warc_derivatives, op7_toxicity, op8_mixing, op9_suffix_dedup, op10_decontamination,
+        op11_chat_format, op12_ranked_search, op13_conversation_repair)
 } | {"pipeline": corpus_pipeline.run}
