@@ -8,7 +8,7 @@ import os
 
 import duckdb
 
-KINDS = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
