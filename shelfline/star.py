@@ -82,10 +82,11 @@ class Star:
     def stock_day(self) -> dt.date | None:
         return last_date(self.inventory)
 
-    def lines(self, *attributes: str) -> DataFrame:
-        """Sales lines with product attributes. Those stored on the line cost nothing; the rest come
-        from one join, broadcast or shuffled as the measured size of the product table decides."""
-        sales = self.sales
+    def lines(self, *attributes: str, whole: bool = False) -> DataFrame:
+        """Sales lines with product attributes, up to the report day or of the `whole` table. Attributes
+        stored on the line cost nothing; the rest come from one join, broadcast or shuffled as the measured
+        size of the product table decides."""
+        sales = self["fact_sales"] if whole else self.sales
         missing = [a for a in attributes if a not in sales.columns]
         if not missing:
             return sales
