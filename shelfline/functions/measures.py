@@ -68,6 +68,19 @@ _AGGREGATES = {
 }
 
 
+_MONTHLY = {
+    **{n: (lambda n=n: F.sum(n)) for n in ("net_qty", "gross_qty", "return_qty", "lost_sales_qty", "promo_orders", "lines")},
+    "gross_revenue": lambda: money(F.sum("gross_cents")),
+    "return_amount": lambda: money(F.sum("return_cents")),
+    "net_revenue": lambda: money(F.sum("net_cents")),
+    "total_cost": lambda: money(F.sum("cost_cents")),
+    "gross_profit": lambda: money(F.sum("profit_cents")),
+    "promo_revenue": lambda: money(F.sum("promo_cents")),
+    "lost_revenue": lambda: money(F.sum("lost_cents")),
+    "products": lambda: F.count_distinct("product_id"),
+}
+
+
 def measures(*names: str, **renamed: str) -> list[Column]:
     """Aggregate columns: positional names keep their own name, keywords give `alias=measure`."""
     plain = [_AGGREGATES[n]().alias(n) for n in names]
@@ -82,19 +95,16 @@ def average_order(revenue: str = "net_revenue", orders: str = "orders") -> Colum
     return ratio_or_zero(F.col(revenue), exact(F.col(orders)), 2)
 
 
-def totals_and_orders(lines: DataFrame, keys: Sequence[str], totals: Sequence[Column], orders: str = "orders") -> DataFrame:
-    """Additive totals and distinct orders per group, over a long history.
+def monthly(*names: str, **renamed: str) -> list[Column]:
+    """The same aggregates over stored product months (see operators.monthly)."""
+    plain = [_MONTHLY[n]().alias(n) for n in names]
+    return plain + [_MONTHLY[m]().alias(alias) for alias, m in renamed.items()]
+
 
-    In one aggregation the distinct count makes every total travel once per group and order, which is
-    about once per line. Apart, the totals combine to one row per group and task before the shuffle,
-    and only the keys and order numbers travel in bulk. The groups are then put together by key.
-    """
-    summed = lines.groupBy(*keys).agg(*totals)
-    pairs = lines.where(F.col("order_id").isNotNull()).select(*keys, "order_id").distinct()
-    counted = pairs.groupBy(*keys).agg(F.count("*").alias(orders)).select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], orders)
+def beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Two aggregates of the same groups put together by key; a NULL key is a key like any other."""
+    other = right.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
-    joined = summed.join(counted, same, "left").drop(*[f"_key{i}" for i in range(len(keys))])
-    return joined.withColumn(orders, F.coalesce(orders, F.lit(0).cast("bigint")))
+    return left.join(other, same, "left").drop(*[f"_key{i}" for i in range(len(keys))])

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import in_days
-from shelfline.functions.measures import average_order, cents, exact, margin, measures, money, ratio
+from shelfline.functions.measures import beside, cents, exact, measures, money, monthly, ratio
+from shelfline.operators.monthly import distinct_orders, order_words
 from shelfline.plans.plan_fact import mart_plan_fact_history
 from shelfline.plans.sales import (
     mart_abc, mart_margin_by_publisher, mart_sales_trends, mart_subscriptions_monthly,
@@ -64,16 +65,18 @@ def top_products_abc(star: Star, n: int = 20) -> DataFrame:
 
 def promo_effectiveness(star: Star, first: dt.date) -> DataFrame:
     """Orders, revenue and average order with and without promotion."""
-    sums = in_days(star.sales, first, None).groupBy("is_promo").agg(*measures("orders", "net_revenue"))
+    lines = in_days(star.sales, first, None)
+    sums = lines.groupBy("is_promo").agg(*measures("net_revenue"))
+    orders = distinct_orders(order_words(lines, ["is_promo"]), ["is_promo"])
+    sums = beside(sums, orders, ["is_promo"]).withColumn("orders", F.coalesce("orders", F.lit(0).cast("bigint")))
     return sums.withColumn("avg_order", ratio(F.col("net_revenue"), exact(F.col("orders")), 2))
 
 
 def lost_sales_top(star: Star, n: int = 10) -> DataFrame:
     """Titles with the highest estimated loss from shortages."""
-    lines = star.lines("title", "format").where(F.col("format").isin(PHYSICAL_FORMATS))
-    lost = F.col("lost_sales_qty").cast("bigint") * cents("unit_price")
-    return lines.groupBy("title", "format").agg(
-        *measures(total_lost_qty="lost_sales_qty"), money(F.sum(lost)).alias("lost_revenue_est"),
+    rows = star.months().where(F.col("format").isin(PHYSICAL_FORMATS))
+    return rows.groupBy("title", "format").agg(
+        *monthly(total_lost_qty="lost_sales_qty", lost_revenue_est="lost_revenue"),
     ).orderBy(F.desc_nulls_last("lost_revenue_est"), "title", "format").limit(n)
 
 
@@ -150,4 +153,7 @@ def subscription_churn(star: Star) -> DataFrame:
 
 def basket_size(star: Star) -> DataFrame:
     """Lines per order over the whole period."""
-    return star.sales.agg(*measures("orders", "basket_size"), F.count("*").alias("lines"))
+    orders = distinct_orders(star.order_months(), [])
+    sums = star.months().agg(F.coalesce(F.sum("lines"), F.lit(0).cast("bigint")).alias("lines"))
+    return sums.select(F.coalesce(orders.scalar(), F.lit(0).cast("bigint")).alias("orders"), "lines").select(
+        "orders", ratio(exact(F.col("lines")), exact(F.col("orders")), 4).alias("basket_size"), "lines")

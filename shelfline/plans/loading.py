@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,18 +65,21 @@ def historical_load(spark: SparkSession, store: Store, sources: dict[str, str],
                   _refreshed(store, marts))
 
 
-def _refreshed(store: Store, folder: str | None) -> DataFrame | None:
-    return refresh_all_marts(store.star(), folder) if folder else None
+def _refreshed(store: Store, folder: str | None, months: list[dt.date] | None = None) -> DataFrame | None:
+    return refresh_all_marts(store.star(), folder, months=months) if folder else None
 
 
 def daily_update(spark: SparkSession, store: Store, batches: dict[str, DataFrame], work: str,
                  start: dt.date = PROJECT_START, as_of: dt.date | None = None,
-                 days_from: dt.date | None = None, marts: str | None = None) -> Loaded:
-    """Validates raw batches of the facts and appends what is new. Repeating it changes nothing.
+                 days_from: dt.date | None = None, marts: str | None = None, batch: str | None = None) -> Loaded:
+    """Validates raw batches of the facts and appends what is new, all facts in one commit. Repeating it
+    changes nothing; a batch that is named is known again by its name.
 
-    With a `marts` folder, all marts are rebuilt afterwards, whether or not anything was new. `days_from` limits the search for days without sales; without it a one-day batch is measured
-    against the whole calendar.
+    With a `marts` folder the marts are brought up to date afterwards: monthly ones in the months the batch
+    touched, the others whole. `days_from` limits the search for days without sales; without it a one-day
+    batch is measured against the whole calendar.
     """
+    batch = batch or uuid.uuid4().hex
     product = store.load_dim_product()
     done = {}
     for name in FACTS:
@@ -89,7 +93,7 @@ def daily_update(spark: SparkSession, store: Store, batches: dict[str, DataFrame
                 batches[name], product, start, as_of, stage=staged(f"{work}/stage/{name}"))
         done[name] = settle(checked, f"{work}/checked/{name}")
     existing = {name: store.existing_on_dates(c.clean, name) for name, c in done.items()}
-    inserted = {name: store.insert_rows(c.placed, name) for name, c in done.items()}
+    inserted = store.insert({name: c.placed for name, c in done.items()}, batch)
     checked = list(done.values())
     return Loaded(validators.quality_summary(checked), validators.quality_details(checked), inserted, existing,
-                  _refreshed(store, marts))
+                  _refreshed(store, marts, store.touched(batch) or []))

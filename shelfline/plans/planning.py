@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import first_date
-from shelfline.functions.measures import measures
-from shelfline.schemas import (BOOK_FORMATS, BOOK_GENRES, COST_PERCENT, DIM_DATE, FACT_PLAN, HOLIDAYS)
+from shelfline.functions.measures import monthly
+from shelfline.schemas import BOOK_FORMATS, BOOK_GENRES, COST_PERCENT, DIM_DATE, FACT_PLAN, HOLIDAYS, PARTITION
 from shelfline.star import Star
 
 
@@ -43,11 +43,11 @@ def month_grid(spark: SparkSession, first: dt.date, last: dt.date,
 
 def monthly_actuals(star: Star, formats=BOOK_FORMATS) -> DataFrame:
     """Net quantity and revenue by year, month, genre and format."""
-    lines = star.lines("genre", "format")
+    month = F.col(PARTITION)
     return (
-        lines.where(F.col("format").isin(formats))
-        .groupBy(F.year("date").alias("year"), F.month("date").alias("month"), "genre", "format")
-        .agg(*measures(fact_qty="net_qty", fact_amount="net_revenue"))
+        star.months().where(F.col("format").isin(formats))
+        .groupBy(F.year(month).alias("year"), F.month(month).alias("month"), "genre", "format")
+        .agg(*monthly(fact_qty="net_qty", fact_amount="net_revenue"))
     )
 
 

@@ -7,11 +7,12 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfline.operators.monthly import order_words, product_months
 from shelfline.schemas import FACTS
 from shelfline.session import shared_dir
 from shelfline.sources import driver_extracts
 from shelfline.sources.driver_star import DriverTables, read
-from shelfline.sources.store import write_fact
+from shelfline.sources.store import write_fact, write_months
 from shelfline.star import Star
 
 _stars: dict[tuple[str, str], Star] = {}
@@ -51,6 +52,16 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
         "stock_ledger": lambda: derived.ledger(star.sales),
         "fact_inventory": written("fact_inventory", lambda: derived.inventory(star.sales)),
     }
+    def maintained(name: str, build) -> callable:
+        """Aggregates of the written lines, kept by month like the facts."""
+        def table() -> DataFrame:
+            write_months(build(star["fact_sales"]), f"{root}/{name}")
+            return spark.read.parquet(f"{root}/{name}")
+        return table
+
+    star._tables |= {"sales_months": maintained("sales_months", product_months),
+                     "order_months": maintained("order_months", order_words)}
+
     def extract(name: str, build) -> callable:
         """A raw extract, landed once: row positions are then stored values, the same in every pass."""
         def table() -> DataFrame:

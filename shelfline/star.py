@@ -7,8 +7,11 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfline.functions.dates import in_days, last_date
+from shelfline.operators.monthly import in_months, order_words, product_months, with_month
+from shelfline.schemas import LINE_ATTRIBUTES, PARTITION
 from shelfline.sources.files import written
 
 Table = DataFrame | Callable[[], DataFrame]
@@ -64,6 +67,26 @@ class Star:
         """Sales up to the report day asked for; every mart reads them here."""
         return in_days(self["fact_sales"], None, self._as_of)
 
+    def months(self, only: list[dt.date] | None = None) -> DataFrame:
+        """Sales by product and month (see operators.monthly), up to the report day asked for: the stored
+        months where there are any, with the month of that day summed from its lines."""
+        return self._maintained("sales_months", product_months, only)
+
+    def order_months(self, only: list[dt.date] | None = None) -> DataFrame:
+        """Order numbers by product and month, as bits."""
+        return self._maintained("order_months", lambda lines: order_words(with_month(lines)), only)
+
+    def _maintained(self, name: str, build: Callable[[DataFrame], DataFrame], only: list[dt.date] | None) -> DataFrame:
+        if name not in self._tables:
+            rows = build(self.lines(*LINE_ATTRIBUTES))
+        elif self._as_of is None:
+            rows = self[name]
+        else:
+            month = self._as_of.replace(day=1)
+            rows = self[name].where(F.col(PARTITION) < F.lit(month)).unionByName(
+                build(in_days(self.lines(*LINE_ATTRIBUTES), month, self._as_of)).select(self[name].columns))
+        return rows if only is None else in_months(rows, only)
+
     @property
     def inventory(self) -> DataFrame:
         return in_days(self["fact_inventory"], None, self._as_of)
