@@ -4,7 +4,8 @@ The index is dealt over shards of documents. In a shard every term of the querie
 each list is clustered by how alike its documents are: the documents of a block are those nearest to one of
 the list's pivots. A block stores the largest impact of every term over its documents, coordinate by
 coordinate, so that query times summary bounds the score of each of them. A block is opened only if that
-bound reaches the score a document needs, and the documents of open blocks are scored exactly.
+bound reaches the score a document needs, and the documents of open blocks are scored exactly. Lists of a few
+documents are blocks of one, whose summary is the document itself and is not stored again.
 
 Terms are ordered from heaviest to lightest. A document is looked for in the list of the heaviest query term
 it holds, so the bound of a block counts that term and lighter ones only: what a heavier term would add is
@@ -26,11 +27,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm import words as W
-from shelfline.llm.common import landed
+from shelfline.llm.common import landed, new_path
 
 K = 20
 #: documents of a block, and of a shard at most; a shard's table of impacts has at most this many cells
-BLOCK, SHARD, CELLS = 64, 4096, 1 << 24
+BLOCK, SHARD, CELLS = 64, 2048, 1 << 23
+#: shorter lists are blocks of one document
+FEW = 8
+#: shards of one file of the index: some ten megabytes
+SHARDS_PER_FILE = 8
 #: distinct terms of the queries that are searched for at a time; a single longer query is searched alone
 TERMS_AT_ONCE = 1 << 16
 #: directions in which documents of a list are compared
@@ -103,6 +108,13 @@ class Shard:
         terms, list_blocks, block_docs, docs, block_columns, columns, values = [], [], [], [], [], [], []
         for term in np.flatnonzero(holding.any(axis=0)):
             own = np.flatnonzero(holding[:, term])
+            if len(own) < FEW:
+                terms.append(term)
+                list_blocks.append(len(own))
+                block_docs.append(np.ones(len(own), np.int64))
+                docs.append(own)
+                block_columns.append(np.zeros(len(own), np.int64))
+                continue
             starts = np.zeros(1, np.int64)
             if len(own) > block:
                 pivots = own[np.arange(0, len(own), block)]
@@ -194,7 +206,7 @@ def _scored(row: dict[str, np.ndarray], nameless: np.ndarray, asked: np.ndarray,
     """Searches one shard for all queries; returns how many documents of open blocks were scored."""
     width = asked.shape[1]
     bounds = row["bounds"]
-    table = np.zeros((len(bounds) - 1, width), np.int64)
+    table = np.zeros((len(bounds) - 1, width), np.float32)
     table[np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)), row["columns"]] = row["impacts"]
     block_at = np.concatenate([[0], np.cumsum(row["list_blocks"])])
     doc_at = np.concatenate([[0], np.cumsum(row["block_docs"])])
@@ -206,9 +218,12 @@ def _scored(row: dict[str, np.ndarray], nameless: np.ndarray, asked: np.ndarray,
             continue
         first, last = block_at[at], block_at[at + 1]
         inside = slice(column_at[first], column_at[last])
-        summary = np.zeros((last - first, width - term))
-        summary[np.repeat(np.arange(last - first), row["block_columns"][first:last]),
-                row["summary_columns"][inside] - term] = row["summary"][inside]
+        if inside.start == inside.stop:
+            summary = table[row["docs"][doc_at[first]:doc_at[last]], term:].astype(np.float64)
+        else:
+            summary = np.zeros((last - first, width - term))
+            summary[np.repeat(np.arange(last - first), row["block_columns"][first:last]),
+                    row["summary_columns"][inside] - term] = row["summary"][inside]
         # in doubles, so with room for their rounding
         bound = summary @ asked[holders, term:].T * (1 + 1e-9)
         block, query = np.nonzero((bound >= np.maximum(best.least[holders], 1)))
@@ -217,7 +232,7 @@ def _scored(row: dict[str, np.ndarray], nameless: np.ndarray, asked: np.ndarray,
         wanted[np.repeat(holders[query], many), row["docs"][np.repeat(doc_at[first + block], many) + step]] = True
     for query in np.flatnonzero(wanted.any(axis=1)):
         docs, columns = np.flatnonzero(wanted[query]), np.flatnonzero(asked[query])
-        scores = table[np.ix_(docs, columns)] @ asked[query, columns].astype(np.int64)
+        scores = table[np.ix_(docs, columns)].astype(np.int64) @ asked[query, columns].astype(np.int64)
         best.add(query, scores, row["ids"][docs], nameless[docs])
     return int(wanted.sum())
 
@@ -301,7 +316,10 @@ def _part(documents: DataFrame, query: np.ndarray, term: np.ndarray, times: np.n
     asked = np.zeros((len(names), len(heavy)))
     inside = column >= 0
     asked[row[inside], column[inside]] = times[inside] * weights[heavy][column[inside]]
-    shards = landed(index(counted, place, weights[heavy], total.n, total.l, block), f"index-{part}")
+    built = index(counted, place, weights[heavy], total.n, total.l, block)
+    path = new_path(counted.sparkSession, f"index-{part}")
+    built.write.option("maxRecordsPerFile", SHARDS_PER_FILE).parquet(path)
+    shards = counted.sparkSession.read.schema(built.schema).parquet(path)
     least = np.zeros(len(names), np.int64)
     first = F.pmod("shard", F.lit(seed)) == 0
     begun = landed(search(shards.where(first), asked, names, least, k), f"seed-{part}")

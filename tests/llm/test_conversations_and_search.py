@@ -115,7 +115,7 @@ def key(rows):
     return sorted(rows, key=lambda r: tuple((x is not None, x or 0) for x in r))
 
 
-@pytest.mark.parametrize("block, at_once, seed", [(4, 1 << 16, 16), (2, 20, 1), (64, 1 << 16, 2)])
+@pytest.mark.parametrize("block, at_once, seed", [(4, 1 << 16, 16), (2, 130, 1)])
 def test_ranked(spark, block, at_once, seed):
     rng = random.Random(block)
     words = [f"w{i}" for i in range(60)] + ["Émile", "ÉMILE", "a_b", "日本"]
@@ -141,7 +141,7 @@ def test_blocks_are_skipped_and_bounds_hold(spark):
     import numpy as np
     rng = np.random.default_rng(1)
     width, n = 40, 200
-    table = np.where(rng.random((n, width)) < 0.2, rng.integers(1, 10 ** 6, (n, width)), 0)
+    table = np.where(rng.random((n, width)) < np.linspace(0.005, 0.3, width), rng.integers(1, 10 ** 6, (n, width)), 0)
     row, column = np.nonzero(table)
     bounds = np.searchsorted(row, np.arange(n + 1))
     weights = np.sort(rng.integers(1, 9000, width))[::-1]
@@ -154,6 +154,9 @@ def test_blocks_are_skipped_and_bounds_hold(spark):
             inside = slice(at_column, at_column + made["block_columns"][block])
             summary = np.zeros(width)
             summary[made["summary_columns"][inside]] = made["summary"][inside]
+            if inside.start == inside.stop:
+                assert len(docs) == 1 and (table[:, term] > 0).sum() < ranked.FEW
+                summary = table[docs[0]]
             assert (summary[term:] == table[docs, term:].max(axis=0)).all() and len(docs) <= 8
             at_doc, at_column, block, seen = at_doc + len(docs), inside.stop, block + 1, [*seen, *docs]
         assert sorted(seen) == np.flatnonzero(table[:, term]).tolist()
