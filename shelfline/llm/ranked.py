@@ -33,7 +33,7 @@ K = 20
 #: documents of a block, and of a shard at most; a shard's table of impacts has at most this many cells
 BLOCK, SHARD, CELLS = 64, 2048, 1 << 23
 #: shorter lists are blocks of one document
-FEW = 8
+FEW = 32
 #: shards of one file of the index: some ten megabytes
 SHARDS_PER_FILE = 8
 #: distinct terms of the queries that are searched for at a time; a single longer query is searched alone
@@ -44,9 +44,11 @@ SKETCH = 32
 SEED = 16
 
 _VECTORS = "doc_id bigint, n bigint, terms array<int>, tfs array<int>"
-_INDEX = ("shard bigint, ids array<bigint>, bounds array<int>, columns array<int>, impacts array<int>, terms array<int>, "
-          "list_blocks array<int>, block_docs array<int>, docs array<int>, block_columns array<int>, "
-          "summary_columns array<int>, summary array<float>")
+#: arrays of a shard, each stored as the bytes of its values: a task's reader then handles a shard in a few pieces
+_ARRAYS = {"bounds": np.int32, "columns": np.int32, "impacts": np.int32, "terms": np.int32, "list_blocks": np.int32,
+           "block_docs": np.int32, "docs": np.int32, "block_columns": np.int32, "summary_columns": np.int32,
+           "summary": np.float32}
+_INDEX = "shard bigint, ids array<bigint>, " + ", ".join(f"{name} binary" for name in _ARRAYS)
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -132,11 +134,10 @@ class Shard:
             block_columns.append(np.bincount(row, minlength=len(starts)))
             columns.append(column + term)
             values.append(summary[row, column])
-        whole = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
-        return {"terms": np.array(terms, np.int32), "list_blocks": np.array(list_blocks, np.int32),
-                "block_docs": whole(block_docs, np.int32), "docs": whole(docs, np.int32),
-                "block_columns": whole(block_columns, np.int32), "summary_columns": whole(columns, np.int32),
-                "summary": whole(values, np.float32)}
+        whole = lambda parts: np.concatenate(parts) if parts else np.zeros(0)
+        made = {"terms": np.array(terms), "list_blocks": np.array(list_blocks), "block_docs": whole(block_docs), "docs": whole(docs),
+                "block_columns": whole(block_columns), "summary_columns": whole(columns), "summary": whole(values)}
+        return {name: array.astype(_ARRAYS[name]) for name, array in made.items()}
 
 
 def index(found: DataFrame, place: np.ndarray, weights: np.ndarray, documents: int, length: int,
@@ -168,11 +169,11 @@ def index(found: DataFrame, place: np.ndarray, weights: np.ndarray, documents: i
             made = Shard(column, impact, bounds, width).lists(weights, block)
             ids = rows.column("doc_id").combine_chunks()
             name = zlib.crc32(ids.fill_null(0).to_numpy().tobytes())
-            arrays = {"ids": ids, "bounds": bounds.astype(np.int32), "columns": column.astype(np.int32),
-                      "impacts": impact.astype(np.int32), **made}
+            made |= {"bounds": bounds, "columns": column, "impacts": impact}
             return pa.RecordBatch.from_arrays(
-                [pa.array([name], pa.int64()), *(pa.ListArray.from_arrays(np.array([0, len(a)], np.int32), pa.array(a))
-                                                 for a in arrays.values())], names=["shard", *arrays])
+                [pa.array([name], pa.int64()), pa.ListArray.from_arrays(np.array([0, len(ids)], np.int32), ids),
+                 *(pa.array([made[n].astype(kind).tobytes()], pa.binary()) for n, kind in _ARRAYS.items())],
+                names=["shard", "ids", *_ARRAYS])
         waiting: list[pa.RecordBatch] = []
         for batch in batches:
             waiting.append(batch)
@@ -218,14 +219,16 @@ def _scored(row: dict[str, np.ndarray], nameless: np.ndarray, asked: np.ndarray,
             continue
         first, last = block_at[at], block_at[at + 1]
         inside = slice(column_at[first], column_at[last])
+        counted = term + np.flatnonzero(asked[holders, term:].any(axis=0))
         if inside.start == inside.stop:
-            summary = table[row["docs"][doc_at[first]:doc_at[last]], term:].astype(np.float64)
+            summary = table[np.ix_(row["docs"][doc_at[first]:doc_at[last]], counted)].astype(np.float64)
         else:
-            summary = np.zeros((last - first, width - term))
-            summary[np.repeat(np.arange(last - first), row["block_columns"][first:last]),
-                    row["summary_columns"][inside] - term] = row["summary"][inside]
+            whole = np.zeros((last - first, width - term), np.float32)
+            whole[np.repeat(np.arange(last - first), row["block_columns"][first:last]),
+                  row["summary_columns"][inside] - term] = row["summary"][inside]
+            summary = whole[:, counted - term].astype(np.float64)
         # in doubles, so with room for their rounding
-        bound = summary @ asked[holders, term:].T * (1 + 1e-9)
+        bound = summary @ asked[np.ix_(holders, counted)].T * (1 + 1e-9)
         block, query = np.nonzero((bound >= np.maximum(best.least[holders], 1)))
         many = row["block_docs"][first + block]
         step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
@@ -249,10 +252,10 @@ def search(shards: DataFrame, asked: np.ndarray, names: np.ndarray, least: np.nd
         best = Best(least, k)
         for batch in batches:
             for at in range(batch.num_rows):
-                row = {f.name: batch.column(f.name)[at].values for f in batch.schema if f.name != "shard"}
-                nameless = np.asarray(row["ids"].is_null())
-                row["ids"] = row["ids"].fill_null(0)
-                _scored({n: a.to_numpy(zero_copy_only=False) for n, a in row.items()}, nameless, asked, best)
+                ids = batch.column("ids")[at].values
+                row = {n: np.frombuffer(batch.column(n)[at].as_buffer(), kind) for n, kind in _ARRAYS.items()}
+                row["ids"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
+                _scored(row, np.asarray(ids.is_null()), asked, best)
         for query, (scores, ids, nameless) in enumerate(best.rows):
             if len(scores):
                 yield pa.RecordBatch.from_arrays([
@@ -318,7 +321,7 @@ def _part(documents: DataFrame, query: np.ndarray, term: np.ndarray, times: np.n
     asked[row[inside], column[inside]] = times[inside] * weights[heavy][column[inside]]
     built = index(counted, place, weights[heavy], total.n, total.l, block)
     path = new_path(counted.sparkSession, f"index-{part}")
-    built.write.option("maxRecordsPerFile", SHARDS_PER_FILE).parquet(path)
+    built.write.option("maxRecordsPerFile", SHARDS_PER_FILE).option("compression", "zstd").parquet(path)
     shards = counted.sparkSession.read.schema(built.schema).parquet(path)
     least = np.zeros(len(names), np.int64)
     first = F.pmod("shard", F.lit(seed)) == 0

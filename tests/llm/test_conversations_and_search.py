@@ -141,7 +141,7 @@ def test_blocks_are_skipped_and_bounds_hold(spark):
     import numpy as np
     rng = np.random.default_rng(1)
     width, n = 40, 200
-    table = np.where(rng.random((n, width)) < np.linspace(0.005, 0.3, width), rng.integers(1, 10 ** 6, (n, width)), 0)
+    table = np.where(rng.random((n, width)) < np.linspace(0.05, 0.4, width), rng.integers(1, 10 ** 6, (n, width)), 0)
     row, column = np.nonzero(table)
     bounds = np.searchsorted(row, np.arange(n + 1))
     weights = np.sort(rng.integers(1, 9000, width))[::-1]
