@@ -228,3 +228,61 @@ def test_alert_run_appends_and_reads_back(spark, tmp_path):
         assert [(r.recipient, r.rows_sent) for r in log.collect()] == [("a@x", 2)] * expected
     quiet = found.where("alert_level = 'warning'")
     assert alerts.alert_run(quiet, people, AS_OF, str(tmp_path / "none"), "urgent").count() == 0
+
+
+def test_every_file_is_read_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write(folder / "a.csv", "sales_id,order_id,name\n1,10,x\n2,20,\"y, z\"\n")
+    write(folder / "b.csv", "order_id,sales_id\n30,3\n40,4,5\n", "utf-8-sig")
+    write(folder / "c.csv", "name,sales_id\r\nКнига,5\r\n\r\nТом,6\r\n", "cp1251")
+    write(folder / "d.csv", "sales_id,order_id,name\n")
+    df = files.read_csv(spark, str(folder))
+    assert sorted(map(str, df.columns)) == ["_pos", "name", "order_id", "sales_id"]
+    assert rows(df, "sales_id", "order_id", "name") == [
+        ("1", "10", "x"), ("2", "20", "y, z"), ("3", "30", None), ("5", None, "Книга"), ("6", None, "Том")]
+    marked = files.read_csv(spark, str(folder), flag_overlong=True)
+    assert [r.sales_id for r in marked.where("_overlong").collect()] == ["4"]
+    assert [r.line for r in files.overlong_lines(spark, str(folder)).collect()] == ["40,4,5"]
+
+
+def test_stream_batch_of_files_with_swapped_headers(spark, tmp_path, sources):
+    store = Store(spark, str(tmp_path / "store"))
+    loading.historical_load(spark, store, sources, 1, as_of=AS_OF, work=str(tmp_path / "work"))
+    incoming = tmp_path / "incoming"
+    for fact in ("fact_sales", "fact_inventory"):
+        (incoming / fact).mkdir(parents=True)
+    new = dict(date="2024-01-06")
+    table_csv(incoming / "fact_sales", "one", [SALE | new | dict(sales_id="31", order_id="41")], FACT_SALES.names)
+    table_csv(incoming / "fact_sales", "two", [SALE | new | dict(sales_id="32", order_id="42")], FACT_SALES.names[::-1])
+    table_csv(incoming / "fact_inventory", "three", [STOCK | new | dict(inventory_id="33")], list(STOCK)[::-1])
+    for _ in range(2):
+        stream_updates(spark, store, None, str(incoming), str(tmp_path / "stream"), as_of=AS_OF).awaitTermination()
+    got = {r.sales_id: r.order_id for r in store.table("fact_sales").where("sales_id > 30").collect()}
+    assert got == {31: 41, 32: 42} and store.table("fact_inventory").where("inventory_id = 33").count() == 1
+    # one micro-batch, one commit
+    assert len({e["commit"] for e in store._log() if e.batch}) == 1
+
+
+def test_quoted_line_breaks_across_splits(spark, tmp_path):
+    """A file cut into many splits within its quoted fields reads as in one piece."""
+    lines, expected = ["id,name,note"], []
+    for i in range(3000):
+        note = ["plain", "two\nlines", 'a ""quote""\n\n\nand more', "", "x" * 50 + "\r\n" + "y" * 70][i % 5]
+        lines.append(f'{i},n{i},"{note}"')
+        expected.append((str(i), f"n{i}", note.replace('""', '"') or None))
+    path = write(tmp_path / "long.csv", "\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = files.read_csv(spark, path, multiline=True)
+        got = [tuple(r) for r in df.orderBy(F.col("id").cast("int")).select("id", "name", "note").collect()]
+        in_order = [r.id for r in df.orderBy("_pos").select("id").collect()]
+        splits = files._lines(spark, path).select("block").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert splits > 50 and got == expected and in_order == [r[0] for r in expected]
+    single = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    assert sorted(map(tuple, single.collect())) == sorted(expected)
