@@ -1,5 +1,5 @@
 """Checking SQL by query name."""
 
-from oracle import loading, marts, quality, reports
+from oracle import faults, loading, marts, quality, reports
 
-SQL = {**marts.SQL, **reports.SQL, **quality.SQL, **loading.SQL}
+SQL = {**marts.SQL, **reports.SQL, **quality.SQL, **loading.SQL, **faults.SQL}

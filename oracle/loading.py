@@ -1,10 +1,12 @@
 """SQL text for the loading queries."""
 
-from oracle.marts import query
+from oracle import marts, reports
+from oracle.marts import agg, query
 from oracle.quality import AS_OF, PARTS, START
 from oracle.star import with_tables
 
 CUTOFF = "DATE '2001-06-01'"
+PAST_DAY = "DATE '2000-05-17'"
 
 PRODUCT = """
 SELECT product_id, CASE WHEN format <> 'Subscription' THEN '978' || lpad(CAST(product_id % 1000000000 AS VARCHAR), 9, '0') || p_size % 10 END AS isbn,
@@ -36,7 +38,22 @@ GROUP BY 1""", {**{n: PARTS[n] for n in ("raw_product", "kept_product", "raw_sal
 
 GROUPS = [("daily_pulse", 5), ("plan_fact", 4), ("inventory_alerts", 1), ("sales_trends", 1), ("abc", 1), ("margin", 3), ("subscriptions", 2)]
 
+_LINES = "FROM sales s JOIN product p USING (product_id)"
+
+
+def _past(text: str) -> str:
+    """The same text over the lines up to a past day."""
+    assert _LINES in text
+    return text.replace(_LINES, f"FROM (SELECT * FROM sales WHERE date <= {PAST_DAY}) s JOIN product p USING (product_id)")
+
+
 SQL = {
+    **{f"{name}_as_of": _past(marts.SQL[name]) for name in ("mart_sales_trends", "mart_abc", "mart_margin", "mart_subscriptions")},
+    "dates_within_calendar_as_of": reports.SQL["dates_within_calendar"],
+    "maintained_months": query(["lines"], f"""
+SELECT month_start, count(*) AS lines, {agg(["net_qty", "net_revenue", "gross_profit", "orders"])},
+       count(DISTINCT product_id) AS products FROM lines GROUP BY month_start"""),
+    "trends_of_touched_months": marts.SQL["mart_sales_trends"],
     "csv_round_trip": query(["product"], PRODUCT),
     "load_dim_product": query(["product"], PRODUCT),
     "history_update_split": query(["sales", "span"], """

@@ -65,9 +65,6 @@ CONSTRAINTS = " UNION ALL ".join([
     _count(CALENDAR, "quarter 1..4", "dim_date", "quarter NOT BETWEEN 1 AND 4"),
     _count(CALENDAR, "is_weekend 0/1", "dim_date", "is_weekend NOT IN (0, 1)"),
     _count(CALENDAR, "is_holiday_ru 0/1", "dim_date", "is_holiday_ru NOT IN (0, 1)"),
-    _count("product", "title present", "dim_product", "title IS NULL"),
-    _count("product", "genre present", "dim_product", "genre IS NULL"),
-    _count("product", "format present", "dim_product", "format IS NULL"),
     _count("product", "price > 0", "dim_product", "price_c IS NULL OR price_c <= 0"),
     _count("product", "cost > 0", "dim_product", "cost_c IS NULL OR cost_c <= 0"),
     _count("product", "rating 0..5", "dim_product", "rating_t NOT BETWEEN 0 AND 50"),
@@ -82,13 +79,25 @@ CONSTRAINTS = " UNION ALL ".join([
     _count("sales", "price > 0", "fact_sales", "unit_c <= 0"),
     _count("sales", "discount 0..100", "fact_sales", "disc NOT BETWEEN 0 AND 100"),
     _count("sales", "is_promo 0/1", "fact_sales", "promo NOT IN (0, 1)"),
-    _count("sales", "channel present", "fact_sales", "channel IS NULL"),
     _count("sales", "lost >= 0", "fact_sales", "lost < 0"),
     _count("inventory", "opening_stock >= 0", "fact_inventory", "opening < 0"),
     _count("inventory", "sold_qty >= 0", "fact_inventory", "sold < 0"),
     _count("inventory", "replenishment_qty >= 0", "fact_inventory", "repl < 0"),
     _count("inventory", "closing_stock >= 0", "fact_inventory", "closing < 0"),
     _count("inventory", "is_low_stock 0/1", "fact_inventory", "low NOT IN (0, 1)"),
+    *[_count(source, f"{name} present", table, f"{column or name} IS NULL") for source, table, columns in (
+        (CALENDAR, "dim_date", {"date": "", "year": "", "month": "", "quarter": "", "is_weekend": "", "is_holiday_ru": ""}),
+        ("product", "dim_product", {"product_id": "", "title": "", "genre": "", "format": "", "price_rub": "price_c",
+                                    "cost_rub": "cost_c", "is_physical": ""}),
+        ("plan", "fact_plan", {"plan_id": "", "genre": "", "format": "", "year": "", "month": "", "plan_qty": "plan_q",
+                               "plan_amount": "plan_c"}),
+        ("sales", "fact_sales", {"sales_id": "", "product_id": "", "date": "", "sales_qty": "qty", "return_qty": "ret",
+                                 "unit_price": "unit_c", "sales_amount": "amt_c", "return_amount": "ramt_c",
+                                 "discount_percent": "disc", "is_promo": "promo", "channel": "", "lost_sales_qty": "lost"}),
+        ("inventory", "fact_inventory", {"inventory_id": "", "product_id": "", "date": "", "opening_stock": "opening",
+                                         "sold_qty": "sold", "replenishment_qty": "repl", "closing_stock": "closing",
+                                         "is_low_stock": "low"}),
+    ) for name, column in columns.items()],
     _repeats(CALENDAR, "dim_date", ["date"]),
     _repeats("product", "dim_product", ["product_id"]),
     _repeats("plan", "fact_plan", ["plan_id"]),

@@ -9,9 +9,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions.measures import monthly
+from shelfline.operators.monthly import distinct_orders
 from shelfline.plans import loading, validators
-from shelfline.plans.refresh import refresh_all_marts
-from shelfline.schemas import DIM_PRODUCT, FACT_SALES
+from shelfline.plans.refresh import MONTHLY, published_mart, refresh_all_marts
+from shelfline.schemas import DIM_PRODUCT, FACT_SALES, PARTITION
 from shelfline.sources import driver_extracts, files
 from shelfline.sources.store import Store
 from shelfline.star import Star
@@ -34,6 +36,18 @@ def csv_round_trip(star: Star) -> DataFrame:
     return files.cast_types(files.read_csv(star.spark, path), "dim_product").select(*DIM_PRODUCT.names)
 
 
+def csv_fallback_charset(star: Star) -> DataFrame:
+    """Products written in the fallback charset beside a file in UTF-8, and read back."""
+    path, key = _folder(star, "charsets"), F.col("p_partkey")
+    rows = star["part"].select(
+        key.alias("product_id"), F.concat(F.lit("Книга "), key).alias("title"),
+        F.when(key % 2 == 0, F.concat("p_brand", F.lit(" «Ё»"))).alias("publisher"))
+    star.spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    for charset, rest in ((files.FALLBACK_CHARSET, 0), ("UTF-8", 1)):
+        rows.where(F.col("product_id") % 3 % 2 == rest).write.option("header", True).option("encoding", charset).csv(f"{path}/{rest}")
+    return files.read_csv(star.spark, f"{path}/*").drop("_pos")
+
+
 def history_update_split(star: Star) -> DataFrame:
     """Sales split at the last day into history and update files, each read back and counted."""
     paths = files.split_history_update(
@@ -124,6 +138,43 @@ def stream_load(star: Star) -> DataFrame:
     return _stored(store)
 
 
+def _renumbered(lines: DataFrame, sign: int) -> DataFrame:
+    """Lines with ids of their own: those of the driver table repeat."""
+    return lines.withColumn("sales_id", sign * (F.monotonically_increasing_id() + 1)).select(*FACT_SALES.names)
+
+
+def _updated_store(star: Star, marts: str | None = None) -> Store:
+    """Sales before the cutoff loaded, those from it appended in two batches; with a folder, marts built after
+    the load and brought up to date after each batch in the months it touched."""
+    store = Store(star.spark, _folder(star, "maintained"))
+    store.full_load({"dim_product": star.product, "fact_sales": _renumbered(star.sales.where(F.col("date") < F.lit(CUTOFF)), 1)}, 1)
+    groups = {f.__name__: [f] for f in MONTHLY}
+    if marts:
+        refresh_all_marts(store.star(), marts, groups)
+    late = _renumbered(_from_cutoff(star.sales), -1).checkpoint()
+    for batch, rows in (("odd", late.where("sales_id % 2 <> 0")), ("even", late.where("sales_id % 2 = 0"))):
+        store.insert({"fact_sales": rows}, batch)
+        if marts:
+            refresh_all_marts(store.star(), marts, groups, store.touched(batch))
+    return store
+
+
+def maintained_months(star: Star) -> DataFrame:
+    """Totals and distinct orders by month, from the aggregates the store kept up to date."""
+    kept = _updated_store(star).star()
+    month = F.col(PARTITION).alias("month_start")
+    sums = kept.months().groupBy(month).agg(*monthly("lines", "net_qty", "net_revenue", "gross_profit", "products"))
+    orders = distinct_orders(kept.order_months().select(month, "word", "bits"), ["month_start"])
+    return sums.join(orders, "month_start")
+
+
+def trends_of_touched_months(star: Star) -> DataFrame:
+    """Sales trends as published after two batches, each of which rewrote the months it touched."""
+    marts = _folder(star, "touched_marts")
+    _updated_store(star, marts)
+    return published_mart(star.spark, marts, "mart_sales_trends")
+
+
 def refresh_status(star: Star) -> DataFrame:
     """Every mart built and written; one status row per group."""
     return refresh_all_marts(star, _folder(star, "marts"))
@@ -131,6 +182,7 @@ def refresh_status(star: Star) -> DataFrame:
 
 LOADING: dict[str, Callable[[Star], DataFrame]] = {
     "csv_round_trip": csv_round_trip,
+    "csv_fallback_charset": csv_fallback_charset,
     "history_update_split": history_update_split,
     "full_load": full_load,
     "load_dim_product": load_dim_product,
@@ -138,4 +190,6 @@ LOADING: dict[str, Callable[[Star], DataFrame]] = {
     "incremental_load": incremental_load,
     "stream_load": stream_load,
     "refresh_all_marts": refresh_status,
+    "maintained_months": maintained_months,
+    "trends_of_touched_months": trends_of_touched_months,
 }

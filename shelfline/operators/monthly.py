@@ -41,7 +41,7 @@ def with_month(df: DataFrame) -> DataFrame:
 
 def product_months(lines: DataFrame) -> DataFrame:
     """One row per month and product sold: sums, the days with sales as bits, first and last day."""
-    day = F.expr("shiftleft(1, dayofmonth(date))")
+    day = F.expr("shiftleft(1L, dayofmonth(date))")
     return with_month(lines).groupBy(*KEY).agg(
         *[F.sum(c.cast("bigint")).alias(n) for n, c in _sums().items()], F.bit_or(day).alias("days"),
         F.min("date").alias("first_day"), F.max("date").alias("last_day"))

@@ -74,6 +74,8 @@ class Checked:
     schema: T.StructType
     counted: list[tuple[str, str, str, Column]]
     days_from: MissingDays | None
+    #: counters taken while the flagged rows were written
+    observed: dict[str, int] | None = None
 
     @property
     def clean(self) -> DataFrame:
@@ -85,23 +87,35 @@ class Checked:
         kept = self.flagged.where(F.col("_reject").isNull())
         return kept.select(POSITION, *[_output(f, kept.columns) for f in self.schema])
 
-    def _counters(self) -> DataFrame:
-        """One row: received, kept and a counter per step."""
+    def counters(self) -> dict[str, Column]:
+        """What is counted over the flagged rows: received, kept, and one counter per step."""
         kept = F.col("_reject").isNull()
-        counters = {
-            "received": F.count("*"), "loaded": F.count_if(kept),
-            **{f"n{i}": test for i, (_, _, _, test) in enumerate(self.counted)}}
+        return {"received": F.count("*"), "loaded": F.count_if(kept),
+                **{f"n{i}": test for i, (_, _, _, test) in enumerate(self.counted)}}
+
+    def _counters(self) -> DataFrame:
+        """One row of all counters. Those observed while writing are not counted again: then only the days
+        of the kept rows are read, where a rule asks for them."""
+        counters = self.counters()
+        if self.observed is not None:
+            known = [F.lit(self.observed[n] or 0).cast("bigint").alias(n) for n in counters]
+            if self.days_from is None:
+                return self.flagged.sparkSession.range(1).select(*known)
+            days = self.flagged.where(F.col("_reject").isNull()).groupBy("date").agg(F.lit(1).alias("loaded"))
+            return days.agg(self._missing()).select(*known, "missing")
         if self.days_from is None:
             return self.flagged.agg(*[c.alias(n) for n, c in counters.items()])
         # By day first: the days without a kept row come out of the same pass, and no distinct
         # count widens the rows.
         by_day = self.flagged.groupBy("date").agg(*[c.alias(n) for n, c in counters.items()])
+        return by_day.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counters], self._missing())
+
+    def _missing(self) -> Column:
+        """Days from the start to the last kept row on which no row was kept."""
         start = F.lit(self.days_from.start)
         present = (F.col("loaded") > 0) & (F.col("date") >= start)
         span = F.date_diff(F.max(F.when(F.col("loaded") > 0, F.col("date"))), start) + 1
-        missing = F.greatest(F.lit(0), F.coalesce(span - F.count_if(present), F.lit(0)))
-        return by_day.agg(
-            *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counters], missing.cast("bigint").alias("missing"))
+        return F.greatest(F.lit(0), F.coalesce(span - F.count_if(present), F.lit(0))).cast("bigint").alias("missing")
 
     def details(self) -> DataFrame:
         """Rows per rule, for the rules that found something."""

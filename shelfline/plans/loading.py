@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from shelfline.operators.rules import Checked, Stage
 from shelfline.plans import validators
@@ -27,8 +27,10 @@ class Loaded:
 
 
 def settle(checked: Checked, path: str) -> Checked:
-    """Writes the flagged rows once; clean rows and every counter are then read from there."""
-    return replace(checked, flagged=written(checked.flagged, path))
+    """Writes the flagged rows once and counts them on the way; clean rows are then read from there."""
+    seen = Observation()
+    flagged = written(checked.flagged.observe(seen, *[c.alias(n) for n, c in checked.counters().items()]), path)
+    return replace(checked, flagged=flagged, observed=seen.get)
 
 
 def staged(folder: str) -> Stage:

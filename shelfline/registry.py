@@ -14,7 +14,7 @@ from shelfline.load_queries import LOADING
 from shelfline.operators import ledger
 from shelfline.operators.rules import Checked
 from shelfline.plans import adhoc, alerts, charts, checks, daily, loading, plan_fact, planning, sales, stock, validators
-from shelfline.sources import driver_extracts
+from shelfline.sources import driver_extracts, driver_faults
 from shelfline.star import Star
 
 MARTS: dict[str, Callable[[Star], DataFrame]] = {
@@ -194,10 +194,48 @@ QUALITY: dict[str, Callable[[Star], DataFrame]] = {
     "dq_details": lambda s: validators.quality_details(_all_checked(s)),
     "dq_total_issues": lambda s: validators.total_issues(_all_checked(s)),
     "missing_sales_days": lambda s: validators.missing_sales_days(_checked(s, "fact_sales").clean, driver_extracts.START),
+    "clean_dim_date": lambda s: _checked(s, "dim_date").clean,
     "clean_dim_product": lambda s: _checked(s, "dim_product").clean,
+    "clean_fact_plan": lambda s: _checked(s, "fact_plan").clean,
     "clean_fact_sales": lambda s: _checked(s, "fact_sales").clean,
 }
 
+def _faults(name: str, build: Callable[[Star, Callable], Checked]) -> Callable[[Star], DataFrame]:
+    """Counters of an extract with planted faults."""
+    def query(star: Star) -> DataFrame:
+        folder = f"{star.work}/{name}-{uuid.uuid4().hex[:8]}"
+        return loading.settle(build(star, folder), f"{folder}/checked").details()
+    return query
+
+
+FAULTS: dict[str, Callable[[Star], DataFrame]] = {name: _faults(name, build) for name, build in {
+    "faults_dim_product": lambda s, f: validators.validate_dim_product(
+        driver_faults.dim_product(s["part"]), loading.staged(f)),
+    "faults_fact_plan": lambda s, f: validators.validate_fact_plan(
+        driver_faults.fact_plan(s.plan), driver_faults.YEARS, loading.staged(f)),
+    "faults_in_files": lambda s, f: validators.validate_fact_plan(
+        driver_faults.plan_as_files(s.plan, f"{f}/files"), driver_faults.YEARS, loading.staged(f)),
+    "faults_fact_sales": lambda s, f: validators.validate_fact_sales(
+        driver_faults.fact_sales(s["orders"]), driver_faults.products_of_two_kinds(s["part"]), driver_faults.FIRST_DAY,
+        driver_faults.LAST_DAY, stage=loading.staged(f)),
+    "faults_fact_inventory": lambda s, f: validators.validate_fact_inventory(
+        driver_faults.fact_inventory(s["orders"]), driver_faults.products_of_two_kinds(s["part"]), driver_faults.FIRST_DAY,
+        driver_faults.LAST_DAY, loading.staged(f)),
+}.items()}
+
+# --- report day of the registered queries on a past day, repeated in the checking SQL ---
+PAST_DAY = dt.date(2000, 5, 17)
+# --- end of parameter ---
+
+PAST: dict[str, Callable[[Star], DataFrame]] = {
+    "mart_sales_trends_as_of": lambda s: sales.mart_sales_trends(s.at(PAST_DAY)),
+    "mart_abc_as_of": lambda s: sales.mart_abc(s.at(PAST_DAY)),
+    "mart_margin_as_of": lambda s: sales.mart_margin(s.at(PAST_DAY)),
+    "mart_subscriptions_as_of": lambda s: sales.mart_subscriptions(s.at(PAST_DAY)),
+    # checks read the whole tables whatever the report day
+    "dates_within_calendar_as_of": lambda s: checks.dates_within_calendar(s.at(PAST_DAY)),
+}
+
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {
-    **MARTS, **VIEWS, **ADHOC, **CHARTS, **ALERTS, **CHECKS, **STOCK_AND_PLAN, **QUALITY, **LOADING,
+    **PAST, **FAULTS, **MARTS, **VIEWS, **ADHOC, **CHARTS, **ALERTS, **CHECKS, **STOCK_AND_PLAN, **QUALITY, **LOADING,
 }
