@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -32,6 +33,16 @@ def landed(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def neutral(df: DataFrame, *more: Column) -> DataFrame:
+    """The columns under names c0, c1, ..., which no name of an operator's own can clash with, and more columns."""
+    return df.select(*[F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(df.schema)], *more)
+
+
+def named_back(df: DataFrame, like: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of `neutral` under their names again; some may be replaced, by name."""
+    return df.select(*[changed.get(f.name, F.col(f"c{i}")).alias(f.name) for i, f in enumerate(like.schema)])
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; rows in fold 0 are held out, rows without an id too."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS, F.lit(0))
@@ -53,7 +64,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     edges = landed(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
                    .where(a != b).distinct(), f"{name}-0")
     before = None
-    for step in range(1, 60):
+    for step in itertools.count(1):
         # large star: every larger neighbour of a node is linked to the node's smallest neighbour
         both = edges.unionByName(edges.select(b.alias("a"), a.alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low"))

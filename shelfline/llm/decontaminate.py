@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import words as W
-from shelfline.llm.common import landed
+from shelfline.llm.common import landed, named_back, neutral
 
 WINDOW = 10
 BLOCK = 2
@@ -205,12 +205,13 @@ def item_digest(items: list[int]) -> str:
 
 
 def without_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents in which no window of the benchmark occurs, with all their columns.
+    """The documents in which no window of the benchmark occurs, with all their columns, whatever their names.
 
-    Whole rows pass through the search, so no join brings text and finding together again.
+    Whole rows pass through the search, so no join brings text and finding together again. Null, empty and
+    wordless texts stay, repeated rows are judged alike; an empty benchmark removes nothing, an empty table
+    gives an empty one.
     """
-    pairs = patterns(benchmark, window)
-    return _filtered(docs, pairs)
+    return named_back(_filtered(neutral(docs, F.col("text").alias("content")), patterns(benchmark, window)), docs)
 
 
 def _filtered(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -224,7 +225,7 @@ def _filtered(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         def keep(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 good = np.ones(batch.num_rows, bool)
-                for first, last, data, offsets in W.slices(batch.column("text")):
+                for first, last, data, offsets in W.slices(batch.column("content")):
                     hashes, bounds = W.hashed_words(data, offsets, W.WORDY)
                     for each in sent.value:
                         ends, _ = each.search(hashes, bounds)

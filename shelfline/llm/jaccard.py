@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import words as W
-from shelfline.llm.common import bitmap, components, in_bitmap, landed, partitions, sieved
+from shelfline.llm.common import bitmap, components, in_bitmap, landed, named_back, neutral, partitions, sieved
 from shelfline.llm.recurring import recurring
 
 SHINGLE = 5
@@ -321,17 +321,21 @@ def _across(docs: DataFrame, meeting: DataFrame, known: DataFrame, size: int, pe
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Of every component exactly one row stays, with all columns: that of the smallest id, of rows that
-    repeat it the one whose id and text have the smallest hash, and of rows equal in both the one whose
-    columns come first. A row without id stays only if no row of its component has one. Rows without
-    shingles stay, all of them."""
+    """Of every component exactly one row stays, with all columns, whatever their names: that of the smallest
+    id, of rows that repeat it the one whose id and text have the smallest hash, and of rows equal in both the
+    one whose columns come first (with a map among them, as JSON). A row without id stays only if no row of its
+    component has one. Null, empty and wordless texts have no shingles and stay, all of them. An empty table
+    gives an empty one."""
     found = landed(_placed(docs, size, percent).where(F.col("kept_key").isNotNull()).select("row_key", "kept_key"), "kept")
-    gone = found.where("row_key <> kept_key").select(F.col("row_key").alias("__key")).distinct()
-    again = landed(found.where("row_key = kept_key").groupBy(F.col("row_key").alias("__key")).agg(F.count("*").alias("n"))
-                   .where("n > 1").select("__key"), "again")
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    gone = found.where("row_key <> kept_key").select(F.col("row_key").alias("key")).distinct()
+    again = landed(found.where("row_key = kept_key").groupBy(F.col("row_key").alias("key")).agg(F.count("*").alias("n"))
+                   .where("n > 1").select("key"), "again")
+    keyed = neutral(docs, F.xxhash64("doc_id", "text").alias("key"))
     if again.isEmpty():
-        return keyed.join(gone, "__key", "left_anti").select(docs.columns)
-    single = keyed.join(gone.unionByName(again), "__key", "left_anti").select(docs.columns)
-    copies = sieved(keyed, again, "__key").join(again.hint("shuffle_hash"), "__key", "left_semi")
-    return single.unionByName(copies.groupBy("__key").agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*"))
+        return named_back(keyed.join(gone, "key", "left_anti"), docs)
+    single = keyed.join(gone.unionByName(again), "key", "left_anti").drop("key")
+    copies = sieved(keyed, again, "key").join(again.hint("shuffle_hash"), "key", "left_semi")
+    row = F.struct(*single.columns)
+    order = F.to_json(row) if "map<" in docs.schema.simpleString() else row
+    first = copies.groupBy("key").agg(F.min_by(row, order).alias("row")).select("row.*")
+    return named_back(single.unionByName(first), docs)

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import landed
+from shelfline.llm.common import landed, neutral
 
 #: labelled rows the classifier is fitted on at most, and the words it uses
 SAMPLE, WORDS = 4_000, 64
@@ -122,7 +122,7 @@ class NotFitted(RuntimeError):
     """The fit did not come to its tolerance."""
 
 
-def _least(measured: Callable, k: int, steps: int) -> tuple[np.ndarray, np.ndarray]:
+def _least(measured: Callable, k: int, steps: int, strict: bool) -> tuple[np.ndarray, np.ndarray]:
     """The sum of all steps, and the residual there. `measured` gives, at a sum of steps, the value of the
     dual, the residual (its falling slope) and the Gram matrix (its curvature).
 
@@ -142,6 +142,8 @@ def _least(measured: Callable, k: int, steps: int) -> tuple[np.ndarray, np.ndarr
             move = -np.linalg.solve(gram + ridge * np.eye(k), slope)
             here, size = value + ridge / 2 * ((taken - centre) ** 2).sum(), 1.0
             while True:
+                if not left and not strict:
+                    return taken, residual
                 if not left:
                     raise NotFitted(f"rates are not fitted after {steps} steps; residuals {residual.tolist()} of the total")
                 left -= 1
@@ -151,6 +153,8 @@ def _least(measured: Callable, k: int, steps: int) -> tuple[np.ndarray, np.ndarr
                 # by convexity the value has fallen if it still falls here
                 if along <= 0 or new_value + ridge / 2 * ((at - centre) ** 2).sum() <= here + 1e-4 * size * float(slope @ move):
                     break
+                if size < 1e-12 and not strict:
+                    return taken, residual
                 if size < 1e-12:
                     raise NotFitted(f"no step lessens the residuals {residual.tolist()} of the total")
                 size *= min(max(float(slope @ move) / (float(slope @ move) - along), 0.1), 0.5)
@@ -161,14 +165,14 @@ def _least(measured: Callable, k: int, steps: int) -> tuple[np.ndarray, np.ndarr
     return taken, residual
 
 
-def fitted_rates(members: DataFrame, targets: list[float], steps: int = STEPS) -> tuple[Column, list[float]]:
+def fitted_rates(members: DataFrame, targets: list[float], steps: int = STEPS, strict: bool = True) -> tuple[Column, list[float]]:
     """The rate of each row as an expression over p_0, p_1, ..., and the residual by domain, in tokens.
 
     `targets` are token totals. From equal rates the sum of all steps is subtracted, and what falls below
     zero is cut off. Among all rates that meet the targets these are the closest to equal ones. For targets
     out of reach the sum of squared residuals, as shares of all target tokens, is the least there is, but
     for RIDGE / 2 times the mean squared distance of the best rates from equal ones, by tokens.
-    Raises NotFitted if `steps` aggregations do not suffice.
+    If `steps` aggregations do not suffice it raises NotFitted, or, not `strict`, gives the best rates found.
     """
     k = len(targets)
     p = [F.col(f"p_{i}") for i in range(k)]
@@ -195,14 +199,14 @@ def fitted_rates(members: DataFrame, targets: list[float], steps: int = STEPS) -
 
     if not total:
         return rate(np.zeros(k)), [0.0] * k
-    taken, residual = _least(measured, k, steps)
+    taken, residual = _least(measured, k, steps, strict)
     return rate(taken), [float(x) * scale for x in residual]
 
 
 def _rates(members: DataFrame, targets: Mapping[str, float], size: float) -> Column:
-    """The fitted rate; a warning names the domains whose targets are out of reach."""
+    """The fitted rate; a warning names the domains whose targets are missed, out of reach or not fitted."""
     goal = _goal(members, targets, size)
-    rate, residual = fitted_rates(members, goal)
+    rate, residual = fitted_rates(members, goal, strict=False)
     missed = [f"{d} by {x:+.6g} of {g:.6g} tokens" for d, x, g in zip(sorted(targets), residual, goal) if abs(x) > MISSED * max(sum(goal), 1.0)]
     if missed:
         warnings.warn(f"targets out of reach, missed least: {', '.join(missed)}", stacklevel=3)
@@ -231,11 +235,14 @@ def _goal(rows: DataFrame, targets: Mapping[str, float], size: float) -> list[fl
 
 
 def with_rates(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, size: float = SIZE) -> DataFrame:
-    """All rows and columns of `docs`, with `mix_rate` added. An input column of that name is replaced."""
+    """All rows and columns of `docs`, whatever their names, with `mix_rate` added. An input column of that
+    name is replaced. Nulls, empty texts, repeated rows and empty tables as in `mixed`."""
     docs = docs.drop("mix_rate")
     model = learned(docs, labels, sorted(targets))
     # probabilities only, from one pass; the rows themselves are not written again
-    members = memberships(docs.select("text", F.struct(*docs.columns).alias("__row")), model, "__row")
+    plain = neutral(docs)
+    members = memberships(neutral(docs, F.col("text")).select("text", F.struct(*plain.columns).alias("__row")), model, "__row")
     slim = landed(members.drop("__row"), "members")
     rate = _rates(slim, targets, size)
-    return members.select("__row.*", rate.alias("mix_rate"))
+    rows = members.select("__row.*", rate.alias("rate"))
+    return rows.select(*[F.col(f"c{i}").alias(f.name) for i, f in enumerate(docs.schema)], F.col("rate").alias("mix_rate"))

@@ -198,11 +198,13 @@ def _grow(x, gradient, rows, cuts, depth, least, path: Rule, rules: set, value:
 
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, penalty: float = 0.002, steps: int = 400) -> Ensemble:
-    """Boosted trees give the rules, a lasso logistic model their weights."""
+    """Boosted trees give the rules, a lasso logistic model their weights. Rows of one label, and rows that no
+    split tells apart (too few, or all alike), give the share of the labels."""
     n = len(y)
+    share = (y.sum() + 1) / (n + 2)
+    constant = Ensemble(float(np.log(share / (1 - share))), ())
     if n == 0 or y.min() == y.max():
-        share = (y.sum() + 1) / (n + 2)
-        return Ensemble(float(np.log(share / (1 - share))), ())
+        return constant
     cuts = []
     for feature in range(x.shape[1]):
         own = np.unique(np.quantile(x[:, feature], np.linspace(0, 1, 65)[1:-1]))
@@ -216,6 +218,8 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, penalty:
         value = np.zeros(n)
         _grow(x, gradient, np.arange(n), cuts, depth, max(5, n // 500), (), rules, value)
         z += 2 * value
+    if not rules:
+        return constant
     ordered = sorted(rules)
     table = np.column_stack([holds(r, x) for r in ordered]).astype(np.float64)
     scale = np.maximum(table.std(axis=0), 0.05)
@@ -275,7 +279,10 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
 
 
 def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows whose predicted label is 1, with all their columns."""
+    """The rows whose predicted label is 1, with all their columns, whatever their names.
+
+    Null and empty texts are judged as texts without words; repeated rows and ids each on their own. An empty
+    table gives an empty one; without labels that tell texts apart all rows stay or all go, by their share."""
     model = trained(docs, labels, sample)
     names = {f.name: f"c{i}" for i, f in enumerate(docs.schema)}
     # columns travel under neutral names, so that none of theirs can clash with a statistic's

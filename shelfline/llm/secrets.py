@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import landed, new_path
+from shelfline.llm.common import bitmap, in_bitmap, landed, named_back, neutral, new_path
 
 
 @dataclass(frozen=True)
@@ -164,15 +164,26 @@ def report(documents: DataFrame, rules: Sequence[Rule] = RULES, ledger: Ledger |
 
 
 def redacted(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """All rows and columns of `docs`, with the secrets in `text` replaced; a null text stays null.
+    """All rows and columns of `docs`, whatever their names, with the secrets in `text` replaced; a null text
+    stays null, an empty one empty, repeated rows stay. An empty table gives an empty one.
 
-    `n_chars`, where there is such a column, follows the new text."""
+    `n_chars`, where there is such a column, follows the new text. Rows whose content has no finding, nearly
+    all, pass a bitmap of the contents that have one and are not shuffled."""
     spark = docs.sparkSession
     ledger = Ledger(spark, new_path(spark, "ledger"))
     scan(docs, ledger, rules)
-    found = F.col("__found")
-    marked = (docs.withColumn("__blob", blob_of(F.col("text")))
-              .join(per_blob(ledger, rules).toDF("__blob", "__found"), "__blob", "left"))
+    spans = landed(per_blob(ledger, rules).withColumn("mark", F.xxhash64("blob")), "found")
+    rows = neutral(docs, F.col("text").alias("content"), blob_of(F.col("text")).alias("blob"))
+    rows = rows.withColumn("mark", F.xxhash64("blob"))
+    bits = spark.sparkContext.broadcast(bitmap(spans, "mark"))
+
+    def side(wanted: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(in_bitmap(bits.value, batch.column("mark").to_numpy()) == wanted))
+        return run
+    likely = rows.mapInArrow(side(True), rows.schema).join(spans.select("blob", "found"), "blob", "left")
+    found, text = F.col("found"), F.col("content")
     # pieces between spans; overlapping spans of different kinds share one mark
     state = F.struct(F.lit(1).alias("at"), F.lit("").alias("text"))
     cut = F.aggregate(
@@ -180,11 +191,13 @@ def redacted(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
         lambda acc, x: F.struct(
             F.greatest(acc["at"], x["end"] + 1).alias("at"),
             F.when(x["start"] + 1 >= acc["at"], F.concat(
-                acc["text"], F.substring(F.col("text"), acc["at"], x["start"] + 1 - acc["at"]), F.lit(_REDACTED)))
+                acc["text"], F.substring(text, acc["at"], x["start"] + 1 - acc["at"]), F.lit(_REDACTED)))
             .otherwise(acc["text"]).alias("text")),
-        lambda acc: F.concat(acc["text"], F.substring(F.col("text"), acc["at"], F.length("text"))))
-    out = marked.withColumn("text", F.when(found.isNull() | F.col("text").isNull(), F.col("text")).otherwise(cut))
+        lambda acc: F.concat(acc["text"], F.substring(text, acc["at"], F.length(text))))
+    new = F.when(found.isNull() | text.isNull(), text).otherwise(cut)
+    changed = {"text": new}
+    clean = {"text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
-
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"], clean["n_chars"] = F.length(new).cast(kind), F.length(text).cast(kind)
+    return named_back(likely, docs, **changed).unionByName(named_back(rows.mapInArrow(side(False), rows.schema), docs, **clean))

@@ -24,13 +24,19 @@ DERIVED = ("page_id bigint, warc_type string, record_id string, refers_to string
            "content_type string, content_length bigint, block_digest string, source_block_digest string, "
            "source_payload_digest string, block binary")
 
-_DROPPED = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>", re.S | re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-_CHARSET = re.compile(r"<meta\b[^>]*\bcharset\s*=\s*[\"']?([\w-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*\bhref\s*=", re.I)
-_BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|aside|header|footer|nav|main|blockquote|pre|hr|title)\b[^>]*>", re.I)
-_TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
+_NAME = re.compile(r"/?([A-Za-z]\w*)")
+_DROPPED = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template")}
+_BREAKS = {"p", "div", "br", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "table", "section", "article", "aside",
+           "header", "footer", "nav", "main", "blockquote", "pre", "hr", "title"}
+_TITLE = re.compile(r"<title\b", re.I)
+_TITLE_END = re.compile(r"</title\s*>", re.I)
+#: a tag up to its end or that of the page: each search goes on where the last one stopped
+_HTML, _META, _LINK = (re.compile(rf"<{n}\b[^>]*", re.I) for n in ("html", "meta", "a"))
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+_CHARSET = re.compile(r"\bcharset\s*=\s*[\"']?([\w-]+)", re.I)
+_HREF = re.compile(r"\bhref\s*=", re.I)
+#: bytes in which the markup has to name its charset
+_PRESCAN = 1024
 
 
 def digest(block: bytes) -> str:
@@ -38,23 +44,82 @@ def digest(block: bytes) -> str:
 
 
 def visible_text(page: str) -> str:
-    """Text outside markup, one line per block, with single spaces."""
-    text = _TAG.sub("", _BREAK.sub("\n", _DROPPED.sub(" ", page)))
-    lines = (" ".join(line.split()) for line in entities.unescape(text).split("\n"))
+    """Text outside markup, one line per block, with single spaces.
+
+    The page is read once from left to right. Scripts, styles and comments are left out, and one that is not
+    closed runs to the end of the page; a tag without its closing bracket is text."""
+    out, at = [], 0
+    while True:
+        here = page.find("<", at)
+        if here < 0:
+            out.append(page[at:])
+            break
+        out.append(page[at:here])
+        if page.startswith("<!--", here):
+            end = page.find("-->", here + 4)
+            out.append(" ")
+            if end < 0:
+                break
+            at = end + 3
+            continue
+        if page[here + 1:here + 2] not in "!/?" and not (page[here + 1:here + 2].isascii() and page[here + 1:here + 2].isalpha()):
+            out.append("<")
+            at = here + 1
+            continue
+        end = page.find(">", here)
+        if end < 0:
+            out.append(page[here:])
+            break
+        name = _NAME.match(page, here + 1)
+        tag = name[1].lower() if name else ""
+        if tag in _DROPPED and page[here + 1] != "/":
+            closing = _DROPPED[tag].search(page, here)
+            out.append(" ")
+            if closing is None:
+                break
+            at = closing.end()
+            continue
+        out.append("\n" if tag in _BREAKS else "")
+        at = end + 1
+    lines = (" ".join(line.split()) for line in entities.unescape("".join(out)).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
-def described(status: str, headers: list[tuple[str, str]], page: str) -> list[tuple[str, str]]:
-    """Fields of the metadata record: the source's headers, and what the markup says of itself."""
-    title, lang, charset = _TITLE.search(page), _LANG.search(page), _CHARSET.search(page)
+def _title(page: str) -> str | None:
+    begun = _TITLE.search(page)
+    start = page.find(">", begun.end()) if begun else -1
+    closed = _TITLE_END.search(page, start) if start >= 0 else None
+    return " ".join(entities.unescape(page[start + 1:closed.start()]).split()) if closed else None
+
+
+def _attribute(tag: re.Pattern, value: re.Pattern, page: str) -> str | None:
+    """The attribute of the first such tag that has it."""
+    found = (value.search(each[0]) for each in tag.finditer(page))
+    return next((m[1].lower() for m in found if m), None)
+
+
+def decoded(headers: list[tuple[str, str]], payload: bytes) -> str:
+    """The payload as text, by the charset its Content-Type names, else by its markup, else UTF-8. Charsets
+    nobody knows are passed over, bytes that do not fit replaced."""
+    said = next((_CHARSET.search(v) for k, v in headers if k.lower() == "content-type"), None)
+    marked = _attribute(_META, _CHARSET, payload[:_PRESCAN].decode("ascii", "replace"))
+    for label in (said and said[1], marked):
+        try:
+            if label:
+                return payload.decode(label, "replace")
+        except (LookupError, UnicodeError):
+            continue
+    return payload.decode("utf-8", "replace")
+
+
+def described(status: str, headers: list[tuple[str, str]], page: str, length: int) -> list[tuple[str, str]]:
+    """Fields of the metadata record: the source's headers, what the markup says of itself, and how many bytes
+    the payload has."""
     fields = [("http-status", status), *((f"http-header-{k.lower()}", v) for k, v in headers)]
-    if title:
-        fields.append(("title", " ".join(entities.unescape(title[1]).split())))
-    if lang:
-        fields.append(("language", lang[1].lower()))
-    if charset:
-        fields.append(("charset", charset[1].lower()))
-    return [*fields, ("outlinks", str(len(_LINK.findall(page)))), ("payload-length", str(len(page.encode())))]
+    named = {"title": _title(page), "language": _attribute(_HTML, _LANG, page), "charset": _attribute(_META, _CHARSET, page)}
+    fields += [(k, v) for k, v in named.items() if v is not None]
+    links = sum(1 for each in _LINK.finditer(page) if _HREF.search(each[0]))
+    return [*fields, ("outlinks", str(links)), ("payload-length", str(length))]
 
 
 def record_id(kind: str, *parts: str) -> str:
@@ -93,8 +158,10 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
 def derivatives(source: DataFrame) -> DataFrame:
     """Two records per response: its metadata and its text, with the columns of DERIVED.
 
-    A null block is an empty one: its metadata has no status and its text is empty. Bytes that are not
-    UTF-8 are replaced in the text only; digests are those of the source bytes."""
+    A null block is an empty one: its metadata has no status and its text is empty. The text is decoded by
+    the charset the headers or the markup name; bytes that do not fit it are replaced in the text only, digests
+    and lengths are those of the source bytes. Repeated records give their derivatives again, an empty table
+    none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -102,8 +169,8 @@ def derivatives(source: DataFrame) -> DataFrame:
                     "page_id", "record_id", "target_uri", "date", "block"))):
                 block = block or b""
                 status, headers, payload = parse_http(block)
-                text = payload.decode("utf-8", "replace")
-                fields = described(status, headers, text)
+                text = decoded(headers, payload)
+                fields = described(status, headers, text, len(payload))
                 made = (("metadata", "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in fields).encode()),
                         ("conversion", "text/plain; charset=utf-8", visible_text(text).encode()))
                 own, inner = digest(block), digest(payload)
@@ -140,7 +207,9 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def report(pages: DataFrame) -> DataFrame:
-    """The derived records of all pages, each with its serialized form's digest and its block as text."""
+    """The derived records of all pages, each with its serialized form's digest and its block as text.
+
+    Null pages, null urls and repeated rows as in `responses`; an empty table gives none."""
     records = derivatives(responses(pages))
     return records.select("page_id", "warc_type", "record_id", "refers_to", "target_uri", "date", "content_type", "content_length",
                           "block_digest", "source_block_digest", "source_payload_digest", F.col("block").cast("string").alias("block"),

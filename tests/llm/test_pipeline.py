@@ -55,7 +55,7 @@ def test_stages_take_effect(spark):
     mixed = stages[4](spark, safe, SF_DIR)
     assert mixed.columns == [*columns, "mix_rate"] and ids(mixed) == ids(safe)
     assert ids(corpus_pipeline.run(spark, SF_DIR)) == ids(mixed)
-    assert ids(mixed.where("mix_rate >= 0")) == ids(mixing.mixed(safe, labels))
+    assert ids(mixed.where("mix_rate >= 0")) == ids(mixing.mixed(safe, labels, corpus_pipeline.TARGETS))
 
 
 def test_stages_on_nothing(spark):
