@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns the columns of
 `documents`; the last adds `mix_rate`. Between stages the rows are written as Parquet and read again.
+
+Null, empty and very long texts, repeated rows and ids, missing ids and columns of any name pass through every
+stage as its operator defines; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -32,9 +35,13 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redacted(docs)
 
 
+#: shares of tokens in the mixture; documents of low quality have left in the first stage, so none are asked of them
+TARGETS = {"q1t0": 0.98, "q1t1": 0.02}
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document gets the rate at which it enters the mixture."""
-    return mixing.with_rates(docs, table(spark, sf_dir, "labels"))
+    return mixing.with_rates(docs, table(spark, sf_dir, "labels"), TARGETS)
 
 
 STAGES = [
