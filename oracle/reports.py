@@ -309,6 +309,13 @@ FROM lines WHERE format IN {PHYSICAL} GROUP BY product_id"""),
     "stock_ledger": query(["book2"], """
 SELECT product_id, date, CAST(gross AS BIGINT) AS gross_sold, CAST(net AS BIGINT) AS net_sold,
        CAST(repl AS BIGINT) AS replenishment_qty, opening AS opening_stock, closing AS closing_stock, shortage FROM book2"""),
+    "resumed_ledger": query(["book2"], """
+SELECT product_id, date, CAST(gross AS BIGINT) AS gross_sold, CAST(net AS BIGINT) AS net_sold,
+       CAST(repl AS BIGINT) AS replenishment_qty, opening AS opening_stock, closing AS closing_stock, shortage FROM book2
+WHERE date < DATE '2001-07-01' OR gross <> 0 OR net <> 0 OR repl <> 0"""),
+    "resumed_inventory": query(["inventory"], """
+SELECT inventory_id, product_id, date, opening AS opening_stock, CAST(sold AS BIGINT) AS sold_qty, CAST(repl AS BIGINT) AS replenishment_qty,
+       closing AS closing_stock, CAST(low AS BIGINT) AS is_low_stock FROM inventory WHERE date >= DATE '2001-07-01'"""),
     "shortage_allocation": query(["sales"], f"""
 SELECT order_id, product_id, date, qty AS sales_qty, ret AS return_qty, {money("unit_c", "unit_price")},
        {money("amt_c", "sales_amount")}, {money("ramt_c", "return_amount")}, disc AS discount_percent, lost AS lost_sales_qty

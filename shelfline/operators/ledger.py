@@ -4,6 +4,9 @@ Closing stock floors at zero: closing = max(0, opening - sold + replenished). Wi
 plus the running sum of (replenished - sold), closing = S - least(0, running minimum of S), and what
 could not be served on a day is the fall of that running minimum. Both are windows over the days on
 which something moved, so a product holds at most one row per calendar day however many lines it sold.
+
+Two numbers per product are all that later days need: S and its minimum so far. A ledger goes on from them
+without the days before (`ledger_state`).
 """
 
 from __future__ import annotations
@@ -78,16 +81,45 @@ def movements(sold: DataFrame, stock: DataFrame, replenished: DataFrame, first:
     return every.groupBy("product_id", "date").agg(*[F.sum(c).alias(c) for c in totals])
 
 
-def stock_ledger(moves: DataFrame) -> DataFrame:
-    """Adds opening_stock, closing_stock and shortage to each movement day."""
+def later_movements(sold: DataFrame, stock: DataFrame, replenished: DataFrame, state: DataFrame, first: dt.date) -> DataFrame:
+    """Movements from `first` on of products with a state, who get a row on that day even if nothing moved,
+    and of new ones, who begin with their initial stock."""
+    begun = stock.join(state.select("product_id"), "product_id", "left_anti")
+    known = state.select("product_id", F.lit(0).alias("stock_initial"))
+    return movements(sold, begun.select("product_id", "stock_initial").unionByName(known), replenished, first)
+
+
+def ledger_state(ledger: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """What a later ledger goes on from: per product the running level and how far it fell below zero so far.
+
+    Follows from the last closing stock and the shortages; a product without rows keeps its state `before`.
+    """
+    new = ledger.groupBy("product_id").agg(
+        F.max_by("closing_stock", "date").alias("closing"), F.sum("shortage").alias("short"))
+    if before is None:
+        return new.select("product_id", (F.col("closing") - F.col("short")).alias("level"), F.col("short").alias("owed"))
+    owed = F.coalesce("owed", F.lit(0)) + F.coalesce("short", F.lit(0))
+    return before.join(new, "product_id", "full").select(
+        "product_id", F.coalesce(F.col("closing") - owed, "level").alias("level"), owed.alias("owed"))
+
+
+def stock_ledger(moves: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Adds opening_stock, closing_stock and shortage to each movement day, from nothing or from a state."""
     so_far = _by_day().rowsBetween(Window.unboundedPreceding, 0)
     before = _by_day().rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    if state is None:
+        moves = moves.withColumns({"_level": zero, "_owed": zero})
+    else:
+        held = state.select("product_id", F.col("level").alias("_level"), F.col("owed").alias("_owed"))
+        moves = moves.join(held, "product_id", "left").withColumns(
+            {"_level": F.coalesce("_level", zero), "_owed": F.coalesce("_owed", zero)})
     level = moves.withColumn(
         "level",
-        F.sum(F.col("initial") + F.col("replenishment_qty") - F.col("net_sold")).over(so_far),
+        F.col("_level") + F.sum(F.col("initial") + F.col("replenishment_qty") - F.col("net_sold")).over(so_far),
     )
-    owed = level.withColumn("owed", -F.least(F.lit(0), F.min("level").over(so_far)))
-    owed = owed.withColumn("owed_before", -F.least(F.lit(0), F.coalesce(F.min("level").over(before), F.lit(0))))
+    owed = level.withColumn("owed", F.greatest("_owed", -F.min("level").over(so_far)))
+    owed = owed.withColumn("owed_before", F.greatest("_owed", F.coalesce(-F.min("level").over(before), zero)))
     closing = F.col("level") + F.col("owed")
     return owed.select(
         "product_id", "date", "gross_sold", "net_sold", "replenishment_qty",
@@ -97,14 +129,18 @@ def stock_ledger(moves: DataFrame) -> DataFrame:
     )
 
 
-def daily_inventory(ledger: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """One inventory row per product and calendar day; a quiet day carries the last closing stock.
+def daily_inventory(ledger: DataFrame, first: dt.date, last: dt.date, since: dt.date | None = None) -> DataFrame:
+    """One inventory row per product and calendar day; a quiet day carries the last closing stock. Rows are
+    numbered by product and day of the calendar from `first` to `last`; `since` tells the day a ledger that goes
+    on from a state begins, and with it the rows.
 
     The table is stored by month, and the dense rows outnumber the movements by far. So the gaps are
     cut at month ends, these pieces are brought together by month, and only then become days: what is
     shuffled grows with products and months, not with days.
     """
     calendar_days = (last - first).days + 1
+    if since is not None:
+        ledger = ledger.where(F.col("date") >= F.lit(since))
     until = F.date_sub("next_date", 1)
     months = F.sequence(F.trunc("date", "month"), F.trunc(until, "month"), F.expr("interval 1 month"))
     pieces = ledger.withColumn("next_date", _next_date(last)).withColumn(PARTITION, F.explode(months))

@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline.functions.dates import in_days
 from shelfline.load_queries import LOADING
 from shelfline.operators import ledger
 from shelfline.operators.rules import Checked
 from shelfline.plans import adhoc, alerts, charts, checks, daily, loading, plan_fact, planning, sales, stock, validators
-from shelfline.sources import driver_extracts, driver_faults
+from shelfline.schemas import PARTITION
+from shelfline.sources import driver_extracts, driver_faults, driver_star
+from shelfline.sources.files import written
 from shelfline.star import Star
 
 MARTS: dict[str, Callable[[Star], DataFrame]] = {
@@ -148,6 +151,35 @@ def _dense_net_sold(star: Star) -> DataFrame:
     return daily_rows.groupBy("product_id").agg(F.count("*").alias("days"), F.sum("net_sold").alias("net_sold"))
 
 
+# --- first day of the ledger that goes on from a state, repeated in the checking SQL ---
+RESUMED_FROM = dt.date(2001, 7, 1)
+# --- end of parameter ---
+
+
+def _resumed(star: Star) -> tuple[DataFrame, DataFrame]:
+    """The ledger up to a day, and the one that goes on from its state and reads later sales only."""
+    stock = star.product.where(F.col("is_physical") == 1).select("product_id", "stock_initial")
+    first, last = star.calendar.agg(F.min("date"), F.max("date")).first()
+    restock = driver_star.replenishments(star.product, first, last)
+    until = RESUMED_FROM - dt.timedelta(days=1)
+    sold = lambda a, b: ledger.daily_net_sold(in_days(star.lines("format"), a, b))
+    early = ledger.stock_ledger(ledger.movements(sold(None, until), stock, in_days(restock, None, until), first))
+    state = written(ledger.ledger_state(early), f"{star.work}/ledger-state-{uuid.uuid4().hex[:8]}")
+    moves = ledger.later_movements(sold(RESUMED_FROM, None), stock, in_days(restock, RESUMED_FROM, None), state, RESUMED_FROM)
+    return early, ledger.stock_ledger(moves, state)
+
+
+def resumed_ledger(star: Star) -> DataFrame:
+    early, later = _resumed(star)
+    moved = F.greatest(F.col("gross_sold"), F.abs("net_sold"), "replenishment_qty") > 0
+    return early.unionByName(later.where(moved))
+
+
+def resumed_inventory(star: Star) -> DataFrame:
+    first, last = star.calendar.agg(F.min("date"), F.max("date")).first()
+    return ledger.daily_inventory(_resumed(star)[1], first, last, RESUMED_FROM).drop(PARTITION)
+
+
 def _allocated(star: Star) -> DataFrame:
     return star.sales.select(
         "order_id", "product_id", "date", "sales_qty", "return_qty", "unit_price", "sales_amount",
@@ -161,6 +193,8 @@ STOCK_AND_PLAN: dict[str, Callable[[Star], DataFrame]] = {
     "daily_net_sold": lambda s: ledger.daily_net_sold(s.lines("format")),
     "dense_daily_net_sold": _dense_net_sold,
     "stock_ledger": lambda s: s["stock_ledger"],
+    "resumed_ledger": resumed_ledger,
+    "resumed_inventory": resumed_inventory,
     "shortage_allocation": _allocated,
 }
 

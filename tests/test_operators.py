@@ -99,3 +99,21 @@ def test_dense_daily_net_sold(spark):
     dense = ledger.dense_daily_net_sold(lines, START, START + dt.timedelta(days=3))
     assert sorted((r.product_id, (r.date - START).days, r.net_sold) for r in dense.collect()) == [
         (1, 0, 4), (1, 1, 0), (1, 2, 2), (1, 3, 0)]
+
+
+def test_a_ledger_goes_on_from_its_state(spark):
+    rng, days = random.Random(8), 60
+    moves = [(p, START + dt.timedelta(days=d), rng.randrange(0, 6), rng.randrange(-2, 6), rng.choice([0, 0, 0, 4]), 10 if d == 0 else 0)
+             for p in range(12) for d in range(days) if d == 0 or rng.random() < 0.3]
+    moves += [(50, START + dt.timedelta(days=45), 3, 3, 0, 1), (51, START, 0, 0, 0, 0)]      # one that begins late, one that never moves
+    df = spark.createDataFrame(moves, "product_id bigint, date date, gross_sold bigint, net_sold bigint, replenishment_qty bigint, initial bigint")
+    whole = sorted(map(tuple, ledger.stock_ledger(df).collect()))
+    state, got = None, []
+    for a, b in ((0, 20), (20, 21), (21, 50), (50, days)):
+        part = df.where(F.col("date").between(START + dt.timedelta(days=a), START + dt.timedelta(days=b - 1)))
+        book = ledger.stock_ledger(part, state)
+        got += map(tuple, book.collect())
+        state = spark.createDataFrame(
+            ledger.ledger_state(book, state).collect(), "product_id bigint, level bigint, owed bigint")
+    assert sorted(got) == whole
+    assert {r.product_id for r in state.collect()} == set(range(12)) | {50, 51}
