@@ -110,6 +110,12 @@ class Vocabulary:
     def entries(self) -> int:
         return len(self.log_leaf)
 
+    @property
+    def class_of(self) -> np.ndarray:
+        """Class of every entry, and of the edge of a text, which comes after them."""
+        buckets = np.repeat(np.arange(SINGLE + BY_FREQUENCY, CLASSES), BUCKETS)
+        return np.concatenate([self.classes, buckets, [_EDGE]])
+
     def parsed(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         """As `encode`, with the hash of every word and its entry; those from `len(self.words)` on are buckets."""
         lower = W.LOWER[data]
@@ -182,7 +188,12 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY, counts: DataFrame | None
 
 
 def _sigmoid_log(x: np.ndarray) -> np.ndarray:
-    return -np.logaddexp(np.float32(0), -x)
+    return np.minimum(x, np.float32(0)) - np.log1p(np.exp(-np.abs(x)))
+
+
+def _in_order(at: np.ndarray, places: int) -> np.ndarray:
+    """Stable order of places; small numbers are sorted by their digits."""
+    return np.argsort(at.astype(np.uint16) if places <= 1 << 16 else at, kind="stable")
 
 
 class Network:
@@ -210,14 +221,18 @@ class Network:
 
     def hidden(self, context: np.ndarray, around: np.ndarray | None = None) -> np.ndarray:
         """From the classes on both sides, and the entries."""
-        total = self.embed[0][context[:, 0]]
+        total = np.take(self.embed[0], context[:, 0], axis=0)
         for i in range(1, context.shape[1]):
-            total = total + self.embed[i][context[:, i]]
+            total += np.take(self.embed[i], context[:, i], axis=0)
         if around is not None:
             for i in range(around.shape[1]):
-                total = total + self.words[i][around[:, i]]
+                total += np.take(self.words[i], around[:, i], axis=0)
         return np.tanh(total)
 
+    def sides(self, class_of: np.ndarray) -> list[np.ndarray]:
+        """What each entry adds on each side, with its class: one table a side, for a network that is done."""
+        return [embed[class_of] + (words if self.entries else 0) for embed, words in zip(self.embed, self.words)]
+
     def log_probability(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         z = h @ self.out + self.bias
         z -= z.max(axis=1, keepdims=True)
@@ -226,7 +241,7 @@ class Network:
     def log_within(self, h: np.ndarray, entry: np.ndarray, tree: Tree) -> np.ndarray:
         """Log probability of entries within their classes."""
         node, sign, owner = tree.ways(entry)
-        z = np.einsum("ij,ij->i", self.nodes[node], h[owner]) + tree.bias[node]
+        z = np.einsum("ij,ij->i", np.take(self.nodes, node, axis=0), np.take(h, owner, axis=0)) + tree.bias[node]
         return np.bincount(owner, _sigmoid_log(sign * z), len(entry))
 
     def step(self, context: np.ndarray, target: np.ndarray, around: np.ndarray, entry: np.ndarray, tree: Tree, rate: float = RATE) -> None:
@@ -240,7 +255,7 @@ class Network:
         back = p @ self.out.T
         node, sign, owner = tree.ways(entry)
         if len(node):
-            at, ours = self.nodes[node], h[owner]
+            at, ours = np.take(self.nodes, node, axis=0), np.take(h, owner, axis=0)
             slope = -sign * np.exp(_sigmoid_log(-sign * (np.einsum("ij,ij->i", at, ours) + tree.bias[node])))
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             back[owner[first]] += np.add.reduceat(slope[:, None] * at, first, axis=0) / n
@@ -249,7 +264,7 @@ class Network:
         self.out -= rate * (h.T @ p)
         self.bias -= rate * p.sum(axis=0)
         for i in range(context.shape[1]):
-            order = np.argsort(context[:, i], kind="stable")
+            order = _in_order(context[:, i], CLASSES + 1)
             own, first = np.unique(context[order, i], return_index=True)
             self.embed[i][own] -= rate * np.add.reduceat(back[order], first, axis=0)
             self._sparse(self.words[i], self.squares[0][i], self.met[0][i], around[:, i], back * n)
@@ -257,7 +272,7 @@ class Network:
     @staticmethod
     def _sparse(vectors: np.ndarray, squares: np.ndarray, met: np.ndarray, at: np.ndarray, slope: np.ndarray) -> None:
         """A step of the vectors at the given places, each with a step size of its own."""
-        order = np.argsort(at, kind="stable")
+        order = _in_order(at, len(vectors))
         at = at[order]
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         own, total = at[first], np.add.reduceat(slope[order], first, axis=0)
@@ -278,6 +293,18 @@ def contexts(classes: np.ndarray, bounds: np.ndarray, at: np.ndarray, edge: int
     return np.stack(columns, axis=1)
 
 
+def neighbours(entries: np.ndarray, bounds: np.ndarray, edge: int) -> np.ndarray:
+    """Entries on both sides of every position of a slice, as `contexts` gives them for some."""
+    sizes = np.diff(bounds)
+    before = np.arange(len(entries)) - np.repeat(bounds[:-1], sizes)
+    after = np.repeat(sizes, sizes) - 1 - before
+    out = np.full((len(entries), 2 * REACH), edge, np.int64)
+    for column, shift in enumerate((*range(-REACH, 0), *range(1, REACH + 1))):
+        inside = np.flatnonzero(before >= -shift if shift < 0 else after >= shift)
+        out[inside, column] = entries[inside + shift]
+    return out
+
+
 _WEIGHTS = [f"w{k}" for k in range(HIDDEN)]
 
 
@@ -322,22 +349,20 @@ def trained(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network
 
 def score_texts(net: Network, words: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words and summed log probability of each text of a slice, without the counts of words beyond the known ones."""
-    n, total, _ = _scored(net, words, data, offsets)
+    n, total, _ = _scored(net, net.sides(words.class_of), words, data, offsets)
     return n, total
 
 
-def _scored(net: Network, words: Vocabulary, data: np.ndarray, offsets: np.ndarray):
+def _scored(net: Network, sides: list[np.ndarray], words: Vocabulary, data: np.ndarray, offsets: np.ndarray):
     """As `score_texts`, with the words beyond the known ones: text, word and how often it occurs there."""
     classes, inside, bounds, hashes, entries = words.parsed(data, offsets)
     total = np.zeros(len(classes) + 1)
+    around = neighbours(entries, bounds, words.entries)
     for i in range(0, len(classes), SCORED):
-        at = np.arange(i, min(i + SCORED, len(classes)))
-        if net.entries:
-            h = net.hidden(contexts(classes, bounds, at), contexts(entries, bounds, at, words.entries))
-            within = net.log_within(h, entries[at], words.tree) + words.log_leaf[entries[at]]
-        else:
-            h, within = net.hidden(contexts(classes, bounds, at)), inside[at]
-        total[at + 1] = net.log_probability(h, classes[at]) + within
+        at = slice(i, min(i + SCORED, len(classes)))
+        h = np.tanh(sum(np.take(side, around[at, k], axis=0) for k, side in enumerate(sides)))
+        within = net.log_within(h, entries[at], words.tree) + words.log_leaf[entries[at]] if net.entries else inside[at]
+        total[at.start + 1:at.stop + 1] = net.log_probability(h, classes[at]) + within
     at = np.flatnonzero(entries >= len(words.words))
     text, word = np.searchsorted(bounds, at, "right") - 1, hashes[at]
     order = np.lexsort((word, text))
@@ -367,10 +392,11 @@ def scores(documents: DataFrame, size: int = VOCABULARY, rounds: int = ROUNDS) -
         """A row per document (word null), and its words beyond the known ones, once each."""
         weights, known = sent.value
         own = Network(weights, known.entries, len(known.tree.bias))
+        sides = own.sides(known.class_of)
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
             for first, last, data, offsets in W.slices(batch.column("text")):
-                n, total, (text, word, times) = _scored(own, known, data, offsets)
+                n, total, (text, word, times) = _scored(own, sides, known, data, offsets)
                 nothing, none = pa.nulls(len(n), pa.int64()), pa.nulls(len(word), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(uid + np.arange(len(n))), batch.column("doc_id").slice(first, last - first), pa.array(n.astype(np.int64)),
