@@ -2,10 +2,14 @@
 
 Documents with equal shingle sets are one class. Classes that share their rarest recurring shingles are
 partitioned around the most typical of them and compared with it, which joins most near copies. What is
-left is searched exactly: classes already connected form groups of at most 64 of like size, and the matrix
-holds the tokens of every group's union with the first place they take in a member. Groups that are not
-connected count the tokens they share up to the places that their sizes leave open; pairs with too few stay
-closed, and the others are opened and compared set by set.
+left is searched exactly: classes of like size that hold the same widespread shingle, or are already
+connected, form groups, and the matrix holds the tokens of every group's union with the first place they
+take in a member. Groups count the tokens they share up to the places that their sizes leave open; pairs
+with too few stay closed, and the others are opened. A class that shares enough with an opened group's union
+is compared with all its members at once.
+
+A shingle that recurs in many classes meets as many groups as its classes fill, not as many as there are
+classes: groups grow with the square root of what they divide, so the pairs of them grow in proportion.
 
 Only the smallest quarter of a set (in an order that puts common shingles last) can be needed to notice
 a partner at 0.75, so only that prefix is shuffled for all documents, and whole sets only for classes with
@@ -28,8 +32,12 @@ from shelfline.llm.recurring import recurring
 
 SHINGLE = 5
 PERCENT = 75
-#: members of a group
-GROUP = 64
+#: members of a group: at least, and at most; between them the square root of the classes that are divided
+GROUP, LARGEST_GROUP = 64, 1024
+#: tokens a group's members hold together, where one of them does not hold more alone
+GROUP_TOKENS = 4_000_000
+#: a shingle in so many components gathers its classes, connected or not
+HUB = 8
 #: queries compared with one copy of a group
 QUERIES = 4096
 #: shingles are counted in stretches of so many; those seen twice in a stretch, this often altogether, are
@@ -72,12 +80,40 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = np.searchsorted(b, a)
-    same = int((b[np.minimum(both, len(b) - 1)] == a).sum())
-    return 100 * same >= percent * (len(a) + len(b) - same)
+class _Group:
+    """The sets of a group's members as one sorted array of tokens with their owners, and what is connected."""
+
+    def __init__(self, members: list[tuple[int, int, np.ndarray]]):
+        self.members = [(cls, comp) for cls, comp, _ in members]
+        self.sizes = np.array([len(x) for _, _, x in members])
+        tokens = np.concatenate([x for _, _, x in members])
+        owners = np.repeat(np.arange(len(members), dtype=np.int32), self.sizes)
+        order = np.argsort(tokens, kind="stable")
+        self.owners = owners[order]
+        self.union, self.starts = np.unique(tokens[order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(tokens))
+        self.parents: dict[int, int] = {}
+
+    def links(self, cls: int, comp: int, tokens: np.ndarray, percent: int) -> Iterator[int]:
+        """Members that the set links with, but for those whose component is connected with its own already."""
+        at = np.minimum(np.searchsorted(self.union, tokens), len(self.union) - 1)
+        at = at[self.union[at] == tokens]
+        if len(at) < least_overlap(len(tokens), percent):
+            return
+        lengths = self.ends[at] - self.starts[at]
+        places = np.repeat(self.starts[at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        same = np.bincount(self.owners[places], minlength=len(self.members))
+        for i in np.flatnonzero(100 * same >= percent * (len(tokens) + self.sizes - same)).tolist():
+            other, at_other = self.members[i]
+            one, two = self._root(comp), self._root(at_other)
+            if one != two:
+                self.parents[one] = two
+                yield other
+
+    def _root(self, comp: int) -> int:
+        while (up := self.parents.get(comp, comp)) != comp:
+            self.parents[comp] = comp = self.parents.get(up, up)
+        return comp
 
 
 def _measure(size: int):
@@ -147,25 +183,21 @@ def _sets(size: int):
 
 
 def _opened(percent: int):
-    """Links of queries to one member of the group; groups whose union cannot hold enough stay closed."""
+    """Links of queries to members of their group, that connect all components between which there are any;
+    a query with too few tokens in the group's union is not compared with its members."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, members, union = None, [], None
+        at, members, group = None, [], None
         for batch in batches:
             a, b = [], []
-            for g, s, q, cls, blob in zip(*(batch.column(c) for c in ("grp", "salt", "query", "cls", "tokens"))):
-                if (g.as_py(), s.as_py()) != group:
-                    group, members, union = (g.as_py(), s.as_py()), [], None
+            for g, s, q, cls, comp, blob in zip(*(batch.column(c) for c in ("grp", "salt", "query", "cls", "comp", "tokens"))):
+                if (g.as_py(), s.as_py()) != at:
+                    at, members, group = (g.as_py(), s.as_py()), [], None
                 tokens = np.frombuffer(blob.as_py(), np.uint64)
                 if not q.as_py():
-                    members.append((cls.as_py(), tokens))
-                    continue
-                if union is None:
-                    union = np.unique(np.concatenate([x for _, x in members]))
-                at = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
-                if int((union[at] == tokens).sum()) < least_overlap(len(tokens), percent):
+                    members.append((cls.as_py(), comp.as_py(), tokens))
                     continue
-                other = next((c for c, x in members if linked(tokens, x, percent)), None)
-                if other is not None:
+                group = group or _Group(members)
+                for other in group.links(cls.as_py(), comp.as_py(), tokens, percent):
                     a.append(cls.as_py())
                     b.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -240,22 +272,23 @@ def _to_typical(docs: DataFrame, near: DataFrame, size: int, percent: int, n_par
     pairs = keyed.join(typical, "key").where(F.col("cls") != F.col("top.cls")).where(
         100 * F.least("n", "top.n") >= percent * F.greatest("n", "top.n"))
     pairs = landed(pairs.select("cls", "row_key", F.col("top.cls").alias("grp"), F.col("top.row_key").alias("g_key")).distinct(), "pairs")
-    members = pairs.select(F.col("grp").alias("cls"), "grp").distinct()
+    members = pairs.select(F.col("grp").alias("cls"), F.col("grp").alias("comp"), "grp").distinct()
     rows = pairs.select("row_key").unionByName(pairs.select(F.col("g_key").alias("row_key")))
-    return _links(pairs.select("cls", "grp"), members, _sets_of(docs, rows, size, "sets-0"), percent, n_parts, "links-0")
+    queries = pairs.select("cls", F.col("cls").alias("comp"), "grp")
+    return _links(queries, members, _sets_of(docs, rows, size, "sets-0"), percent, n_parts, "links-0")
 
 
 def _links(queries: DataFrame, members: DataFrame, sets: DataFrame, percent: int, n_parts: int, name: str) -> DataFrame:
-    """Compares the classes of `queries` (cls, grp) with the `members` (cls, grp) of their groups. A group
-    with many queries is dealt out several times, so no task holds more than a share of them."""
+    """Compares the classes of `queries` (cls, comp, grp) with the `members` (cls, comp, grp) of their groups. A
+    group with many queries is dealt out several times, so no task holds more than a share of them."""
     salts = queries.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("salts"))
-    asked = (queries.join(salts, "grp").select("cls", "grp", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int").alias("salt"))
+    asked = (queries.join(salts, "grp").select("cls", "comp", "grp", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int").alias("salt"))
              .withColumn("query", F.lit(True)))
     held = (members.join(salts, "grp")
-            .select("cls", "grp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+            .select("cls", "comp", "grp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
             .withColumn("query", F.lit(False)))
     rows = asked.unionByName(held).join(sets, "cls").repartition(n_parts, "grp", "salt")
-    return landed(rows.sortWithinPartitions("grp", "salt", "query").select("grp", "salt", "query", "cls", "tokens")
+    return landed(rows.sortWithinPartitions("grp", "salt", "query").select("grp", "salt", "query", "cls", "comp", "tokens")
                   .mapInArrow(_opened(percent), "a bigint, b bigint"), name)
 
 
@@ -281,45 +314,60 @@ def _across(docs: DataFrame, meeting: DataFrame, known: DataFrame, size: int, pe
     """Links between classes that are not yet connected, at least one for every such pair of components
     that has any."""
     placed = meeting.join(known.select("cls", "comp"), "cls")
-    foreign = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    placed = landed(placed.join(foreign.select("token"), "token", "left_semi").select("token", "cls", "place"), "placed")
-    # groups of connected classes of like size, so that a group's bound is close to its members'
-    members = placed.select("cls").distinct().join(known, "cls").withColumn(
-        "gkey", F.xxhash64("comp", F.floor(F.log("n") / F.log(F.lit(BAND)))))
-    counts = members.groupBy("gkey").agg(F.count("*").alias("size"))
-    members = landed(members.join(counts, "gkey").withColumn(
-        "grp", F.xxhash64("gkey", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / GROUP)))).drop("size", "gkey"), "members")
+    foreign = (placed.groupBy("token", "comp").agg(F.lit(1).alias("one")).groupBy("token").agg(F.count("*").alias("comps"))
+               .where("comps > 1"))
+    placed = landed(placed.join(foreign, "token").select("token", "cls", "place", "comps"), "placed")
+    members = landed(_grouped(placed, known), "members")
     groups = members.groupBy("grp").agg(
-        F.min("n").cast("int").alias("lo"), F.max("n").cast("int").alias("hi"), F.first("comp").alias("comp"),
-        F.count("*").cast("int").alias("size"))
+        F.min("n").cast("int").alias("lo"), F.max("n").cast("int").alias("hi"), F.min("comp").alias("from"),
+        F.max("comp").alias("to"), F.count("*").cast("int").alias("size"), F.max("shared").cast("int").alias("most"))
     matrix = landed(placed.join(members.select("cls", "grp"), "cls").groupBy("token", "grp").agg(F.min("place").alias("place"))
                     .join(groups, "grp"), "matrix")
 
     # Partners of x and y tokens share at least m = share / (1 + share) * (x + y) of them. For any k, at least
     # k of those are among the first x - m + k of the one and the first y - m + k of the other; both lie
-    # within the prefixes while k - 1 is at most m - share * max(x, y). The bounds of a group take the place of x and y.
+    # within the prefixes while k - 1 is at most m - share * max(x, y), so either holds as many foreign tokens
+    # in its prefix. The bounds of a group take the place of x and y.
     share = percent / 100
-    left, right = (matrix.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("grp", "place", "lo", "hi", "comp", "size")))
-                   for side in "ab")
+    left, right = (matrix.select("token", *(F.col(c).alias(f"{c}_{side}") for c in (
+        "grp", "place", "lo", "hi", "from", "to", "size", "most"))) for side in "ab")
     lo_a, hi_a, lo_b, hi_b = (F.col(c) for c in ("lo_a", "hi_a", "lo_b", "hi_b"))
-    overlap = (lo_a + lo_b) * (share / (1 + share))
-    more = F.floor(F.greatest(F.lit(0.0), overlap - share * F.greatest(hi_a, hi_b) - 1e-6) * REACH)
+    spare = F.greatest(F.lit(0.0), (lo_a + lo_b) * (share / (1 + share)) - share * F.greatest(hi_a, hi_b) - 1e-6)
+    more = F.floor(spare * REACH)
     met = (left.join(right, "token")
-           .where((F.col("comp_a") < F.col("comp_b")) & (hi_b >= share * lo_a - 1e-6) & (hi_a >= share * lo_b - 1e-6)
+           .where((F.col("grp_a") < F.col("grp_b")) & (F.least("from_a", "from_b") < F.greatest("to_a", "to_b"))
+                  & (hi_b >= share * lo_a - 1e-6) & (hi_a >= share * lo_b - 1e-6) & (F.least("most_a", "most_b") > F.floor(spare))
                   & (F.col("place_a") <= (hi_a - share * lo_b) / (1 + share) + more + 1e-6)
                   & (F.col("place_b") <= (hi_b - share * lo_a) / (1 + share) + more + 1e-6))
            .groupBy("grp_a", "grp_b").agg(F.count("*").alias("shared"), F.first(more).alias("more"),
                                           F.first(F.col("size_a") <= F.col("size_b")).alias("a_asks"))
            .where(F.col("shared") > F.col("more")))
-    # the smaller group asks the larger one
+    # the smaller group asks the larger one, and a group of several components itself
     asking = met.select(F.when(F.col("a_asks"), F.col("grp_a")).otherwise(F.col("grp_b")).alias("asks"),
                         F.when(F.col("a_asks"), F.col("grp_b")).otherwise(F.col("grp_a")).alias("grp"))
-    queries = landed(asking.join(members.select("cls", F.col("grp").alias("asks")), "asks").select("cls", "grp"), "queries")
-    held = landed(members.select("cls", "grp").join(queries.select("grp").distinct(), "grp", "left_semi"), "held")
+    asking = asking.unionByName(groups.where(F.col("from") < F.col("to")).select(F.col("grp").alias("asks"), "grp"))
+    queries = landed(asking.join(members.select("cls", "comp", F.col("grp").alias("asks")), "asks")
+                     .select("cls", "comp", "grp"), "queries")
+    held = landed(members.select("cls", "comp", "grp").join(queries.select("grp").distinct(), "grp", "left_semi"), "held")
     wanted = queries.select("cls").unionByName(held.select("cls")).distinct().join(known.select("cls", "row_key"), "cls")
     return _links(queries, held, _sets_of(docs, wanted, size, "sets-1"), percent, n_parts, "links-2")
 
 
+def _grouped(placed: DataFrame, known: DataFrame) -> DataFrame:
+    """The classes of `placed` with comp, n, shared (their foreign tokens) and grp. Classes of like size, so that
+    a group's bounds are close to its members', which hold the same most widespread shingle or else are
+    connected, are dealt to groups."""
+    hub = F.when(F.col("comps") >= HUB, F.struct("comps", "token"))
+    kinds = placed.groupBy("cls").agg(F.count("*").alias("shared"), F.max(hub)["token"].alias("hub")).join(known, "cls")
+    kinds = kinds.select("cls", "comp", "n", "shared", F.xxhash64(
+        F.col("hub").isNull(), F.coalesce("hub", "comp"), F.floor(F.log("n") / F.log(F.lit(BAND)))).alias("kind"))
+    counts = kinds.groupBy("kind").agg(F.count("*").alias("count"), F.max("n").alias("longest"))
+    each = F.greatest(F.lit(1.0), F.least(F.greatest(F.sqrt("count"), F.lit(GROUP)), F.lit(LARGEST_GROUP),
+                                          GROUP_TOKENS / F.col("longest")))
+    return kinds.join(counts, "kind").select("cls", "comp", "n", "shared", F.xxhash64(
+        "kind", F.pmod(F.xxhash64("cls"), F.ceil(F.col("count") / each))).alias("grp"))
+
+
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Of every component exactly one row stays, with all columns, whatever their names: that of the smallest
     id, of rows that repeat it the one whose id and text have the smallest hash, and of rows equal in both the

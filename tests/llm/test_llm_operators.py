@@ -235,6 +235,32 @@ def test_jaccard(spark, monkeypatch):
     assert jaccard.linked_documents(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("group, largest, tokens", [(4, 8, 10 ** 6), (2, 4, 250)])
+def test_jaccard_of_unconnected_classes_that_share_passages(spark, monkeypatch, group, largest, tokens):
+    for name, value in {"GROUP": group, "LARGEST_GROUP": largest, "GROUP_TOKENS": tokens, "HUB": 2, "LIKELY": 0.9}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    own, passages = phrases(11, 40, 40), phrases(12, 3, 90)
+    texts = []
+    for i, text in enumerate(own):
+        words = text.split()
+        texts.append(" ".join([*words[:3 + i % 9], passages[i % 3], *words[3 + i % 9:8 + 2 * (i % 9)]]))
+    texts += [edited(t, 7 + i, 1 + i % 2) for i, t in enumerate(texts[::3])] + [f"{p} {own[0]}" for p in passages] + texts[:2]
+    sets = [shingles(t) for t in texts]
+    share = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i, j in itertools.combinations(range(len(texts)), 2)}
+    low = reachable(len(texts), [pair for pair, s in share.items() if s >= 0.75])
+    assert sum(0.5 < s < 0.75 for s in share.values()) > 100 and len(set(low)) > 8
+    got = jaccard.linked_documents(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [(r.n_shingles, r.component_id) for r in got] == [(len(s), c) for s, c in zip(sets, low)]
+
+
+def test_group_links_each_component_once():
+    sets = [np.arange(i, i + 40, dtype=np.uint64) for i in range(4)]
+    group = jaccard._Group([(i, i // 2, s) for i, s in enumerate(sets)])
+    assert list(group.links(9, 9, sets[0], 75)) == [0, 2]
+    assert list(group.links(10, 0, sets[1], 75)) == []
+    assert list(group.links(11, 11, np.arange(100, 140, dtype=np.uint64), 75)) == []
+
+
 # --- 6: WARC ---
 
 def test_warc(spark):
