@@ -78,7 +78,8 @@ def movements(sold: DataFrame, stock: DataFrame, replenished: DataFrame, first:
     ]
     every = parts[0].unionByName(parts[1]).unionByName(parts[2])
     totals = ["gross_sold", "net_sold", "replenishment_qty", "initial"]
-    return every.groupBy("product_id", "date").agg(*[F.sum(c).alias(c) for c in totals])
+    # brought together by product once: days are summed and, later, put in order where they are
+    return every.repartition("product_id").groupBy("product_id", "date").agg(*[F.sum(c).alias(c) for c in totals])
 
 
 def later_movements(sold: DataFrame, stock: DataFrame, replenished: DataFrame, state: DataFrame, first: dt.date) -> DataFrame:
@@ -129,6 +130,41 @@ def stock_ledger(moves: DataFrame, state: DataFrame | None = None) -> DataFrame:
     )
 
 
+def stock_runs(ledger: DataFrame, last: dt.date) -> DataFrame:
+    """One row per movement, with the day `until` which its closing stock holds: all that the daily rows up to
+    `last` are made of (`days_of_runs`), at the size of the movements. `until_year` is meant as the folder."""
+    runs = ledger.withColumn("until", F.date_sub(_next_date(last), 1)).where(F.col("date").isNotNull())
+    return runs.select(
+        "product_id", "date", "until", "opening_stock", "net_sold", "replenishment_qty", "closing_stock",
+        F.year("until").alias("until_year"))
+
+
+def days_of_runs(runs: DataFrame, first: dt.date, last: dt.date, since: dt.date | None = None,
+                 until: dt.date | None = None) -> DataFrame:
+    """The inventory rows of `stock_runs` on the days from `since` to `until`, numbered by the calendar from `first`
+    to `last`. Days are made where a run is read: nothing is stored or shuffled but runs."""
+    low, high = F.col("date"), F.col("until")
+    if since is not None:
+        runs = runs.where((F.col("until_year") >= since.year) & (F.col("until") >= F.lit(since)))
+        low = F.greatest(low, F.lit(since))
+    if until is not None:
+        runs = runs.where(F.col("date") <= F.lit(until))
+        high = F.least(high, F.lit(until))
+    return _inventory_rows(runs.withColumn("day", F.explode(F.sequence(low, high))), first, last)
+
+
+def repeated_days(runs: DataFrame) -> DataFrame:
+    """Rows that repeat a product and day (`days`) or a row number (`ids`), from the runs: of each run the days that
+    an earlier one of its product covers. A product without id has no row numbers either, which all are alike."""
+    before = _by_day().rowsBetween(Window.unboundedPreceding, -1)
+    covered = F.coalesce(F.max("until").over(before), F.date_sub("date", 1))
+    again = F.greatest(F.lit(0), F.date_diff(F.least(covered, F.col("until")), F.col("date")) + 1)
+    per_product = runs.select("product_id", (F.date_diff("until", F.col("date")) + 1).alias("n"), again.alias("again")).groupBy(
+        "product_id").agg(F.sum("n").alias("n"), F.sum("again").alias("again"))
+    ids = F.when(F.col("product_id").isNull(), F.col("n") - 1).otherwise(F.col("again"))
+    return per_product.agg(F.coalesce(F.sum("again"), F.lit(0)).alias("days"), F.coalesce(F.sum(ids), F.lit(0)).alias("ids"))
+
+
 def daily_inventory(ledger: DataFrame, first: dt.date, last: dt.date, since: dt.date | None = None) -> DataFrame:
     """One inventory row per product and calendar day; a quiet day carries the last closing stock. Rows are
     numbered by product and day of the calendar from `first` to `last`; `since` tells the day a ledger that goes
@@ -138,7 +174,6 @@ def daily_inventory(ledger: DataFrame, first: dt.date, last: dt.date, since: dt.
     cut at month ends, these pieces are brought together by month, and only then become days: what is
     shuffled grows with products and months, not with days.
     """
-    calendar_days = (last - first).days + 1
     if since is not None:
         ledger = ledger.where(F.col("date") >= F.lit(since))
     until = F.date_sub("next_date", 1)
@@ -147,6 +182,12 @@ def daily_inventory(ledger: DataFrame, first: dt.date, last: dt.date, since: dt.
     placed = pieces.select("*", F.greatest("date", PARTITION).alias("piece_first"),
                            F.least(until, F.last_day(PARTITION)).alias("piece_last")).hint("rebalance", PARTITION)
     filled = placed.withColumn("day", F.explode(F.sequence("piece_first", "piece_last")))
+    return _inventory_rows(filled, first, last, PARTITION)
+
+
+def _inventory_rows(filled: DataFrame, first: dt.date, last: dt.date, *more: str) -> DataFrame:
+    """Rows of movements and the quiet days after them (`day`) as inventory rows."""
+    calendar_days = (last - first).days + 1
     moved = F.col("day") == F.col("date")
     kinds = {f.name: f.dataType for f in FACT_INVENTORY}
     rows = filled.select(
@@ -158,9 +199,9 @@ def daily_inventory(ledger: DataFrame, first: dt.date, last: dt.date, since: dt.
         F.when(moved, F.col("replenishment_qty")).otherwise(0).alias("replenishment_qty"),
         "closing_stock",
         (F.col("closing_stock") < LOW_STOCK).cast("int").alias("is_low_stock"),
-        PARTITION,
+        *more,
     )
-    return rows.select(*[F.col(n).cast(k).alias(n) for n, k in kinds.items()], PARTITION)
+    return rows.select(*[F.col(n).cast(k).alias(n) for n, k in kinds.items()], *more)
 
 
 def allocate_shortage(sales: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -170,11 +211,20 @@ def allocate_shortage(sales: DataFrame, ledger: DataFrame) -> DataFrame:
     price, returns cannot exceed what was sold, and the cut is recorded as lost. Days that fell short
     are few, so the join side is small in practice; its size is measured, not assumed.
     """
-    short = ledger.where(F.col("shortage") > 0).select(
+    joined = sales.join(short_days(ledger), ["product_id", "date"], "left")
+    return cut_to_served(joined).select(sales.columns)
+
+
+def short_days(ledger: DataFrame) -> DataFrame:
+    """The days that fell short, and the share of what was ordered that was served."""
+    return ledger.where(F.col("shortage") > 0).select(
         "product_id", "date",
         ((F.col("gross_sold") - F.col("shortage")).cast("double") / F.nullif("gross_sold", F.lit(0))).alias("_served"),
     )
-    joined = sales.join(short, ["product_id", "date"], "left")
+
+
+def cut_to_served(joined: DataFrame) -> DataFrame:
+    """Sales lines with the share of their day that was served in `_served`, NULL on days that did not fall short."""
     is_short = F.col("_served").isNotNull()
     kept = F.greatest(F.lit(0), F.rint(F.col("sales_qty") * F.col("_served")).cast("int"))
     qty = F.when(is_short, kept).otherwise(F.col("sales_qty"))
@@ -192,5 +242,5 @@ def allocate_shortage(sales: DataFrame, ledger: DataFrame) -> DataFrame:
         "lost_sales_qty": lost.cast("int"),
     }
     return joined.select(*[
-        changed[c].alias(c) if c in changed else F.col(c) for c in sales.columns
+        changed[c].alias(c) if c in changed else F.col(c) for c in joined.columns if c != "_served"
     ])

@@ -20,10 +20,10 @@ from shelfline.star import Star
 
 def last_dates(star: Star) -> DataFrame:
     """Latest date of each fact."""
-    facts = {"fact_sales": star.sales, "fact_inventory": star.inventory}
+    days = {"fact_sales": star.last_sale, "fact_inventory": star.stock_day}
     return _stacked([
-        df.agg(F.max("date").alias("last_date")).select(F.lit(name).alias("tbl"), "last_date")
-        for name, df in facts.items()])
+        star.spark.range(1).select(F.lit(name).alias("tbl"), F.lit(day).cast("date").alias("last_date"))
+        for name, day in days.items()])
 
 
 def row_counts(star: Star) -> DataFrame:
@@ -88,7 +88,7 @@ def stock_history(star: Star, product_id: int) -> DataFrame:
 
 def zero_stock_now(star: Star) -> DataFrame:
     """Products out of stock on the last inventory day."""
-    empty = in_days(star.inventory, star.stock_day, star.stock_day).where(F.col("closing_stock") == 0)
+    empty = star.stock(star.stock_day, star.stock_day).where(F.col("closing_stock") == 0)
     named = empty.join(star.product.select("product_id", "title", "format", "publisher"), "product_id")
     return named.select(
         "product_id", "title", "format", "publisher", "closing_stock", F.col("date").alias("stock_date")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import days_in_month
-from shelfline.functions.measures import cents, exact, measures, money, ratio
+from shelfline.functions.measures import cents, exact, money, monthly, ratio
 from shelfline.plans.daily import mart_daily_pulse, mart_mtd_pulse
 from shelfline.plans.plan_fact import mart_plan_fact, mart_plan_fact_history
 from shelfline.plans.adhoc import plan_closed_summary, stock_history
@@ -15,7 +15,7 @@ from shelfline.plans.sales import (
     mart_subscriptions, mart_subscriptions_monthly,
 )
 from shelfline.plans.stock import mart_inventory_alerts
-from shelfline.schemas import LOW_STOCK, PHYSICAL_FORMATS
+from shelfline.schemas import LOW_STOCK, PARTITION, PHYSICAL_FORMATS
 from shelfline.star import Star
 
 
@@ -207,9 +207,9 @@ def abc_margin_box(star: Star) -> DataFrame:
 
 def abc_table_with_history(star: Star) -> DataFrame:
     """ABC rows with the product's monthly revenue as `yyyy-mm=amount` in month order."""
-    monthly = star.sales.groupBy("product_id", F.date_format("date", "yyyy-MM").alias("month")).agg(
-        *measures("net_revenue"))
-    series = monthly.groupBy("product_id").agg(F.array_sort(F.collect_list(
+    by_month = star.months().groupBy("product_id", F.date_format(PARTITION, "yyyy-MM").alias("month")).agg(
+        *monthly("net_revenue"))
+    series = by_month.groupBy("product_id").agg(F.array_sort(F.collect_list(
         F.concat("month", F.lit("="), F.col("net_revenue").cast("string")))).alias("series"))
     return star.mart(mart_abc).join(series, "product_id").select(
         "product_id", "title", "format", "genre", "abc_class", "total_net_revenue", "product_margin",

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.operators.monthly import order_words, product_months
-from shelfline.schemas import FACTS
+from shelfline.operators import ledger
+from shelfline.schemas import PARTITION
 from shelfline.session import shared_dir
 from shelfline.sources import driver_extracts
 from shelfline.sources.driver_star import DriverTables, read
-from shelfline.sources.store import write_fact, write_months
+from shelfline.sources.store import write_fact
 from shelfline.star import Star
 
 _stars: dict[tuple[str, str], Star] = {}
@@ -30,37 +31,44 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
     app = spark.sparkContext.applicationId
     folder = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
     root = f"{shared_dir(spark)}/shelfline/{app}/{folder}"
-    derived = DriverTables(spark, sf_dir)
+    star = Star(spark)
+    star.work = root
 
-    def written(name: str, build) -> callable:
-        def table() -> DataFrame:
+    made: dict[str, DataFrame] = {}
+
+    def kept(name: str, build: Callable[[], DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
+        """A table written the first time it is asked for."""
+        if name not in made:
             df, path = build(), f"{root}/{name}"
-            if name in FACTS:
+            if name == "fact_sales":
                 write_fact(df, path)
             else:
-                df.write.mode("overwrite").parquet(path)
-            return spark.read.parquet(path)
-        return table
+                df.write.mode("overwrite").partitionBy(*by).parquet(path)
+            made[name] = spark.read.schema(df.schema).parquet(path)
+        return made[name]
+
+    derived = DriverTables(spark, sf_dir, kept)
+
+    def by_month(build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        """Aggregates made product by product stay where they are: sorted by month in each file, they are found by
+        the footers without being shuffled into folders."""
+        return lambda: build().sortWithinPartitions(PARTITION, "product_id")
 
-    star = Star(spark)
-    star.work = root
     star._tables = {
         "dim_date": derived.calendar,
-        "dim_product": written("dim_product", lambda: derived.product),
-        "fact_sales": written("fact_sales", derived.wide_sales),
-        "fact_plan": written("fact_plan", lambda: derived.plan(star)),
-        "stock_ledger": lambda: derived.ledger(star.sales),
-        "fact_inventory": written("fact_inventory", lambda: derived.inventory(star.sales)),
+        "dim_product": lambda: kept("dim_product", lambda: derived.product),
+        "fact_sales": lambda: kept("fact_sales", derived.wide_sales),
+        "fact_plan": lambda: kept("fact_plan", lambda: derived.plan(star)),
+        "sales_span": derived.span,
+        "narrow_sales": derived.narrow_sales,
+        "sales_months": lambda: kept("sales_months", by_month(derived.months)),
+        "order_months": lambda: kept("order_months", by_month(derived.order_months)),
+        "stock_ledger": derived.stock_ledger,
+        "stock_runs": lambda: kept("stock_runs", derived.stock_runs, ("until_year",)),
+        "fact_inventory": lambda: star.inventory_days(None, None),
     }
-    def maintained(name: str, build) -> callable:
-        """Aggregates of the written lines, kept by month like the facts."""
-        def table() -> DataFrame:
-            write_months(build(star["fact_sales"]), f"{root}/{name}")
-            return spark.read.parquet(f"{root}/{name}")
-        return table
-
-    star._tables |= {"sales_months": maintained("sales_months", product_months),
-                     "order_months": maintained("order_months", order_words)}
+    star.inventory_days = lambda since, until: ledger.days_of_runs(
+        star["stock_runs"], derived.first, derived.last, since, until)
 
     def extract(name: str, build) -> callable:
         """A raw extract, landed once: row positions are then stored values, the same in every pass."""
