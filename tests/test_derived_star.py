@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfline.operators import ledger
 from shelfline.operators.monthly import described_months, described_words, order_words, product_months, with_month
-from shelfline.plans import sales, stock
+from shelfline.plans import loading, sales, stock, validators
 from shelfline.schemas import LINE_ATTRIBUTES
 from shelfline.sources.warehouse import open_star
 
@@ -76,3 +76,16 @@ def test_repeated_days_of_runs(spark):
     rows = ledger.days_of_runs(runs, day(0), day(9))
     expected = [rows.groupBy(*keys).count().agg(F.sum(F.col("count") - 1)).first()[0] for keys in (["product_id", "date"], ["inventory_id"])]
     assert list(ledger.repeated_days(runs).first()) == expected
+
+
+def test_rules_run_in_methods_the_jvm_compiles(spark, tmp_path, monkeypatch):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before, seen = spark.conf.get(name), []
+    write = loading.written
+    monkeypatch.setattr(loading, "written", lambda df, path: (seen.append(int(spark.conf.get(name))), write(df, path))[1])
+    raw = spark.createDataFrame([("2024-01-01", "2024", "1", "1", "0", "0")], "date string, year string, month string, quarter string, "
+                                "is_weekend string, is_holiday_ru string")
+    checked = loading.settle(validators.validate_dim_date(raw, loading.staged(f"{tmp_path}/stage")), f"{tmp_path}/checked")
+    assert checked.clean.count() == 1
+    assert len(seen) == 3 and max(seen) <= 8000
+    assert spark.conf.get(name) == before
