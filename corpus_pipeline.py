@@ -12,26 +12,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.llm import decontaminate, jaccard, mixing, quality, secrets
-from shelfline.llm.common import landed, table
+from shelfline.llm.common import landed, small_batches, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
+    small_batches(spark)
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
+    small_batches(spark)
     return jaccard.one_of_each(docs)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a window of a benchmark item occurs go."""
+    small_batches(spark)
     return decontaminate.without_passages(docs, table(spark, sf_dir, "benchmark"))
 
 
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the text; every document stays."""
+    small_batches(spark)
     return secrets.redacted(docs)
 
 

@@ -4,6 +4,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +114,22 @@ def test_payloads_in_the_charset_they_name(spark):
         assert f"payload-length: {len(blocks[i].partition(b'\r\n\r\n')[2])}\r\n" in got[i, "metadata"]
     assert got[4, "conversion"] == "" and "payload-length: 0" in got[4, "metadata"]
     assert frame.where(F.length("record_id") > 5).transform(warc.derivatives).count() == 0
+
+
+def test_texts_come_a_few_megabytes_at_a_time(spark, tmp_path):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+        docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.expr("repeat('some words ', 400)").alias("text"))
+        corpus_pipeline.good_quality(spark, docs, str(tmp_path))
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+        assert max(r.n for r in docs.coalesce(1).mapInArrow(sizes, "n bigint").collect()) < 5 << 20
+        spark.conf.set(name, str(1 << 20))
+        corpus_pipeline.no_secrets(spark, docs.limit(1), str(tmp_path))
+        assert spark.conf.get(name) == str(1 << 20)
+    finally:
+        spark.conf.set(name, before)
