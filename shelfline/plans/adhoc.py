@@ -27,11 +27,12 @@ def last_dates(star: Star) -> DataFrame:
 
 
 def row_counts(star: Star) -> DataFrame:
-    """Rows per table; Parquet footers answer it without reading a column."""
-    tables = {"dim_product": star.product, "fact_sales": star.sales,
-              "fact_inventory": star.inventory, "fact_plan": star.plan}
-    return _stacked([
-        df.agg(F.count("*").alias("n")).select(F.lit(name).alias("tbl"), "n") for name, df in tables.items()])
+    """Rows per table; Parquet footers answer it without reading a column, or the months and runs that tables are
+    derived by."""
+    count = F.count("*").alias("n")
+    counts = {"dim_product": star.product.agg(count), "fact_sales": star.sales_rows(),
+              "fact_inventory": star.stock_rows(), "fact_plan": star.plan.agg(count)}
+    return _stacked([df.select(F.lit(name).alias("tbl"), "n") for name, df in counts.items()])
 
 
 def _stacked(frames: list[DataFrame]) -> DataFrame:
@@ -43,7 +44,7 @@ def _stacked(frames: list[DataFrame]) -> DataFrame:
 
 def channel_daily_30d(star: Star, days: int = 30) -> DataFrame:
     """Orders and revenue per day and channel, from `days` before the report day."""
-    lines = in_days(star.sales, star.today - dt.timedelta(days=days), None)
+    lines = star.few_lines(star.today - dt.timedelta(days=days), None, "channel")
     return lines.groupBy("date", "channel").agg(*measures("orders", "net_revenue")).orderBy(
         F.desc("date"), F.desc("net_revenue"), "channel")
 

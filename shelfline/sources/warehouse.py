@@ -13,7 +13,6 @@ from shelfline.schemas import PARTITION
 from shelfline.session import shared_dir
 from shelfline.sources import driver_extracts
 from shelfline.sources.driver_star import DriverTables, read
-from shelfline.sources.store import write_fact
 from shelfline.star import Star
 
 _stars: dict[tuple[str, str], Star] = {}
@@ -40,27 +39,25 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
         """A table written the first time it is asked for."""
         if name not in made:
             df, path = build(), f"{root}/{name}"
-            if name == "fact_sales":
-                write_fact(df, path)
-            else:
-                df.write.mode("overwrite").partitionBy(*by).parquet(path)
+            df.write.mode("overwrite").partitionBy(*by).parquet(path)
             made[name] = spark.read.schema(df.schema).parquet(path)
         return made[name]
 
     derived = DriverTables(spark, sf_dir, kept)
 
-    def by_month(build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
-        """Aggregates made product by product stay where they are: sorted by month in each file, they are found by
+    def by_month(build: Callable[[], DataFrame], then: str = "product_id") -> Callable[[], DataFrame]:
+        """Rows made product by product stay where they are: sorted by month in each file, they are found by
         the footers without being shuffled into folders."""
-        return lambda: build().sortWithinPartitions(PARTITION, "product_id")
+        return lambda: build().sortWithinPartitions(PARTITION, then)
 
     star._tables = {
         "dim_date": derived.calendar,
         "dim_product": lambda: kept("dim_product", lambda: derived.product),
-        "fact_sales": lambda: kept("fact_sales", derived.wide_sales),
+        "fact_sales": lambda: kept("fact_sales", by_month(derived.wide_sales, "date")),
         "fact_plan": lambda: kept("fact_plan", lambda: derived.plan(star)),
         "sales_span": derived.span,
         "narrow_sales": derived.narrow_sales,
+        "channel_sales": lambda: derived.narrow_sales(channel=True),
         "sales_months": lambda: kept("sales_months", by_month(derived.months)),
         "order_months": lambda: kept("order_months", by_month(derived.order_months)),
         "stock_ledger": derived.stock_ledger,

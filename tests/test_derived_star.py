@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfline.operators import ledger
 from shelfline.operators.monthly import described_months, described_words, order_words, product_months, with_month
-from shelfline.plans import loading, sales, stock, validators
+from shelfline.plans import adhoc, daily, loading, refresh, sales, stock, validators
 from shelfline.schemas import LINE_ATTRIBUTES
 from shelfline.sources.warehouse import open_star
 
@@ -89,3 +89,23 @@ def test_rules_run_in_methods_the_jvm_compiles(spark, tmp_path, monkeypatch):
     assert checked.clean.count() == 1
     assert len(seen) == 3 and max(seen) <= 8000
     assert spark.conf.get(name) == before
+
+
+def test_reports_of_a_few_days_and_counts_do_not_build_the_sales(spark, tmp_path):
+    star = _tables(spark, tmp_path)
+    status = refresh.refresh_all_marts(star, str(tmp_path / "marts")).collect()
+    assert all(r.ok for r in status)
+    few = {f: _rows(f(star)) for f in (
+        daily.mart_daily_pulse, daily.mart_daily_channels, daily.mart_mtd_pulse, daily.mart_daily_revenue_mtd,
+        daily.mart_daily_top5, adhoc.channel_daily_30d, adhoc.row_counts)}
+    assert "fact_sales" not in os.listdir(star.work)
+    # the stored table has neither been brought together by month nor read for them, and gives the same
+    assert star["fact_sales"].count() == {r.tbl: r.n for r in adhoc.row_counts(star).collect()}["fact_sales"]
+    assert star.inventory.count() == {r.tbl: r.n for r in adhoc.row_counts(star).collect()}["fact_inventory"]
+    assert few == {f: _rows(f(star)) for f in few}
+
+
+def test_rows_up_to_a_day_are_counted_without_them(spark, tmp_path):
+    star = _tables(spark, tmp_path).at(dt.date(2024, 3, 9))
+    assert star.stock_rows().first().n == star.inventory.count()
+    assert star.sales_rows().first().n == star.sales.count() == star.sales_rows().first().n
