@@ -204,8 +204,8 @@ def _opened(percent: int):
     return run
 
 
-def _roots(links: DataFrame) -> DataFrame:
-    return components(links).select(F.col("id").alias("cls"), F.col("component").alias("comp"))
+def _roots(links: DataFrame, rows: int) -> DataFrame:
+    return components(links, rows=rows).select(F.col("id").alias("cls"), F.col("component").alias("comp"))
 
 
 def _between(links: DataFrame, known: DataFrame) -> DataFrame:
@@ -245,15 +245,17 @@ def _placed(documents: DataFrame, size: int, percent: int) -> DataFrame:
     met = meeting.groupBy("cls").agg(
         F.slice(F.array_sort(F.collect_list(F.struct("place", "token"))), 1, KEYS)["token"].alias("keys"),
         F.count("*").alias("shared"))
-    near = landed(met.join(classes, "cls"), "near")
+    n_meeting = meeting.count()
+    near = landed(met.join(classes, "cls"), "near", rows=n_meeting + measured.count())
     links = _to_typical(docs, near, size, percent, n_parts)
-    known = near.join(_roots(links), "cls", "left").select(
+    n_near = near.count()
+    known = near.join(_roots(links, links.count()), "cls", "left").select(
         "cls", "n", "row_key", F.coalesce("comp", "cls").alias("comp"))
-    known = landed(known, "known")
+    known = landed(known, "known", rows=n_near)
 
-    more = _across(docs, meeting, known, size, percent, n_parts)
+    more = _across(docs, meeting, known, size, percent, n_parts, n_meeting)
     # the later links only join components already found, which stand for their classes
-    merged = _roots(_between(more, known)).select(F.col("cls").alias("comp"), F.col("comp").alias("whole"))
+    merged = _roots(_between(more, known), more.count() + n_near).select(F.col("cls").alias("comp"), F.col("comp").alias("whole"))
     comp = known.select("cls", "comp").join(merged, "comp", "left").select("cls", F.coalesce("whole", "comp").alias("comp"))
     placed = classes.select("cls", "head").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = placed.groupBy("comp").agg(F.min("head").alias("least"))
@@ -271,11 +273,12 @@ def _to_typical(docs: DataFrame, near: DataFrame, size: int, percent: int, n_par
     typical = keyed.groupBy("key").agg(F.max(F.struct("share", "cls", "n", "row_key")).alias("top"))
     pairs = keyed.join(typical, "key").where(F.col("cls") != F.col("top.cls")).where(
         100 * F.least("n", "top.n") >= percent * F.greatest("n", "top.n"))
-    pairs = landed(pairs.select("cls", "row_key", F.col("top.cls").alias("grp"), F.col("top.row_key").alias("g_key")).distinct(), "pairs")
+    pairs = landed(pairs.select("cls", "row_key", F.col("top.cls").alias("grp"), F.col("top.row_key").alias("g_key")).distinct(), "pairs",
+                   rows=KEYS * near.count())
     members = pairs.select(F.col("grp").alias("cls"), F.col("grp").alias("comp"), "grp").distinct()
     rows = pairs.select("row_key").unionByName(pairs.select(F.col("g_key").alias("row_key")))
     queries = pairs.select("cls", F.col("cls").alias("comp"), "grp")
-    return _links(queries, members, _sets_of(docs, rows, size, "sets-0"), percent, n_parts, "links-0")
+    return _links(queries, members, _sets_of(docs, rows, size), percent, n_parts, "links-0")
 
 
 def _links(queries: DataFrame, members: DataFrame, sets: DataFrame, percent: int, n_parts: int, name: str) -> DataFrame:
@@ -292,12 +295,12 @@ def _links(queries: DataFrame, members: DataFrame, sets: DataFrame, percent: int
                   .mapInArrow(_opened(percent), "a bigint, b bigint"), name)
 
 
-def _sets_of(docs: DataFrame, classes: DataFrame, size: int, name: str) -> DataFrame:
+def _sets_of(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """(cls, tokens) of the given classes, from the text of the row that stands for each."""
     wanted = classes.select("row_key").distinct()
     texts = sieved(docs.select("row_key", "text"), wanted, "row_key")
     texts = texts.join(wanted.hint("shuffle_hash"), "row_key", "left_semi").select("text")
-    return landed(texts.mapInArrow(_sets(size), "cls bigint, tokens binary"), name)
+    return texts.mapInArrow(_sets(size), "cls bigint, tokens binary")
 
 
 def _common_shingles(measured: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -310,19 +313,22 @@ def _common_shingles(measured: DataFrame) -> tuple[np.ndarray, np.ndarray, np.nd
     return bitmap(counted, "token", COMMON_BITS), tokens[order], np.arange(2, len(tokens) + 2, dtype=np.int32)[order]
 
 
-def _across(docs: DataFrame, meeting: DataFrame, known: DataFrame, size: int, percent: int, n_parts: int) -> DataFrame:
+def _across(docs: DataFrame, meeting: DataFrame, known: DataFrame, size: int, percent: int, n_parts: int,
+            n_meeting: int) -> DataFrame:
     """Links between classes that are not yet connected, at least one for every such pair of components
     that has any."""
     placed = meeting.join(known.select("cls", "comp"), "cls")
     foreign = (placed.groupBy("token", "comp").agg(F.lit(1).alias("one")).groupBy("token").agg(F.count("*").alias("comps"))
                .where("comps > 1"))
-    placed = landed(placed.join(foreign, "token").select("token", "cls", "place", "comps"), "placed")
-    members = landed(_grouped(placed, known), "members")
+    placed = landed(placed.join(foreign, "token").select("token", "cls", "place", "comps"), "placed",
+                    rows=n_meeting)
+    n_placed = placed.count()
+    members = landed(_grouped(placed, known), "members", rows=n_placed)
     groups = members.groupBy("grp").agg(
         F.min("n").cast("int").alias("lo"), F.max("n").cast("int").alias("hi"), F.min("comp").alias("from"),
         F.max("comp").alias("to"), F.count("*").cast("int").alias("size"), F.max("shared").cast("int").alias("most"))
     matrix = landed(placed.join(members.select("cls", "grp"), "cls").groupBy("token", "grp").agg(F.min("place").alias("place"))
-                    .join(groups, "grp"), "matrix")
+                    .join(groups, "grp"), "matrix", rows=n_placed)
 
     # Partners of x and y tokens share at least m = share / (1 + share) * (x + y) of them. For any k, at least
     # k of those are among the first x - m + k of the one and the first y - m + k of the other; both lie
@@ -348,9 +354,10 @@ def _across(docs: DataFrame, meeting: DataFrame, known: DataFrame, size: int, pe
     asking = asking.unionByName(groups.where(F.col("from") < F.col("to")).select(F.col("grp").alias("asks"), "grp"))
     queries = landed(asking.join(members.select("cls", "comp", F.col("grp").alias("asks")), "asks")
                      .select("cls", "comp", "grp"), "queries")
-    held = landed(members.select("cls", "comp", "grp").join(queries.select("grp").distinct(), "grp", "left_semi"), "held")
+    held = landed(members.select("cls", "comp", "grp").join(queries.select("grp").distinct(), "grp", "left_semi"), "held",
+                  rows=n_placed)
     wanted = queries.select("cls").unionByName(held.select("cls")).distinct().join(known.select("cls", "row_key"), "cls")
-    return _links(queries, held, _sets_of(docs, wanted, size, "sets-1"), percent, n_parts, "links-2")
+    return _links(queries, held, _sets_of(docs, wanted, size), percent, n_parts, "links-2")
 
 
 def _grouped(placed: DataFrame, known: DataFrame) -> DataFrame:
