@@ -61,10 +61,12 @@ def _fill_days(df: DataFrame) -> DataFrame:
     return df.withColumn("day", F.explode(days))
 
 
-def movements(sold: DataFrame, stock: DataFrame, replenished: DataFrame, first: dt.date) -> DataFrame:
+def movements(sold: DataFrame, stock: DataFrame, replenished: DataFrame, first: dt.date,
+              tasks: int | None = None) -> DataFrame:
     """One row per product and day on which stock moved, plus each product's first day.
 
-    `stock` gives product_id and stock_initial, `replenished` product_id, date, replenishment_qty.
+    `stock` gives product_id and stock_initial, `replenished` product_id, date, replenishment_qty. Products are dealt
+    among that many `tasks`, or as many as the session chooses.
     """
     zero = F.lit(0).cast("bigint")
     parts = [
@@ -79,7 +81,8 @@ def movements(sold: DataFrame, stock: DataFrame, replenished: DataFrame, first:
     every = parts[0].unionByName(parts[1]).unionByName(parts[2])
     totals = ["gross_sold", "net_sold", "replenishment_qty", "initial"]
     # brought together by product once: days are summed and, later, put in order where they are
-    return every.repartition("product_id").groupBy("product_id", "date").agg(*[F.sum(c).alias(c) for c in totals])
+    dealt = every.repartition(tasks, "product_id") if tasks else every.repartition("product_id")
+    return dealt.groupBy("product_id", "date").agg(*[F.sum(c).alias(c) for c in totals])
 
 
 def later_movements(sold: DataFrame, stock: DataFrame, replenished: DataFrame, state: DataFrame, first: dt.date) -> DataFrame:

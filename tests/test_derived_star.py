@@ -9,6 +9,7 @@ from shelfline.operators import ledger
 from shelfline.operators.monthly import described_months, described_words, order_words, product_months, with_month
 from shelfline.plans import adhoc, daily, loading, refresh, sales, stock, validators
 from shelfline.schemas import LINE_ATTRIBUTES
+from shelfline.sources import driver_star
 from shelfline.sources.warehouse import open_star
 
 START = dt.date(2024, 1, 1)
@@ -109,3 +110,17 @@ def test_rows_up_to_a_day_are_counted_without_them(spark, tmp_path):
     star = _tables(spark, tmp_path).at(dt.date(2024, 3, 9))
     assert star.stock_rows().first().n == star.inventory.count()
     assert star.sales_rows().first().n == star.sales.count() == star.sales_rows().first().n
+
+
+def test_lines_of_a_task_are_bounded(spark, tmp_path, monkeypatch):
+    assert [driver_star.line_tasks(n, 8) for n in (0, 400, 30_000, 600_000, 36_000_000)] == [1, 1, 3, 8, 72]
+    whole = _tables(spark, tmp_path / "whole")
+    monkeypatch.setattr(driver_star, "TASK_LINES", 50)
+    dealt = _tables(spark, tmp_path / "dealt")
+    for name in ("sales_months", "order_months", "stock_runs"):
+        assert _rows(dealt[name]) == _rows(whole[name])
+        # 402 lines in nine tasks: what is sorted and written together is what one of them was dealt, however little
+        written = spark.read.parquet(f"{dealt.work}/{name}").withColumn("file", F.input_file_name())
+        task = F.pmod(F.hash("product_id"), F.lit(9))
+        assert written.groupBy("file").agg(F.count_distinct(task).alias("n")).agg(F.max("n")).first()[0] == 1
+        assert written.select(task).distinct().count() > 1
