@@ -19,6 +19,7 @@ import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ MASKED, ROUNDS, BATCH, RATE = 0.15, 2, 512, 0.5
 SPARSE_RATE, _FIRST = 0.1, 0.01
 #: positions scored at a time
 SCORED = 16_384
+#: bits of a hash by which a known word is looked up
+_SLOT = 17
 _EDGE = CLASSES  # the context class beyond either end of a document
 
 
@@ -61,12 +64,18 @@ class Tree:
     signs: np.ndarray
     bias: np.ndarray  # by node
 
-    def ways(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Nodes and signs of the ways to the entries, one after the other, and where each starts."""
-        lengths = self.starts[entry + 1] - self.starts[entry]
+    @cached_property
+    def leans(self) -> np.ndarray:
+        """Log odds of each turn of the ways where nothing is known of the context."""
+        return self.signs * self.bias[self.nodes]
+
+    def ways(self, entry: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Nodes, signs and leans of the ways to the entries, one after the other, and which of the entries each is of."""
+        start = np.take(self.starts, entry)
+        lengths = np.take(self.starts, entry + 1) - start
         begin = np.cumsum(lengths) - lengths
-        at = np.arange(int(lengths.sum())) + np.repeat(self.starts[entry] - begin, lengths)
-        return self.nodes[at], self.signs[at], np.repeat(np.arange(len(entry)), lengths)
+        at = np.arange(int(lengths.sum())) + np.repeat(start - begin, lengths)
+        return *(np.take(x, at) for x in (self.nodes, self.signs, self.leans)), np.repeat(np.arange(len(entry)), lengths)
 
 
 def huffman(classes: np.ndarray, mass: np.ndarray) -> Tree:
@@ -110,25 +119,48 @@ class Vocabulary:
     def entries(self) -> int:
         return len(self.log_leaf)
 
-    @property
+    @cached_property
     def class_of(self) -> np.ndarray:
         """Class of every entry, and of the edge of a text, which comes after them."""
         buckets = np.repeat(np.arange(SINGLE + BY_FREQUENCY, CLASSES), BUCKETS)
         return np.concatenate([self.classes, buckets, [_EDGE]])
 
+    @cached_property
+    def _slots(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first known word with each beginning of a hash, and whether there are more."""
+        slots, first, n = np.unique(self.words >> np.uint64(64 - _SLOT), return_index=True, return_counts=True)
+        place, shared = np.zeros(1 << _SLOT, np.int32), np.zeros(1 << _SLOT, bool)
+        place[slots], shared[slots] = first, n > 1
+        return place, shared
+
     def parsed(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         """As `encode`, with the hash of every word and its entry; those from `len(self.words)` on are buckets."""
+        bounds, hashes, entries = self.entered(data, offsets)
+        return self.class_of[entries], self.inside(entries), bounds, hashes, entries
+
+    def inside(self, entries: np.ndarray) -> np.ndarray:
+        """Log probability of entries within their classes by frequency alone."""
+        return np.concatenate([self.log_known, self.log_unknown[self.class_of[len(self.words):-1]]])[entries]
+
+    def entered(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number of words before each text, and the hash and the entry of every word."""
         lower = W.LOWER[data]
         starts, ends, bounds = W.words(lower, offsets, W.WORDY)
         hashes = W.span_hash(W.prefix_sums(lower), starts, ends)
-        unknown = length_class(ends - starts)
-        bucket = len(self.words) + (unknown - SINGLE - BY_FREQUENCY) * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
-        if not len(self.words):
-            return unknown, self.log_unknown[unknown], bounds, hashes, bucket
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        known = self.words[at] == hashes
-        return (np.where(known, self.classes[at], unknown),
-                np.where(known, self.log_known[at], self.log_unknown[unknown]), bounds, hashes, np.where(known, at, bucket))
+        if len(self.words):
+            place, shared = self._slots
+            slot = (hashes >> np.uint64(64 - _SLOT)).view(np.int64)
+            entries = np.take(place, slot).astype(np.int64)
+            other = np.flatnonzero(np.take(self.words, entries) != hashes)
+            more = other[np.take(shared, slot[other])]
+            at = np.minimum(np.searchsorted(self.words, hashes[more]), len(self.words) - 1)
+            entries[more] = at
+            other = other[np.take(self.words, entries[other]) != hashes[other]]
+        else:
+            entries, other = np.zeros(len(hashes), np.int64), np.arange(len(hashes))
+        beyond = length_class(ends[other] - starts[other]) - SINGLE - BY_FREQUENCY
+        entries[other] = len(self.words) + beyond * BUCKETS + (hashes[other] % np.uint64(BUCKETS)).astype(np.int64)
+        return bounds, hashes, entries
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -152,8 +184,11 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 def _counted(held: list) -> pa.RecordBatch:
     hashes, lengths = (np.concatenate(x) for x in zip(*held))
-    words, first, n = np.unique(hashes, return_index=True, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(lengths[first].astype(np.int32)), pa.array(n.astype(np.int64))],
+    order = np.argsort(hashes)  # a word has one length, whichever of its places comes first
+    words = hashes[order]
+    first = _firsts(words)
+    n = np.diff(first, append=len(words))
+    return pa.RecordBatch.from_arrays([pa.array(words[first].view(np.int64)), pa.array(lengths[order[first]].astype(np.int32)), pa.array(n.astype(np.int64))],
                                       names=["word", "length", "n"])
 
 
@@ -196,6 +231,36 @@ def _in_order(at: np.ndarray, places: int) -> np.ndarray:
     return np.argsort(at.astype(np.uint16) if places <= 1 << 16 else at, kind="stable")
 
 
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where each value of an ordered array begins."""
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def _sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows from each place to the next; most are a single row."""
+    sizes = np.diff(first, append=len(rows))
+    total, several = np.take(rows, first, axis=0), sizes > 1
+    if several.any():
+        rows = np.take(rows, np.flatnonzero(np.repeat(several, sizes)), axis=0)
+        sizes = sizes[several]
+        total[several] = np.add.reduceat(rows, np.cumsum(sizes) - sizes, axis=0)
+    return total
+
+
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", a, b)
+
+
+def _line_sums(z: np.ndarray) -> np.ndarray:
+    """Sums over the first axis in the order in which numpy adds up a row of `CLASSES`."""
+    z = z.reshape(-1, 8, z.shape[1]).sum(axis=0)
+    z = z[::2] + z[1::2]
+    z = z[::2] + z[1::2]
+    return z[0] + z[1]
+
+
 class Network:
     """Sum of embeddings by position, tanh, a softmax over classes, and a logistic unit at every branch.
 
@@ -215,9 +280,8 @@ class Network:
         cuts = np.cumsum(sizes)[:-1]
         self.embed, self.out, self.bias, self.words, self.nodes = (
             x.reshape(s) for x, s in zip(np.split(self.weights, cuts), shapes))
-        # squared steps, and how often each vector was met
-        self.squares = [np.full(x.shape[:-1], _FIRST, np.float32) for x in (self.words, self.nodes)]
-        self.met = [np.zeros(x.shape[:-1], np.int64) for x in (self.words, self.nodes)]
+        # squared steps of the vectors of words, one side after the other, and of branches
+        self.squares = [np.full(x.size // HIDDEN, _FIRST, np.float32) for x in (self.words, self.nodes)]
 
     def hidden(self, context: np.ndarray, around: np.ndarray | None = None) -> np.ndarray:
         """From the classes on both sides, and the entries."""
@@ -234,75 +298,84 @@ class Network:
         return [embed[class_of] + (words if self.entries else 0) for embed, words in zip(self.embed, self.words)]
 
     def log_probability(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
-        z = h @ self.out + self.bias
-        z -= z.max(axis=1, keepdims=True)
-        return z[np.arange(len(target)), target] - np.log(np.exp(z).sum(axis=1))
+        z = self.out.T @ h.T + self.bias[:, None]  # a class a line
+        z -= z.max(axis=0)
+        own = z[target, np.arange(len(target))]
+        return own - np.log(_line_sums(np.exp(z, out=z)))
 
     def log_within(self, h: np.ndarray, entry: np.ndarray, tree: Tree) -> np.ndarray:
-        """Log probability of entries within their classes."""
-        node, sign, owner = tree.ways(entry)
-        z = np.einsum("ij,ij->i", np.take(self.nodes, node, axis=0), np.take(h, owner, axis=0)) + tree.bias[node]
-        return np.bincount(owner, _sigmoid_log(sign * z), len(entry))
-
-    def step(self, context: np.ndarray, target: np.ndarray, around: np.ndarray, entry: np.ndarray, tree: Tree, rate: float = RATE) -> None:
-        n = len(target)
+        """Log probability of entries within their classes: all go down their ways in step, the longest ways first."""
+        start = np.take(tree.starts, entry)
+        lengths = np.take(tree.starts, entry + 1) - start
+        order = _in_order(lengths.max(initial=0) - lengths, len(tree.starts))
+        h, start, total = np.take(h, order, axis=0), start[order], np.zeros(len(entry))
+        left = len(entry) - np.cumsum(np.bincount(lengths))  # those that go on after so many turns
+        for turn, n in enumerate(left[:-1].tolist()):
+            way = start[:n] + turn
+            x = _dots(np.take(self.nodes, np.take(tree.nodes, way), axis=0), h[:n])
+            total[:n] += _sigmoid_log(np.take(tree.signs, way) * x + np.take(tree.leans, way))
+        out = np.empty(len(entry))
+        out[order] = total
+        return out
+
+    def step(self, context: np.ndarray, target: np.ndarray, around: np.ndarray, ways: tuple[np.ndarray, ...],
+             rate: float = RATE) -> None:
+        """One step from the classes and entries on both sides, the classes between, and the `Tree.ways` to the entries there."""
+        n, sides = context.shape
         h = self.hidden(context, around)
-        z = h @ self.out + self.bias
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(n), target] -= 1
+        p = self.out.T @ h.T + self.bias[:, None]  # a class a line
+        p -= p.max(axis=0)
+        np.exp(p, out=p)
+        p /= _line_sums(p)
+        p[target, np.arange(n)] -= 1
         p /= n
+        p = p.T.copy()
         back = p @ self.out.T
-        node, sign, owner = tree.ways(entry)
+        node, sign, lean, owner = ways
         if len(node):
             at, ours = np.take(self.nodes, node, axis=0), np.take(h, owner, axis=0)
-            slope = -sign * np.exp(_sigmoid_log(-sign * (np.einsum("ij,ij->i", at, ours) + tree.bias[node])))
-            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            back[owner[first]] += np.add.reduceat(slope[:, None] * at, first, axis=0) / n
-            self._sparse(self.nodes, self.squares[1], self.met[1], node, slope[:, None] * ours)
+            x = sign * _dots(at, ours) + lean
+            slope = (-sign * np.exp(_sigmoid_log(-x)))[:, None]
+            first = _firsts(owner)
+            at *= slope
+            back[owner[first]] += np.add.reduceat(at, first, axis=0) / n
+            ours *= slope
+            self._sparse(self.nodes, self.squares[1], node, ours)
         back *= 1 - h * h
         self.out -= rate * (h.T @ p)
         self.bias -= rate * p.sum(axis=0)
-        for i in range(context.shape[1]):
-            order = _in_order(context[:, i], CLASSES + 1)
-            own, first = np.unique(context[order, i], return_index=True)
-            self.embed[i][own] -= rate * np.add.reduceat(back[order], first, axis=0)
-            self._sparse(self.words[i], self.squares[0][i], self.met[0][i], around[:, i], back * n)
+        # all sides at once: the vectors of one follow those of the other
+        place = (context + np.arange(sides) * (CLASSES + 1)).T.ravel()
+        order = _in_order(place, sides * (CLASSES + 1))
+        place = place[order]
+        first = _firsts(place)
+        self.embed.reshape(-1, HIDDEN)[place[first]] -= rate * _sums(np.take(back, order % n, axis=0), first)
+        place = (around + np.arange(sides) * self.words.shape[1]).T.ravel()
+        self._sparse(self.words.reshape(-1, HIDDEN), self.squares[0], place, back * n)
 
     @staticmethod
-    def _sparse(vectors: np.ndarray, squares: np.ndarray, met: np.ndarray, at: np.ndarray, slope: np.ndarray) -> None:
-        """A step of the vectors at the given places, each with a step size of its own."""
+    def _sparse(vectors: np.ndarray, squares: np.ndarray, at: np.ndarray, slope: np.ndarray) -> None:
+        """A step of the vectors at the given places, each with a step size of its own; slopes are used again
+        from the first on where there are more places."""
         order = _in_order(at, len(vectors))
         at = at[order]
-        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        own, total = at[first], np.add.reduceat(slope[order], first, axis=0)
-        squares[own] += np.einsum("ij,ij->i", total, total) / total.shape[1]
-        vectors[own] -= SPARSE_RATE * total / np.sqrt(squares[own])[:, None]
-        met[own] += np.diff(np.r_[first, len(at)])
-
-
-def contexts(classes: np.ndarray, bounds: np.ndarray, at: np.ndarray, edge: int = _EDGE) -> np.ndarray:
-    """Classes (or entries) on both sides of the given positions, with a mark for what lies outside the document."""
-    padded = np.concatenate([np.full(REACH, edge), classes, np.full(REACH, edge)])
-    text = np.searchsorted(bounds, at, "right") - 1
-    lo, hi = bounds[text], bounds[text + 1]
-    columns = []
-    for shift in (*range(-REACH, 0), *range(1, REACH + 1)):
-        there = at + shift
-        columns.append(np.where((there >= lo) & (there < hi), padded[there + REACH], edge))
-    return np.stack(columns, axis=1)
-
-
-def neighbours(entries: np.ndarray, bounds: np.ndarray, edge: int) -> np.ndarray:
-    """Entries on both sides of every position of a slice, as `contexts` gives them for some."""
-    sizes = np.diff(bounds)
-    before = np.arange(len(entries)) - np.repeat(bounds[:-1], sizes)
-    after = np.repeat(sizes, sizes) - 1 - before
-    out = np.full((len(entries), 2 * REACH), edge, np.int64)
-    for column, shift in enumerate((*range(-REACH, 0), *range(1, REACH + 1))):
-        inside = np.flatnonzero(before >= -shift if shift < 0 else after >= shift)
-        out[inside, column] = entries[inside + shift]
-    return out
+        first = _firsts(at)
+        own, total = at[first], _sums(np.take(slope, order % len(slope), axis=0), first)
+        size = np.take(squares, own) + _dots(total, total) / total.shape[1]
+        squares[own] = size
+        total *= SPARSE_RATE
+        total /= np.sqrt(size)[:, None]
+        vectors[own] = np.take(vectors, own, axis=0) - total
+
+
+def neighbours(entries: np.ndarray, bounds: np.ndarray, edge: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Entries on both sides of the given positions of a slice, or of all, with a mark for what lies outside the document."""
+    texts = np.repeat(np.arange(1, len(bounds)), np.diff(bounds))  # each text has edges before it, and the last behind it
+    place = np.arange(len(entries)) + REACH * texts
+    padded = np.full(len(entries) + REACH * len(bounds), edge, np.int64)
+    padded[place] = entries
+    place = place if at is None else place[at]
+    return np.stack([padded[place + shift] for shift in (*range(-REACH, 0), *range(1, REACH + 1))], axis=1)
 
 
 _WEIGHTS = [f"w{k}" for k in range(HIDDEN)]
@@ -310,22 +383,32 @@ _WEIGHTS = [f"w{k}" for k in range(HIDDEN)]
 
 def _trainer(words: Vocabulary, start: np.ndarray, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, seen = Network(start.copy(), words.entries, len(words.tree.bias)), 0
+        net, seen, tree = Network(start.copy(), words.entries, len(words.tree.bias)), 0, words.tree
+        # how often each entry stood on each side, and between
+        beside, between = np.zeros(net.words.shape[:2], np.int64), np.zeros(words.entries, np.int64)
         for batch in batches:
             for _, _, data, offsets in W.slices(batch.column("text")):
-                classes, _, bounds, _, entries = words.parsed(data, offsets)
+                bounds, _, entries = words.entered(data, offsets)
+                classes = words.class_of[entries]
                 # masked positions follow from the place and what stands there, so a lost task repeats itself
                 drawn = W.mix(np.arange(len(classes), dtype=np.uint64) * W.BASE + classes.astype(np.uint64) + np.uint64(turn << 32))
                 at = np.flatnonzero((drawn >> np.uint64(11)).astype(np.float64) / 2 ** 53 < MASKED)
                 at = at[np.argsort(drawn[at], kind="stable")]
-                context, around = contexts(classes, bounds, at), contexts(entries, bounds, at, words.entries)
-                for i in range(0, len(at), BATCH):
+                around, target, entry = neighbours(entries, bounds, words.entries, at), classes[at], entries[at]
+                context = words.class_of[around]
+                *turns, owner = tree.ways(entry)
+                cuts = np.searchsorted(owner, np.arange(0, len(at) + BATCH, BATCH))
+                for i, lo, hi in zip(range(0, len(at), BATCH), cuts[:-1].tolist(), cuts[1:].tolist()):
                     some = slice(i, i + BATCH)
-                    net.step(context[some], classes[at[some]], around[some], entries[at[some]], words.tree)
+                    net.step(context[some], target[some], around[some], (*(x[lo:hi] for x in turns), owner[lo:hi] - i))
                 seen += len(at)
+                between += np.bincount(entry, minlength=words.entries)
+                for side, stood in zip(beside, around.T):
+                    side += np.bincount(stood, minlength=len(side))
         if seen:
             vectors = net.weights.reshape(-1, HIDDEN)
-            met = np.concatenate([net.met[0].ravel(), net.met[1]])
+            node, *_, owner = tree.ways(np.arange(words.entries))
+            met = np.concatenate([beside.ravel(), np.bincount(node, between[owner], len(tree.bias)).astype(np.int64)])
             met = np.concatenate([np.full(len(vectors) - len(met), seen), met])
             rows = np.flatnonzero(met)
             by_met = vectors[rows].astype(np.float64) * met[rows, None]
@@ -355,17 +438,21 @@ def score_texts(net: Network, words: Vocabulary, data: np.ndarray, offsets: np.n
 
 def _scored(net: Network, sides: list[np.ndarray], words: Vocabulary, data: np.ndarray, offsets: np.ndarray):
     """As `score_texts`, with the words beyond the known ones: text, word and how often it occurs there."""
-    classes, inside, bounds, hashes, entries = words.parsed(data, offsets)
-    total = np.zeros(len(classes) + 1)
+    bounds, hashes, entries = words.entered(data, offsets)
+    classes, total = words.class_of[entries], np.zeros(len(entries) + 1)
     around = neighbours(entries, bounds, words.entries)
     for i in range(0, len(classes), SCORED):
         at = slice(i, min(i + SCORED, len(classes)))
-        h = np.tanh(sum(np.take(side, around[at, k], axis=0) for k, side in enumerate(sides)))
-        within = net.log_within(h, entries[at], words.tree) + words.log_leaf[entries[at]] if net.entries else inside[at]
+        h = np.take(sides[0], around[at, 0], axis=0)
+        for k in range(1, len(sides)):
+            h += np.take(sides[k], around[at, k], axis=0)
+        np.tanh(h, out=h)
+        within = net.log_within(h, entries[at], words.tree) + words.log_leaf[entries[at]] if net.entries else words.inside(entries[at])
         total[at.start + 1:at.stop + 1] = net.log_probability(h, classes[at]) + within
     at = np.flatnonzero(entries >= len(words.words))
-    text, word = np.searchsorted(bounds, at, "right") - 1, hashes[at]
-    order = np.lexsort((word, text))
+    text, word = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[at], hashes[at]
+    # by text, then by the first bits of the hash: words that agree in those may be given in several rows, which add up to the same
+    order = np.argsort((text.astype(np.uint64) << np.uint64(44)) | (word >> np.uint64(20)))
     text, word = text[order], word[order]
     first = np.flatnonzero(np.r_[np.ones(min(len(at), 1), bool), (text[1:] != text[:-1]) | (word[1:] != word[:-1])])
     return np.diff(bounds), np.diff(np.cumsum(total)[bounds]), (text[first], word[first], np.diff(np.r_[first, len(at)]))

@@ -4,12 +4,15 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from shelfline.llm import decontaminate, jaccard, mixing, pseudo, quality, secrets, suffixes, toxicity, vectors, warc
+from shelfline.llm import words as W
 from shelfline.llm.common import components
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -457,6 +460,100 @@ def test_word_probabilities_add_up(spark):
         assert own * np.exp(words.log_leaf[b]) == pytest.approx(own / (own + 1 / pseudo.BUCKETS))
 
 
+def trained_plainly(words, start, turn, data, offsets):
+    """The vectors of a task's training and how often each was met: each side by itself, each way looked up for its step."""
+    net, tree = pseudo.Network(start.copy(), words.entries, len(words.tree.bias)), words.tree
+    classes, _, bounds, _, entries = words.parsed(data, offsets)
+    drawn = W.mix(np.arange(len(classes), dtype=np.uint64) * W.BASE + classes.astype(np.uint64) + np.uint64(turn << 32))
+    at = np.flatnonzero((drawn >> np.uint64(11)).astype(np.float64) / 2 ** 53 < pseudo.MASKED)
+    at = at[np.argsort(drawn[at], kind="stable")]
+    text = np.searchsorted(bounds, at, "right") - 1
+
+    def beside(values, edge):
+        padded = np.r_[[edge] * 2, values, [edge] * 2]
+        return np.stack([np.where((at + k >= bounds[text]) & (at + k < bounds[text + 1]), padded[at + k + 2], edge) for k in (-2, -1, 1, 2)], axis=1)
+
+    def moved(vectors, squares, met, place, slope):
+        order = np.argsort(place.astype(np.uint16), kind="stable")
+        own, first, n = np.unique(place[order], return_index=True, return_counts=True)
+        total = np.add.reduceat(slope[order], first, axis=0)
+        squares[own] += np.einsum("ij,ij->i", total, total) / pseudo.HIDDEN
+        vectors[own] -= pseudo.SPARSE_RATE * total / np.sqrt(squares[own])[:, None]
+        met[own] += n
+    around, context = beside(entries, words.entries), beside(classes, pseudo.CLASSES)
+    squares = [np.full(x.shape[:-1], 0.01, np.float32) for x in (net.words, net.nodes)]
+    met = [np.zeros(x.shape[:-1], np.int64) for x in (net.words, net.nodes)]
+    for i in range(0, len(at), pseudo.BATCH):
+        c, e, goal, target = (x[i:i + pseudo.BATCH] for x in (context, around, entries[at], classes[at]))
+        n = len(c)
+        h = np.tanh(sum(net.embed[k][c[:, k]] + net.words[k][e[:, k]] for k in range(4)))
+        z = h @ net.out + net.bias
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        p[np.arange(n), target] -= 1
+        p /= n
+        back = p @ net.out.T
+        lengths = tree.starts[goal + 1] - tree.starts[goal]
+        owner = np.repeat(np.arange(n), lengths)
+        way = np.arange(lengths.sum()) + np.repeat(tree.starts[goal] - np.cumsum(lengths) + lengths, lengths)
+        node, sign = tree.nodes[way], tree.signs[way]
+        slope = -sign / (1 + np.exp(sign * (np.einsum("ij,ij->i", net.nodes[node], h[owner]) + tree.bias[node])))
+        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        back[owner[first]] += np.add.reduceat(slope[:, None] * net.nodes[node], first, axis=0) / n
+        moved(net.nodes, squares[1], met[1], node, slope[:, None] * h[owner])
+        back *= 1 - h * h
+        net.out -= pseudo.RATE * (h.T @ p)
+        net.bias -= pseudo.RATE * p.sum(axis=0)
+        for k in range(4):
+            order = np.argsort(c[:, k].astype(np.uint16), kind="stable")
+            own, first = np.unique(c[order, k], return_index=True)
+            net.embed[k][own] -= pseudo.RATE * np.add.reduceat(back[order], first, axis=0)
+            moved(net.words[k], squares[0][k], met[0][k], e[:, k], back * n)
+    vectors = net.weights.reshape(-1, pseudo.HIDDEN)
+    met = np.concatenate([met[0].ravel(), met[1]])
+    return vectors, np.concatenate([np.full(len(vectors) - len(met), len(at)), met])
+
+
+def test_training_is_that_of_plain_steps_in_less_time(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.1, 300) % 20000) for _ in range(300)]
+    words = pseudo.vocabulary(documents(spark, texts).select("doc_id", "text"))
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    assert len(data) < W.SLICE
+    start = pseudo.Network(None, words.entries, len(words.tree.bias)).weights
+    spent = {"now": [], "plain": []}
+    for _ in range(9):
+        began = time.process_time()
+        [got] = pseudo._trainer(words, start, 1)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))
+        between = time.process_time()
+        vectors, met = trained_plainly(words, start, 1, data, offsets)
+        spent["now"].append(between - began)
+        spent["plain"].append(time.process_time() - between)
+    rows = np.flatnonzero(met)
+    assert got.column("i").to_pylist() == rows.tolist() and got.column("n").to_pylist() == met[rows].tolist()
+    assert np.allclose(np.stack([x.to_numpy() for x in got.columns[2:]], axis=1) / met[rows, None], vectors[rows], atol=1e-3)
+    assert min(spent["now"]) < 0.85 * min(spent["plain"]), spent
+
+
+def test_known_words_are_looked_up_by_their_whole_hash():
+    """Words whose hashes begin alike, and hashes that begin like a known one's, on 40,000 words."""
+    raw = [f"w{i}" for i in range(40_000)]
+    data, offsets = np.frombuffer(b"".join(t.encode() for t in raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    hashes, _ = W.hashed_words(data, offsets, W.WORDY)
+    known = np.sort(hashes[::2])
+    assert len(np.unique(known >> np.uint64(47))) < len(known)
+    classes = np.full(len(known), pseudo.SINGLE)
+    beyond = np.ones(pseudo.BY_LENGTH * pseudo.BUCKETS)
+    words = pseudo.Vocabulary(known, classes, np.zeros(len(known)), np.zeros(pseudo.CLASSES), None, np.concatenate([np.zeros(len(known)), beyond]))
+    got, _, bounds, found, entries = words.parsed(data, offsets)
+    assert (found == hashes).all() and bounds.tolist() == list(range(40_001))
+    assert (known[entries[::2]] == hashes[::2]).all() and (got[::2] == pseudo.SINGLE).all()
+    bucket = (pseudo.length_class(np.diff(offsets)) - pseudo.CLASSES + pseudo.BY_LENGTH) * pseudo.BUCKETS + (hashes % np.uint64(pseudo.BUCKETS)).astype(int)
+    assert (entries[1::2] == len(known) + bucket[1::2]).all()
+    assert (got[1::2] == pseudo.length_class(np.diff(offsets))[1::2]).all()
+
+
 def least_squares(a, goal):
     """The least sum of squared misses over nonnegative rates: as few columns as domains suffice."""
     best = float((goal ** 2).sum())
