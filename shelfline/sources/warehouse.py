@@ -13,6 +13,7 @@ from shelfline.schemas import PARTITION
 from shelfline.session import shared_dir
 from shelfline.sources import driver_extracts
 from shelfline.sources.driver_star import DriverTables, read
+from shelfline.sources.files import COMPRESSION
 from shelfline.star import Star
 
 _stars: dict[tuple[str, str], Star] = {}
@@ -39,7 +40,7 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
         """A table written the first time it is asked for."""
         if name not in made:
             df, path = build(), f"{root}/{name}"
-            df.write.mode("overwrite").partitionBy(*by).parquet(path)
+            df.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*by).parquet(path)
             made[name] = spark.read.schema(df.schema).parquet(path)
         return made[name]
 

@@ -5,9 +5,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from shelfline.operators.monthly import order_words, product_months
 from shelfline.plans import loading, validators
-from shelfline.schemas import FACT_SALES
+from shelfline.schemas import DIM_PRODUCT, FACT_SALES, LINE_ATTRIBUTES
 from shelfline.sources import driver_extracts
+from shelfline.sources.store import Store
 
 DAY = dt.date(2024, 3, 5)
 
@@ -73,3 +75,24 @@ def test_raw_lines_are_dealt_before_they_become_text(spark, tmp_path):
     plan = raw._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("RepartitionByExpression" if "RepartitionByExpression" in plan else "Repartition") > plan.index("sales_amount")
     assert [r.order_id for r in raw.sort("_pos").collect()] == [str(k) for k in range(9)]
+
+
+def test_months_of_lines_described_more_than_once(spark, tmp_path):
+    def product(key, title, price=10):
+        return {f.name: {"product_id": key, "title": title, "genre": "Poetry", "format": "eBook", "is_physical": 0}.get(f.name) for f in DIM_PRODUCT}
+
+    lines = [{f.name: None for f in FACT_SALES} | dict(
+        sales_id=k, order_id=k % 3, product_id=p, date=dt.date(2024, 1 + k % 2, 5), sales_qty=k, return_qty=0, is_promo=0, lost_sales_qty=0)
+        for k, p in enumerate([1, 1, 2, 2, 3, 3, 9, None, 1], 1)]
+    store = Store(spark, str(tmp_path / "store"))
+    dim = spark.createDataFrame([product(1, "a"), product(2, "b"), product(2, "c"), product(3, "d"), product(3, "d"), product(3, "e")], DIM_PRODUCT)
+    store.full_load({"dim_product": dim, "fact_sales": spark.createDataFrame(lines, FACT_SALES)}, 1)
+    late = [x | dict(sales_id=100 + x["sales_id"], order_id=200) for x in lines if x["date"].month == 2]
+    store.insert({"fact_sales": spark.createDataFrame(late, FACT_SALES)}, "late")
+    star, stored = store.star(), store.table("fact_sales")
+    key = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    for kept, summed in ((star.months(), product_months(stored)), (star.order_months(), order_words(stored))):
+        assert key(kept.select(summed.columns)) == key(summed)
+    assert set(LINE_ATTRIBUTES) <= set(star.months().columns)
+    folders = [p.name for p in (tmp_path / "store/sales_months/_commit=1").iterdir() if p.is_dir()]
+    assert folders == []  # sums of a full load are not shuffled by month
