@@ -96,3 +96,17 @@ def test_months_of_lines_described_more_than_once(spark, tmp_path):
     assert set(LINE_ATTRIBUTES) <= set(star.months().columns)
     folders = [p.name for p in (tmp_path / "store/sales_months/_commit=1").iterdir() if p.is_dir()]
     assert folders == []  # sums of a full load are not shuffled by month
+
+
+def test_negative_stock_counts_rows_of_any_day(spark, tmp_path):
+    from shelfline.plans import checks
+    from shelfline.schemas import FACT_INVENTORY
+    from shelfline.star import Star
+    from shelfline.sources.files import written
+
+    days = [dt.date(2019, 1, 1), DAY, dt.date(2030, 1, 1)]
+    rows = [(k, p, day, 0, 0, 0, closing, 1) for k, (p, day, closing) in enumerate(
+        (p, day, closing) for p in (1, 2, 64, 9) for day in days for closing in (-3, 0, 5))]
+    stock = written(spark.createDataFrame(rows, FACT_INVENTORY), str(tmp_path / "stock"))
+    star = Star(spark, DAY, dim_product=products(spark, (1, "Paperback"), (2, "eBook"), (64, "Hardcover")), fact_inventory=stock)
+    assert checks.negative_stock(star).first().violations == 6
